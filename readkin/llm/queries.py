@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixing, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,19 @@ def op10_simhash_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op10_simhash_vantage_trees,)}
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 15 of near-equal bytes, contiguous in the order of (CRC-32, hash, doc_id)."""
+    out = sharding.assign(table(spark, sf_dir, "documents"), shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = mixing.mix(docs, weights=(1, 2, 3), cap=3)
+    return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__taken").alias("taken"))
+
+
+QUERIES = {f.__name__: f for f in (op6_sharding, op8_mixing, op10_simhash_vantage_trees)}
 
 ORACLES: dict[str, str] = {}
