@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, simhash
+from . import decontamination, mixing, sharding, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__taken").alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op6_sharding, op8_mixing, op10_simhash_vantage_trees)}
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every leak of a benchmark item into a document."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from rows outside the fold ``crc32(doc_id) % 5 = 0``."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.scores(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), learn=~held_out)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op3_decontamination, op4_toxicity, op6_sharding, op8_mixing, op10_simhash_vantage_trees)}
 
 ORACLES: dict[str, str] = {}
