@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, outliers, sharding, simhash, toxicity
+from . import brown, decontamination, mixing, outliers, sharding, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,11 +44,17 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_brown_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, learned outside the fold ``crc32(doc_id) % 7 = 2``."""
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
+    return brown.score(table(spark, sf_dir, "documents").select("doc_id", "text"), learn)
+
+
 def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, and whether rules and robust distance keep it."""
     return outliers.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op4_toxicity, op6_sharding, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees)}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op4_toxicity, op5_brown_scoring, op6_sharding, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees)}
 
 ORACLES: dict[str, str] = {}
