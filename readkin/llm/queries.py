@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, decontamination, mixing, outliers, sharding, simhash, toxicity
+from . import brown, decontamination, mixing, outliers, quality, sharding, simhash, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,11 +50,17 @@ def op5_brown_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown.score(table(spark, sf_dir, "documents").select("doc_id", "text"), learn)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from its text, its source (the host) and its language there (the path)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+
+
 def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, and whether rules and robust distance keep it."""
     return outliers.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op4_toxicity, op5_brown_scoring, op6_sharding, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees)}
+QUERIES = {f.__name__: f for f in (op3_decontamination, op4_toxicity, op5_brown_scoring, op6_sharding, op7_quality, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees)}
 
 ORACLES: dict[str, str] = {}
