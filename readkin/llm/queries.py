@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, decontamination, mixing, outliers, quality, sharding, simhash, toxicity
+from . import brown, decontamination, lines, mixing, outliers, quality, sharding, simhash, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,75 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__taken").alias("taken"))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, links and verdict of every line of every document; lines link at up to 2 edits."""
+    return lines.classes(table(spark, sf_dir, "documents"), edits=2, least=20)
+
+
+def dated_lists(pages: DataFrame) -> DataFrame:
+    """Made-up list events about the hosts of ``pages``: a rule stands in for a published list's history.
+
+    A number from the MD5 of each domain, host and first path decides whether and when it
+    is added, removed and added again.
+    """
+    split = pages.select(urls.host_of(F.col("url")).alias("host"), F.split(urls.path_of(F.col("url")), "/")[1].alias("first")).where("host <> ''")
+    hosts = split.select("host").distinct()
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+
+    def events(rows: DataFrame, list_: str, verdict: str, kind: str, pattern: Column, every: int) -> DataFrame:
+        rows = rows.select(pattern.alias("pattern")).distinct().withColumn("c", F.conv(F.substring(F.md5(F.concat(F.lit(kind), "pattern").cast("binary")), 1, 7), 16, 10).cast("long")).where(F.col("c") % every == 0)
+        steps = F.array(
+            F.struct(F.lit("add").alias("action"), day(F.col("c") % 200).alias("at")),
+            F.struct(F.lit("remove").alias("action"), day(F.col("c") % 200 + 60 + F.col("c") % 31).alias("at")),
+            F.struct(F.lit("add").alias("action"), day(F.col("c") % 200 + 120 + F.col("c") % 37).alias("at")),
+        )
+        return rows.select(F.lit(list_).alias("list"), F.lit(verdict).alias("verdict"), F.lit(kind).alias("kind"), "pattern", F.explode(steps).alias("s")).select("list", "verdict", "kind", "pattern", "s.action", "s.at")
+
+    domain = F.regexp_replace("host", r"^(www|m|blog)\.", "")
+    return (
+        events(hosts, "malware", "block", "domain", domain, 2)
+        .union(events(hosts, "spam", "block", "host", F.col("host"), 3))
+        .union(events(split.where("first <> ''"), "reviewed", "allow", "prefix", F.concat("host", F.lit("/"), "first"), 3))
+    )
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page by the list entries in force on the day it was fetched, a day made from its page_id."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_on", F.date_add(F.lit("2024-01-01").cast("date"), ((F.col("page_id") * 7919) % 365).cast("int")))
+    return urls.judge(captures, dated_lists(pages), at="fetched_on").drop("url")
+
+
+OP2_SQL = r"""
+WITH p AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 7919) % 365 AS INTEGER) AS fetched_on,
+         regexp_replace(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.+$', '') AS host,
+         regexp_replace(regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1), '/+', '/', 'g'), '/$', '') AS path
+  FROM pages),
+pats AS (
+  SELECT DISTINCT 'malware' AS list, 'block' AS verdict, 'domain' AS kind, regexp_replace(host, '^(www|m|blog)\.', '') AS pattern, 2 AS every FROM p WHERE host <> ''
+  UNION ALL SELECT DISTINCT 'spam', 'block', 'host', host, 3 FROM p WHERE host <> ''
+  UNION ALL SELECT DISTINCT 'reviewed', 'allow', 'prefix', host || '/' || string_split(path, '/')[2], 3 FROM p WHERE host <> '' AND string_split(path, '/')[2] <> ''),
+c AS (SELECT *, CAST('0x' || substr(md5(kind || pattern), 1, 7) AS BIGINT) AS c FROM pats),
+e AS (
+  SELECT list, verdict, kind, pattern, 'add' AS action, DATE '2024-01-01' + CAST(c % 200 AS INTEGER) AS since FROM c WHERE c % every = 0
+  UNION ALL SELECT list, verdict, kind, pattern, 'remove', DATE '2024-01-01' + CAST(c % 200 + 60 + c % 31 AS INTEGER) FROM c WHERE c % every = 0
+  UNION ALL SELECT list, verdict, kind, pattern, 'add', DATE '2024-01-01' + CAST(c % 200 + 120 + c % 37 AS INTEGER) FROM c WHERE c % every = 0),
+v AS (
+  SELECT *, CASE kind WHEN 'domain' THEN 1 WHEN 'host' THEN 2 ELSE 3 END AS r FROM (
+    SELECT *, lead(since) OVER (PARTITION BY list, kind, pattern ORDER BY since, action = 'remove') AS upto FROM e)
+  WHERE action = 'add'),
+h AS (
+  SELECT p.page_id, v.*, row_number() OVER (PARTITION BY p.page_id ORDER BY r DESC, length(pattern) DESC, verdict = 'allow' DESC, list DESC) AS k
+  FROM p JOIN v ON p.fetched_on >= v.since AND (v.upto IS NULL OR p.fetched_on < v.upto) AND CASE v.kind
+    WHEN 'host' THEN p.host = v.pattern
+    WHEN 'domain' THEN p.host = v.pattern OR ends_with(p.host, '.' || v.pattern)
+    ELSE p.host || p.path = v.pattern OR starts_with(p.host || p.path, v.pattern || '/') END)
+SELECT p.page_id, p.fetched_on, coalesce(h.verdict, 'none') AS verdict, h.list, h.kind, h.pattern, h.since AS valid_from
+FROM p LEFT JOIN h ON h.page_id = p.page_id AND h.k = 1
+"""
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every leak of a benchmark item into a document."""
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -61,6 +130,6 @@ def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op4_toxicity, op5_brown_scoring, op6_sharding, op7_quality, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_decontamination, op4_toxicity, op5_brown_scoring, op6_sharding, op7_quality, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL}
