@@ -10,7 +10,7 @@ from .common import connected_components, scratch
 
 def occurrences(docs: DataFrame) -> DataFrame:
     """``doc_id, line_no, line, line_id`` of every line with more than white space, trimmed; lines count from 0."""
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", F.trim(F.regexp_replace("line", r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "")))
+    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", F.btrim("line", F.lit(" \t\r\x0b\x0c")))
     return rows.where("line <> ''").withColumn("line_id", F.xxhash64("line"))
 
 
@@ -29,8 +29,8 @@ def segments(edits: int) -> Column:
     return F.array(*[_key(F.col("line"), _cut(n, i, parts), _cut(n, i + 1, parts) - _cut(n, i, parts), i, n) for i in range(parts)])
 
 
-def probes(edits: int, least: int) -> Column:
-    """Probe keys of a line for index lines of its own length and up to ``edits`` less.
+def probes(edits: int) -> Column:
+    """Probe keys of a line for index lines of its own length and up to ``edits`` less, but for its own index keys.
 
     A match at segment i has at most i edits before it and ``edits - i`` behind,
     which leaves only a few starts for each segment and length.
@@ -39,17 +39,31 @@ def probes(edits: int, least: int) -> Column:
     for less in range(edits + 1):
         m = n - less
         for i in range(parts):
-            shifts = [s for s in range(-i, i + 1) if abs(s - less) <= edits - i]
             start, size = _cut(m, i, parts), _cut(m, i + 1, parts) - _cut(m, i, parts)
-            for s in shifts:
-                fits = (m >= least) & (start + s >= 0) & (start + s + size <= n)
-                out.append(F.when(fits, F.struct(_key(F.col("line"), start + s, size, i, m).alias("key"), F.lit(less == 0).alias("same"))))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+            out += [_key(F.col("line"), start + s, size, i, m) for s in range(-i, i + 1) if abs(s - less) <= edits - i and (s or less)]
+    return F.array(*out)
 
 
-def parity(line: Column) -> Column:
-    """A bit for each of 64 groups of letters: whether the line has an odd number of them; an edit changes at most two bits."""
-    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)))
+#: Letters that are counted to tell lines apart before their texts are fetched.
+COUNTED = "etaonihr"
+
+
+def letter_counts(line: Column) -> Column:
+    """How often a line has each of ``COUNTED``, modulo 16, four bits each."""
+    out = F.lit(0).cast("long")
+    for k, letter in enumerate(COUNTED):
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(15)).cast("long"), 4 * k))
+    return out
+
+
+def _near_counts(a: Column, b: Column, edits: int) -> Column:
+    """False only for lines over ``edits`` edits apart: an edit changes two counts by one at most."""
+    total = F.lit(0).cast("long")
+    for k in range(len(COUNTED)):
+        d = (F.shiftright(a, 4 * k) - F.shiftright(b, 4 * k)).bitwiseAND(F.lit(15).cast("long"))
+        total = total + F.least(d, 16 - d)
+    return total <= 2 * edits
 
 
 def _let(value: Column, body) -> Column:
@@ -100,28 +114,37 @@ def bit_distance(longer: Column, shorter: Column, edits: int) -> Column:
 
 
 def linked(lines: DataFrame, edits: int = 2, least: int = 20, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``a, b``: all pairs of different ``lines(line_id, line)`` of at least ``least`` letters within ``edits`` edits, a the longer or greater id.
+    """``a, b``: all pairs of different ``lines(line_id, line)`` of at least ``least`` letters within ``edits`` edits, a > b.
 
     Two lines within ``edits`` edits share at least one of the ``edits + 1``
     segments of the shorter at nearly the same place.  Index rows hold a line's
-    segments, probe rows the substrings of a line that may be such segments; both
-    are keyed with segment number and length and meet in one equi-join, which also tests letter
-    parities.  The texts of candidates alone are fetched and
-    verified; their ids are broadcast up to ``broadcast_rows``, else joined.
+    segments, probe rows the other substrings of a line that may be such segments;
+    both are keyed with segment number and length.  Index rows meet probe rows,
+    and each other, in equi-joins that also compare letter counts.  The texts of
+    candidates alone are fetched and verified; their ids are broadcast up to
+    ``broadcast_rows``, else joined.  ``least`` must be at least ``(edits + 1) ** 2``,
+    so that every probe lies inside its line.
     """
-    # split() adds no empty last letter here: no line is empty
+    if least < (edits + 1) ** 2:
+        raise ValueError("least must be at least (edits + 1) ** 2")
     long = lines.withColumn("length", F.char_length("line")).where(F.col("length") >= least)
-    keyed = scratch(long.select("line_id", parity(F.col("line")).alias("parity"), segments(edits).alias("own"), probes(edits, least).alias("asks")), "segments")
-    index = keyed.select(F.explode("own").alias("key"), F.col("line_id").alias("b"), F.col("parity").alias("pb"))
-    asks = keyed.select(F.explode("asks").alias("p"), F.col("line_id").alias("a"), F.col("parity").alias("pa")).select("p.key", "p.same", "a", "pa")
-    near = F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 2 * edits
-    pairs = asks.join(index, (asks.key == index.key) & near & (F.col("a") != F.col("b")) & (~F.col("same") | (F.col("a") > F.col("b"))))
-    pairs = scratch(pairs.select("a", "b").distinct(), "candidates")
+    keyed = scratch(long.select("line_id", letter_counts(F.col("line")).alias("counts"), segments(edits).alias("own"), probes(edits).alias("asks")), "segments")
+    index = keyed.select(F.explode("own").alias("key"), F.col("line_id").alias("id"), "counts")
+    asks = keyed.select(F.explode("asks").alias("key"), F.col("line_id").alias("id"), "counts")
+
+    def meet(x: DataFrame, apart: str) -> DataFrame:
+        x, y = x.alias("x"), index.alias("y")
+        met = x.join(y, (F.col("x.key") == F.col("y.key")) & F.expr(apart) & _near_counts(F.col("x.counts"), F.col("y.counts"), edits))
+        return met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
+
+    pairs = scratch(meet(asks, "x.id <> y.id").union(meet(index, "x.id > y.id")).distinct(), "candidates")
     ids = scratch(pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct(), "asked")
     small = ids.count() <= broadcast_rows
     texts = scratch(lines.join(F.broadcast(ids) if small else ids, "line_id", "left_semi").select("line_id", F.split("line", "").alias("letters")), "letters")
     both = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("letters").alias("la")), "a").join(texts.select(F.col("line_id").alias("b"), F.col("letters").alias("lb")), "b")
-    return both.where(bit_distance(F.col("la"), F.col("lb"), edits) <= edits).select("a", "b")
+    longer = F.size("la") >= F.size("lb")
+    both = both.select("a", "b", F.when(longer, F.col("la")).otherwise(F.col("lb")).alias("long"), F.when(longer, F.col("lb")).otherwise(F.col("la")).alias("short"))
+    return both.where(bit_distance(F.col("long"), F.col("short"), edits) <= edits).select("a", "b")
 
 
 def classes(docs: DataFrame, edits: int = 2, least: int = 20) -> DataFrame:
