@@ -45,7 +45,7 @@ def probes(edits: int) -> Column:
 
 
 #: Letters that are counted to tell lines apart before their texts are fetched.
-COUNTED = "etaonihr"
+COUNTED = "etaonihrsdlu"
 
 
 def letter_counts(line: Column) -> Column:
@@ -66,6 +66,11 @@ def _near_counts(a: Column, b: Column, edits: int) -> Column:
     return total <= 2 * edits
 
 
+def parity(letters: Column) -> Column:
+    """A bit for each of 64 groups of letters: whether a line has an odd number of them; an edit changes two bits at most."""
+    return F.aggregate(letters, F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c) % 64)))
+
+
 def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
@@ -121,8 +126,8 @@ def linked(lines: DataFrame, edits: int = 2, least: int = 20, broadcast_rows: in
     segments, probe rows the other substrings of a line that may be such segments;
     both are keyed with segment number and length.  Index rows meet probe rows,
     and each other, in equi-joins that also compare letter counts.  The texts of
-    candidates alone are fetched and verified; their ids are broadcast up to
-    ``broadcast_rows``, else joined.  ``least`` must be at least ``(edits + 1) ** 2``,
+    candidates alone are fetched; their ids are broadcast up to
+    ``broadcast_rows``, else joined.  Pairs whose letter parities agree are verified.  ``least`` must be at least ``(edits + 1) ** 2``,
     so that every probe lies inside its line.
     """
     if least < (edits + 1) ** 2:
@@ -140,7 +145,10 @@ def linked(lines: DataFrame, edits: int = 2, least: int = 20, broadcast_rows: in
     pairs = scratch(meet(asks, "x.id <> y.id").union(meet(index, "x.id > y.id")).distinct(), "candidates")
     ids = scratch(pairs.select(F.explode(F.array("a", "b")).alias("line_id")).distinct(), "asked")
     small = ids.count() <= broadcast_rows
-    texts = scratch(lines.join(F.broadcast(ids) if small else ids, "line_id", "left_semi").select("line_id", F.split("line", "").alias("letters")), "letters")
+    texts = scratch(lines.join(F.broadcast(ids) if small else ids, "line_id", "left_semi").select("line_id", F.split("line", "").alias("letters")).withColumn("odd", parity(F.col("letters"))), "letters")
+    odd = texts.select("line_id", "odd")
+    pairs = pairs.join(odd.select(F.col("line_id").alias("a"), F.col("odd").alias("oa")), "a").join(odd.select(F.col("line_id").alias("b"), F.col("odd").alias("ob")), "b")
+    pairs = scratch(pairs.where(F.bit_count(F.col("oa").bitwiseXOR(F.col("ob"))) <= 2 * edits).select("a", "b"), "pairs")
     both = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("letters").alias("la")), "a").join(texts.select(F.col("line_id").alias("b"), F.col("letters").alias("lb")), "b")
     longer = F.size("la") >= F.size("lb")
     both = both.select("a", "b", F.when(longer, F.col("la")).otherwise(F.col("lb")).alias("long"), F.when(longer, F.col("lb")).otherwise(F.col("la")).alias("short"))
