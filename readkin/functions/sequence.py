@@ -10,6 +10,11 @@ from ..params import Gene, Signature
 OPS = r"(\d+)([MIDNSHPX=])"
 
 
+def let(body, **values: Column) -> Column:
+    """``body`` of the values, each computed once; else the optimizer would put their expressions into every lambda that uses them."""
+    return F.element_at(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), lambda x: body(*[x[k] for k in values])), 1)
+
+
 def phred(qual: Column, at: Column) -> Column:
     """Phred score of the letter at a 1-based place."""
     return F.ascii(F.substring(qual, at, F.lit(1))) - 33
@@ -17,8 +22,11 @@ def phred(qual: Column, at: Column) -> Column:
 
 def masked(seq: Column, qual: Column, least: int) -> Column:
     """``seq`` with N where the score is under ``least``; lengths must agree."""
-    bases = F.transform(F.sequence(F.lit(1), F.char_length(seq)), lambda i: F.when(phred(qual, i) < least, F.lit("N")).otherwise(F.substring(seq, i, F.lit(1))))
-    return F.when(F.char_length(seq) != F.char_length(qual), F.raise_error(F.lit("sequence and quality differ in length"))).when(F.char_length(seq) == 0, F.lit("")).otherwise(F.array_join(bases, ""))
+
+    def mask(s: Column, q: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.char_length(s)), lambda i: F.when(phred(q, i) < least, F.lit("N")).otherwise(F.substring(s, i, F.lit(1)))), "")
+
+    return F.when(F.char_length(seq) != F.char_length(qual), F.raise_error(F.lit("sequence and quality differ in length"))).when(F.char_length(seq) == 0, F.lit("")).otherwise(let(mask, s=seq, q=qual))
 
 
 def has_signatures(seq: Column, signatures: tuple[Signature, ...]) -> Column:
@@ -98,6 +106,11 @@ def differences(t: Column, q: Column, roi: tuple[tuple[int, int], ...]) -> Colum
     ``pos`` is the 1-based reference place (of the base before, for an insertion);
     ``qidx`` the 0-based place in the read of the base, or of the one before a deletion.
     """
+    none = F.array().cast("array<struct<pos:int,base:string,alt:string,qidx:int>>")
+    return let(lambda a, b: F.when(a == b, none).otherwise(_differences(a, b, roi)), t=t, q=q)
+
+
+def _differences(t: Column, q: Column, roi: tuple[tuple[int, int], ...]) -> Column:
     at = F.filter(F.sequence(F.lit(1), F.char_length(t)), lambda i: F.substring(t, i, F.lit(1)) != F.substring(q, i, F.lit(1)))
     found = F.transform(at, lambda i: F.struct(_bases(t, i).alias("pos"), F.substring(t, i, F.lit(1)).alias("base"), F.substring(q, i, F.lit(1)).alias("alt"), (_bases(q, i) - 1).alias("qidx")))
 
@@ -117,7 +130,10 @@ def alleles(found: Column, qual: Column, least: int, fix_insertion_quality: bool
     that of the k-th difference, which is another base behind a longer insertion;
     ``fix_insertion_quality`` takes the allele's own first base.
     """
+    return let(lambda f, q: _alleles(f, q, least, fix_insertion_quality), f=found, q=qual)
+
 
+def _alleles(found: Column, qual: Column, least: int, fix_insertion_quality: bool) -> Column:
     def join(acc: Column, x: Column) -> Column:
         last = F.try_element_at(acc, F.lit(-1))
         more = (F.size(acc) > 0) & (last["base"] == "-") & (x["base"] == "-") & (last["qidx"] + 1 == x["qidx"])
@@ -140,8 +156,15 @@ def alleles(found: Column, qual: Column, least: int, fix_insertion_quality: bool
 
 def position_quality(t: Column, q: Column, qual: Column, over: int) -> Column:
     """A digit for each reference base: 1 if the read's base there scores over ``over`` or is missing."""
-    at = F.filter(F.sequence(F.lit(1), F.char_length(t)), lambda i: F.substring(t, i, F.lit(1)) != "-")
-    return F.array_join(F.transform(at, lambda i: F.when((F.substring(q, i, F.lit(1)) == "-") | (phred(qual, _bases(q, i)) > over), F.lit("1")).otherwise(F.lit("0"))), "")
+
+    def digits(t: Column, q: Column, qual: Column) -> Column:
+        plain = F.translate(qual, scores, "".join("01"[ord(c) - 33 > over] for c in scores))
+        at = F.filter(F.sequence(F.lit(1), F.char_length(t)), lambda i: F.substring(t, i, F.lit(1)) != "-")
+        general = F.array_join(F.transform(at, lambda i: F.when((F.substring(q, i, F.lit(1)) == "-") | (phred(qual, _bases(q, i)) > over), F.lit("1")).otherwise(F.lit("0"))), "")
+        return F.when(F.contains(t, F.lit("-")) | F.contains(q, F.lit("-")) | (F.char_length(t) != F.char_length(qual)), general).otherwise(plain)
+
+    scores = "".join(map(chr, range(33, 127)))
+    return let(digits, t=t, q=q, qual=qual)
 
 
 def digits12(x: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.sequence import digits12
+from ..functions.sequence import digits12, let
 from ..params import Grid
 from .mutations import FAMILY
 
@@ -33,8 +33,12 @@ def consensus(table: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.when(~wt, m))).alias("m"), F.coalesce(F.sum(F.when(~wt, F.col("hq_count"))), F.lit(0)).alias("hq"), F.max("total_count").alias("total_count"), F.max("above_all").alias("above_all"),
         F.max(F.when(wt, F.struct(F.col("hq_count").alias("n"), "freq", F.col("bc3_existing").alias("existing")))).alias("w"),
     )
-    at = lambda x: F.aggregate(F.filter("m", lambda y: y["pos"] == x["pos"]), F.lit(0.0), lambda a, y: a + y["freq"])
-    muts = F.transform("m", lambda x: x.withField("wt_freq", digits12(1 - at(x))))
+
+    def with_wild(m: Column) -> Column:
+        at = lambda x: F.aggregate(F.filter(m, lambda y: y["pos"] == x["pos"]), F.lit(0.0), lambda a, y: a + y["freq"])
+        return F.transform(m, lambda x: x.withField("wt_freq", digits12(1 - at(x))))
+
+    muts = let(with_wild, m=F.col("m"))
     mutated = F.col("hq") > 0
     got = got.where(mutated | F.col("w").isNotNull())
     return got.select(

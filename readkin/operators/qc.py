@@ -6,10 +6,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequence import phred
+from ..functions.sequence import let, phred
 
 
 def position_stats(reads: DataFrame) -> DataFrame:
@@ -31,9 +31,12 @@ def length_histogram(reads: DataFrame) -> DataFrame:
 
 def sliding_window_trim(reads: DataFrame, window: int = 3, mean: int = 30, least: int = 80) -> DataFrame:
     """Cut each read at the first window whose mean score is under ``mean``; reads left shorter than ``least`` go.  Reads shorter than a window are kept whole."""
-    starts = F.when(F.char_length("qual") >= window, F.sequence(F.lit(1), F.char_length("qual") - (window - 1))).otherwise(F.array().cast("array<int>"))
-    total = lambda i: sum((phred(F.col("qual"), i + k) for k in range(window)), F.lit(0))
-    cut = F.coalesce(F.try_element_at(F.filter(starts, lambda i: total(i) < mean * window), F.lit(1)) - 1, F.char_length("seq"))
+
+    def first_bad(q: Column) -> Column:
+        starts = F.when(F.char_length(q) >= window, F.sequence(F.lit(1), F.char_length(q) - (window - 1))).otherwise(F.array().cast("array<int>"))
+        return F.try_element_at(F.filter(starts, lambda i: sum((phred(q, i + k) for k in range(window)), F.lit(0)) < mean * window), F.lit(1))
+
+    cut = F.coalesce(let(first_bad, q=F.col("qual")) - 1, F.char_length("seq"))
     out = reads.withColumn("__cut", cut).where(F.col("__cut") >= least)
     return out.withColumns({"seq": F.left("seq", F.col("__cut")), "qual": F.left("qual", F.col("__cut"))}).drop("__cut")
 
