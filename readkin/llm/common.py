@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 #: The word pattern of the digests: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,6 +50,17 @@ def widened(df: DataFrame, more: str) -> StructType:
     return StructType([*df.schema.fields, *added.fields])
 
 
+def mapped(df: DataFrame, run, more: str = "") -> DataFrame:
+    """``df.mapInArrow(run)`` whose result has the columns of ``df`` and then those of ``more``; columns may have any names.
+
+    Batches name the columns of ``df`` by position (``c0``, ``c1``, ..).
+    """
+    schema = widened(df, more) if more else df.schema
+    plain = [f"c{i}" for i in range(len(df.columns))]
+    fields = [StructField(plain[i] if i < len(plain) else f.name, f.dataType) for i, f in enumerate(schema.fields)]
+    return df.toDF(*plain).mapInArrow(run, StructType(fields)).toDF(*schema.names)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))

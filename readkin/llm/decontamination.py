@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8
+from .common import mapped, utf8
 
 #: ASCII other than letters and digits separates words.
 _BLANK = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -259,5 +259,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules()) -> Data
                 keep[[h[0] for h in _hits(utf8(batch.column(at), lower=True), index)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = mapped(docs, run)
     return docs

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, utf8, widened
+from .common import mapped, scratch, utf8, widened
 
 _SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 #: White space of the word pattern; ``bytes.split`` also knows no other.
@@ -67,7 +67,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
             found = np.array([statistics_of(t) for t in utf8(batch.column(at))], np.int64).reshape(-1, 7)
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[:, k]) for k in range(7))], names=[*batch.schema.names, *(f.split()[0] for f in STATISTICS.split(", "))])
 
-    return docs.mapInArrow(run, widened(docs, STATISTICS))
+    return mapped(docs, run, STATISTICS)
 
 
 def vector() -> list[Column]:

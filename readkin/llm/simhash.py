@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, scratch, utf8, widened
+from .common import connected_components, mapped, scratch, utf8
 
 _LANES = np.uint64(0x0101010101010101)
 
@@ -46,13 +46,14 @@ def simhash(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", column: str = "fingerprint") -> DataFrame:
     """``docs`` with the fingerprint of each text as a signed long in ``column``."""
 
+    at = docs.columns.index(text)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text)
             fp = np.fromiter((simhash(t) for t in utf8(batch.column(at))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))], names=[*batch.schema.names, column])
 
-    return docs.mapInArrow(run, widened(docs, f"{column} long"))
+    return mapped(docs, run, f"{column} long")
 
 
 class VantageTree:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, utf8, widened
+from .common import mapped, scratch, utf8
 from .linear import fit, sigmoid, summed
 
 #: ASCII other than letters and digits separates words.
@@ -137,9 +137,14 @@ class LabelModel:
     rate: np.ndarray  # (2, voters)
     weight: np.ndarray
 
-    def posterior(self, v: np.ndarray) -> np.ndarray:
+    def linear(self) -> np.ndarray:
+        """The log-odds as a linear function of the votes and 1."""
         on, off = np.log(self.rate[1] / self.rate[0]), np.log((1 - self.rate[1]) / (1 - self.rate[0]))
-        return sigmoid(np.log(self.prior / (1 - self.prior)) + v @ (self.weight * on) + (1 - v) @ (self.weight * off))
+        return np.append(self.weight * (on - off), np.log(self.prior / (1 - self.prior)) + (self.weight * off).sum())
+
+    def posterior(self, v: np.ndarray) -> np.ndarray:
+        w = self.linear()
+        return sigmoid(v @ w[:-1] + w[-1])
 
 
 def label_model(patterns: DataFrame, marked: DataFrame, n: int, prior: float, rounds: int) -> LabelModel:
@@ -217,14 +222,14 @@ def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rule
         marked = votes.where("__learn").join(marks, F.col("__id") == F.col("doc_id")).groupBy("mask", "toxic").agg(F.count("*").alias("count"))
         model = label_model(patterns, scratch(marked, "marked"), n, prior, rules.rounds)
     else:
-        seed = np.array([0.9, 0.1, 0.9, 0.9, 0.9, 0.9, *[0.5] * (n - 6)])
+        seed = np.array([0.9, 0.1, *[0.5] * (n - 2)])
         model = LabelModel(0.1, np.stack((np.where(seed == 0.5, 0.5, 1 - seed), seed)), np.ones(n))
 
     def read(batch: pa.RecordBatch):
         v, c = bits(batch.column(0).to_numpy(), n), batch.column(1).to_numpy().astype(float)
         return np.column_stack((v, np.ones(len(v)))), model.posterior(v), c
 
-    beta = fit(patterns, read, n + 1)
+    beta = fit(patterns, read, n + 1) if prior else model.linear()
     at = docs.columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +238,7 @@ def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rule
             masks = np.array([voters.mask(a, b) for a, b in zip(utf8(column), utf8(column, lower=True))], np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(bits(masks, n) @ beta[:-1] + beta[-1]))], names=[*batch.schema.names, "toxicity"])
 
-    return docs.mapInArrow(score, widened(docs, "toxicity double"))
+    return mapped(docs, score, "toxicity double")
 
 
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
