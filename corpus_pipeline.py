@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from readkin.llm import decontamination, mixing, sharding, simhash, toxicity
+from readkin.llm import copies, decontamination, mixing, sharding, toxicity
 from readkin.llm.common import scratch
 from readkin.llm.queries import table
 
@@ -16,8 +16,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near copies, linked at 0.8 or more of their five-word shingles."""
+    return copies.one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
