@@ -203,17 +203,17 @@ def indexes(benchmark: DataFrame, rules: Rules) -> list[ImpactIndex]:
 
 
 def _hits(texts: list[bytes], index: ImpactIndex) -> Iterator[tuple[int, int, float, float, float]]:
-    """``(text, item number, overlaps)``: for each text and verified item, the passage that overlaps most."""
+    """``(text, item number, overlaps)``: for each text and verified item, the passage that overlaps most of those that verify."""
     rules = index.rules
     for s in range(0, len(texts), 256):
         words = [words_of(t) for t in texts[s : s + 256]]
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
         for doc, first, item in index.retrieve(words):
             got = index.verify(words[doc], first, item)
-            best[doc, item] = max(got, best.get((doc, item), got))
+            if got[0] >= rules.overlap or min(got[1:]) >= rules.overlap:
+                best[doc, item] = max(got, best.get((doc, item), got))
         for (doc, item), (whole, q, a) in sorted(best.items()):
-            if whole >= rules.overlap or min(q, a) >= rules.overlap:
-                yield s + doc, item, whole, q, a
+            yield s + doc, item, whole, q, a
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules()) -> DataFrame:
