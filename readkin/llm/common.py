@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 import pyarrow as pa
@@ -14,12 +15,17 @@ from pyspark.sql.types import StructField, StructType
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Folders of sessions in local mode that name none.
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder of our own only where the session names none."""
+    """The shared folder of the cluster; a local one only in local mode, where the session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = f"/tmp/readkin-{uuid.uuid4().hex[:12]}"
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="readkin-"))
     return root.rstrip("/")
 
 
@@ -42,6 +48,11 @@ def utf8(column: pa.Array, lower: bool = False) -> list[bytes]:
     return [t or b"" for t in column.cast(kind).to_pylist()]
 
 
+def plain(df: DataFrame, *keep: str) -> DataFrame:
+    """``df`` with its columns named by position (``_c0``, ..) but for those of ``keep``, so that added names clash with none; ``toDF`` turns it back."""
+    return df.toDF(*[c if c in keep else f"_c{i}" for i, c in enumerate(df.columns)])
+
+
 def widened(df: DataFrame, more: str) -> StructType:
     """The schema of ``df`` with the columns of the DDL text ``more`` behind its own."""
     added = StructType.fromDDL(more)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, scratch, utf8
+from .common import connected_components, plain, scratch, utf8
 from .simhash import linked, simhash
 
 #: 20 bands of 5 minima: a pair with an overlap of 0.8 shares a band with probability 1 - (1 - 0.8**5)**20 = 0.9996.
@@ -190,5 +190,5 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     first = components(docs, **options).groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("w"))
     keep = scratch(first.select(F.xxhash64("w.doc_id", "w.text_hash").alias("__row")), "keep")
     # One key for the join and for equal rows, so that texts are shuffled once.
-    marked = docs.withColumn("__row", F.xxhash64("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
-    return marked.join(keep, "__row", "left_semi").dropDuplicates(["__row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = plain(docs, "doc_id", "text").withColumn("__row", F.xxhash64("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
+    return marked.join(keep, "__row", "left_semi").dropDuplicates(["__row"]).drop("__row").toDF(*docs.columns)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, mapped, scratch, utf8
+from .common import connected_components, mapped, plain, scratch, utf8
 
 _LANES = np.uint64(0x0101010101010101)
 
@@ -148,11 +148,12 @@ def _link(homes: np.ndarray, asks: np.ndarray, radius: int) -> list[tuple[int, i
     return list(zip(points[child].view(np.int64).tolist(), points[parent[child]].view(np.int64).tolist()))
 
 
-def linked(points: DataFrame, radius: int = 3, leaf_size: int = 512, max_depth: int = 12, tile: int = 8192, sample: int = 16384) -> DataFrame:
+def linked(points: DataFrame, radius: int = 3, leaf_size: int = 512, max_depth: int = 16, tile: int = 8192, sample: int = 16384) -> DataFrame:
     """Edges ``(a, b)`` that connect exactly the fingerprints ``fp`` linked by chains of pairs within ``radius`` bits.
 
     ``points(fp long)`` holds distinct fingerprints.  Two vantage-point trees of
-    at most ``2**max_depth`` leaves are fitted on about ``sample`` points and sent
+    at most ``2**max_depth`` leaves are fitted on about ``sample`` points, or four a
+    leaf if that is more, and sent
     to the tasks (their size is bounded by these parameters); every point is
     then stored in one leaf of each tree and visits the leaves its ball overlaps.
     A leaf with more than ``tile`` points or visitors is compared in a grid of
@@ -162,9 +163,9 @@ def linked(points: DataFrame, radius: int = 3, leaf_size: int = 512, max_depth:
     n = points.count()
     if n < 2:
         return points.sparkSession.createDataFrame([], "a long, b long")
-    picked = points.where(F.pmod(F.xxhash64("fp", F.lit(11)), F.lit(n)) < sample).collect()
-    some = np.array([r.fp for r in picked], np.int64).view(np.uint64)
     depth = int(np.clip(np.ceil(np.log2(n / leaf_size)), 0, max_depth))
+    picked = points.where(F.pmod(F.xxhash64("fp", F.lit(11)), F.lit(n)) < max(sample, 4 << depth)).collect()
+    some = np.array([r.fp for r in picked], np.int64).view(np.uint64)
     trees = [VantageTree(some, shift, radius // 2, depth) for shift in (0, 32)]
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,6 +231,6 @@ def one_of_each(docs: DataFrame, radius: int = 3) -> DataFrame:
     found = scratch(components(docs, radius), "components")
     first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("g")).agg(F.min(F.struct("doc_id", "text_hash")).alias("w"))
     keep = first.select(F.col("w.doc_id").alias("__keep_id"), F.col("w.text_hash").alias("__keep_hash")).distinct()
-    marked = docs.withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    marked = plain(docs, "doc_id", "text").withColumn("__hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     held = marked.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.col("__hash") == F.col("__keep_hash")), "left_semi")
-    return held.dropDuplicates(["doc_id", "__hash"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return held.dropDuplicates(["doc_id", "__hash"]).drop("__hash").toDF(*docs.columns)

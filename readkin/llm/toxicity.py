@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, scratch, utf8
+from .common import mapped, plain, scratch, utf8
 from .linear import fit, sigmoid, summed
 
 #: ASCII other than letters and digits separates words.
@@ -215,7 +215,8 @@ def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rule
             masks = [voters.mask(a, b) for a, b in zip(utf8(batch.column(0)), utf8(batch.column(0), lower=True))]
             yield pa.RecordBatch.from_arrays([pa.array(masks, pa.int64()), *batch.columns[1:]], names=["mask", *batch.schema.names[1:]])
 
-    votes = scratch(docs.select("text", F.col("doc_id").alias("__id"), learn.alias("__learn")).mapInArrow(vote, "mask long, __id long, __learn boolean"), "votes")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    votes = scratch(docs.select("text", F.col("doc_id").alias("__id"), learn.alias("__learn")).mapInArrow(vote, f"mask long, __id {kind}, __learn boolean"), "votes")
     patterns = scratch(votes.where("__learn").groupBy("mask").agg(F.count("*").alias("count")), "patterns")
     if prior:
         marks = labels.where(learn).where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -243,4 +244,4 @@ def scores(docs: DataFrame, labels: DataFrame, learn: Column | None = None, rule
 
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """``docs``, in all its columns, without the rows that score ``threshold`` or more."""
-    return scores(docs, labels, **options).where(F.col("toxicity") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return scores(plain(docs, "doc_id", "text"), labels, **options).where(F.col("toxicity") < threshold).drop("toxicity").toDF(*docs.columns)
