@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import mapped, utf8
+from .common import mapped, scratch, utf8
 
 #: ASCII other than letters and digits separates words.
 _BLANK = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
@@ -30,7 +32,7 @@ class Rules:
     block: int = 16  # parts of a posting block
     shingle: int = 5
     overlap: float = 0.8  # share of shingles that verifies
-    index_bytes: int = 32 << 20  # most item text of one index
+    index_bytes: int = 4 << 20  # most item text of one index, about
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -58,14 +60,13 @@ class ImpactIndex:
 
     def __init__(self, items: list[tuple[int, bytes]], df: dict[bytes, int], n_parts: int, mean_length: float, rules: Rules):
         self.rules = rules
-        self.items = []
+        self.items = []  # id and text; words and shingles of an item are made when it is verified
         parts = []
         for item_id, text in items:
-            q, a = _question_answer(text)
             w = words_of(text)
             if not w:
                 continue
-            self.items.append((item_id, w, _shingles(w, rules.shingle), _shingles(words_of(q), rules.shingle), _shingles(words_of(a), rules.shingle)))
+            self.items.append((item_id, text))
             parts += [(len(self.items) - 1, p) for p in item_parts(w, rules.part)]
         parts.sort(key=lambda p: len(p[1]))
         self.owner = np.array([i for i, _ in parts], np.int64)
@@ -166,13 +167,21 @@ class ImpactIndex:
 
     def verify(self, words: list[bytes], first: int, item: int) -> tuple[float, float, float]:
         """Overlap of the item, its question and its answer with the passage and an item's length around it."""
-        _, w, whole, question, answer = self.items[item]
+        w, whole, question, answer = _shingled(self.items[item][1], self.rules.shingle)
         near = words[max(0, first - len(w)) : first + self.rules.passage + len(w)]
         share = lambda s: sum(_within(near, x) if len(x) < self.rules.shingle else x in seen for x in s) / len(s) if s else 1.0
         seen = _shingles(near, self.rules.shingle)
         return share(whole), share(question), share(answer)
 
 
+@lru_cache(maxsize=1024)
+def _shingled(text: bytes, n: int) -> tuple[list[bytes], set, set, set]:
+    """Words of an item, and shingles of all of it, its question and its answer."""
+    q, a = _question_answer(text)
+    w = words_of(text)
+    return w, _shingles(w, n), _shingles(words_of(q), n), _shingles(words_of(a), n)
+
+
 def _within(words: list[bytes], run: tuple[bytes, ...]) -> bool:
     return any(tuple(words[i : i + len(run)]) == run for i in range(len(words) - len(run) + 1))
 
@@ -183,23 +192,40 @@ def item_parts(words: list[bytes], longest: int) -> list[list[bytes]]:
     return [words[i * len(words) // n : (i + 1) * len(words) // n] for i in range(n)]
 
 
-def indexes(benchmark: DataFrame, rules: Rules) -> list[ImpactIndex]:
-    """Indexes over all items of ``benchmark(item_id, text)``, none over more than ``rules.index_bytes`` of text.
+def _part_words(items: DataFrame, rules: Rules) -> DataFrame:
+    """``word, df, length``: in how many parts of items a word is, and how many words they have; the empty word stands for any part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            df: Counter[bytes] = Counter()
+            length = 0
+            for text in utf8(batch.column(0), lower=True):
+                for part in item_parts(words_of(text), rules.part):
+                    df.update({b"", *part})
+                    length += len(part)
+            yield pa.RecordBatch.from_pydict({"word": pa.array(df.keys(), pa.binary()), "df": pa.array(df.values(), pa.int64()), "length": pa.array([length * (w == b"") for w in df], pa.int64())})
+
+    return items.select("text").mapInArrow(run, "word binary, df long, length long").groupBy("word").agg(F.sum("df").alias("df"), F.sum("length").alias("length"))
 
-    Document frequencies and lengths are those of the whole benchmark.  Items
-    arrive at the driver index by index; each index is a bounded object that goes
-    to the tasks, and a benchmark of any size is a list of them.
+
+def indexes(benchmark: DataFrame, rules: Rules) -> Iterator[ImpactIndex]:
+    """Indexes over all items of ``benchmark(item_id, text)``, one at a time, each over about ``rules.index_bytes`` of text at most.
+
+    Document frequencies and lengths are those of the whole benchmark, counted by
+    Spark.  Items are dealt by a hash of id and text.  Of the benchmark, the driver holds the items and the
+    frequencies of one index, a bounded object that then goes to the tasks.
     """
-    items = benchmark.select("item_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).where("text <> ''").distinct()
+    items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).where("text <> ''").distinct()
     size = items.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
     n = max(1, -(-2 * size // rules.index_bytes)) if size > rules.index_bytes else 1
-    slices = [[(r.item_id, r.text.encode()) for r in items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == i).orderBy("item_id", "text").collect()] for i in range(n)]
-    df: Counter[bytes] = Counter()
-    n_parts = length = 0
-    for part in (p for s in slices for _, text in s for p in item_parts(words_of(text), rules.part)):
-        df.update(set(part))
-        n_parts, length = n_parts + 1, length + len(part)
-    return [ImpactIndex(s, df, n_parts, length / max(1, n_parts), rules) for s in slices if any(words_of(t) for _, t in s)]
+    counts = scratch(_part_words(items, rules), "part-words") if n > 1 else _part_words(items, rules)
+    for i in range(n):
+        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
+        df = {bytes(r.word): r for r in (counts.join(_part_words(some, rules).select("word"), "word", "left_semi") if n > 1 else counts).collect()}
+        if any_part := df.get(b""):
+            rows = some.orderBy("item_id", "text").toArrow()
+            held = list(zip(rows.column(0).to_pylist(), utf8(rows.column(1).combine_chunks(), lower=True)))
+            yield ImpactIndex(held, {w: r.df for w, r in df.items()}, any_part.df, any_part.length / any_part.df, rules)
 
 
 def _hits(texts: list[bytes], index: ImpactIndex) -> Iterator[tuple[int, int, float, float, float]]:
@@ -229,29 +255,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules()) -> Data
     reported once under each item_id; repeated documents are reported as often
     as they come; empty tables give no row; other columns are not read.
     """
+    kinds = [docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType]
+    schema = f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, overlap double, question_overlap double, answer_overlap double"
     out = None
     for index in indexes(benchmark, rules):
+        if out is not None:
+            out = scratch(out, "leaks")  # so that no plan holds more than one index
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids = batch.column(0)
                 hits = list(_hits(utf8(batch.column(1), lower=True), index))
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array([h[0] for h in hits], pa.int64())), pa.array([index.items[h[1]][0] for h in hits], pa.int64()), *(pa.array([h[k] for h in hits], pa.float64()) for k in (2, 3, 4))],
-                    names=["doc_id", "item_id", "overlap", "question_overlap", "answer_overlap"],
-                )
+                ids = [batch.column(0).take(pa.array([h[0] for h in hits], pa.int64())), pa.array([index.items[h[1]][0] for h in hits], to_arrow_type(kinds[1]))]
+                yield pa.RecordBatch.from_arrays([*ids, *(pa.array([h[k] for h in hits], pa.float64()) for k in (2, 3, 4))], names=["doc_id", "item_id", "overlap", "question_overlap", "answer_overlap"])
 
-        found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, overlap double, question_overlap double, answer_overlap double")
+        found = docs.select("doc_id", "text").mapInArrow(run, schema)
         out = found if out is None else out.union(found)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, overlap double, question_overlap double, answer_overlap double")
-    return out
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``docs``, in all its columns, without the rows into whose text an item leaked."""
-    for index in indexes(benchmark, rules):
-        at = docs.columns.index("text")
+    at = docs.columns.index("text")
+    for k, index in enumerate(indexes(benchmark, rules)):
+        if k:
+            docs = scratch(docs, "unleaked")
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
