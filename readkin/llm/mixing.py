@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count
+from .common import plain, word_count
 
 _SUB = 1024
 
@@ -74,37 +74,71 @@ def _covered(start: Column, size: Column, length: Column, origin: Column, around
     return turns * size + direct + wrapped
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 17, shards: int = 16, blocks_per_shard: int = 1 << 16) -> DataFrame:
-    """``docs`` with ``__size, __source_size, __target, __taken`` of every row.
+def _portions(goals: DataFrame, granted: DataFrame, cap: int, seed: int) -> DataFrame:
+    """``key, portions``: for every shard the stretch of the source's ring that is its own, how many tokens it takes there and from where on.
 
-    The words of a source stand on a ring in a seeded order of its documents,
-    cut into equal blocks.  From a seeded block on, as many blocks are taken as
-    the quotas of all shards grant; going round takes the same words again, at
-    most ``cap`` times.  ``__taken`` is what that takes of the document.
-
-    Running positions are two-level: totals of 1,024 hash ranges of each source,
-    then a window inside a range, so a source with a third of all rows is spread
-    over 1,024 groups.  A null text has no words and takes none; a null source
-    is a source of its own, last in order; ties of the seeded hash fall to
-    doc_id, and equal rows are interchangeable; an empty table gives no row; other
-    columns pass through (names that begin with two underscores are ours).
+    Stretches are in proportion to the shards' quotas, so each is gone round about as
+    often as the others, and at most ``cap`` times.
     """
+    by_shard = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("key")
+    g = granted.join(goals.select("key", "size", "target"), "key").withColumns({"upto": F.sum("blocks").over(by_shard), "all": F.sum("blocks").over(whole)})
+    wide = lambda c: F.col(c).cast("decimal(18,0)")
+    end = lambda seats: F.floor(wide("size") * seats / F.greatest(F.col("all"), F.lit(1))).cast("long")
+    g = g.withColumns({"lo": end(F.col("upto") - F.col("blocks")), "hi": end(F.col("upto"))}).withColumn("around", F.col("hi") - F.col("lo"))
+    # The quota up to rounding; all together take exactly what is granted.
+    take = lambda c: F.floor(wide("tokens") * F.col(c) / F.greatest(F.col("size"), F.lit(1))).cast("long")
+    g = g.withColumn("tokens", F.when(F.col("target") >= cap * F.col("size"), cap * F.col("size")).otherwise(F.least(F.col("all") * F.col("block"), cap * F.col("size"))))
+    length = take("hi") - take("lo")
+    origin = (F.pmod(F.xxhash64("key", "shard", F.lit(seed)), F.greatest(F.lit(1), F.ceil(F.col("around") / F.col("block")))) * F.col("block")).cast("long")
+    return g.where("around > 0").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("shard", "lo", "hi", length.alias("length"), origin.alias("origin")))).alias("portions"))
+
+
+def _mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 17, shards: int = 16, blocks_per_shard: int = 1 << 16) -> DataFrame:
+    """``mix`` of rows whose columns do not begin with two underscores."""
     rows = _keyed(docs, seed)
     subs = rows.groupBy("__key", "__sub").agg(F.sum("__size").alias("words"))
     goals = targets(subs.groupBy(F.col("__key").alias("key")).agg(F.sum("words").alias("size")), weights, cap)
-    granted = quotas(goals, shards, blocks_per_shard).groupBy("key").agg(F.sum("blocks").alias("blocks"), F.max("block").alias("block"))
-    plan = goals.join(granted, "key", "left").select(
-        F.col("key").alias("__key"), F.col("size").alias("__source_size"), F.col("target").alias("__target"),
-        F.least(F.coalesce(F.col("blocks") * F.col("block"), F.lit(0)), cap * F.col("size")).cast("long").alias("__length"),
-        (F.pmod(F.xxhash64("key", F.lit(seed)), F.greatest(F.lit(1), F.ceil(F.col("size") / F.col("block")))) * F.col("block")).alias("__origin"),
-    )
+    portions = _portions(goals, quotas(goals, shards, blocks_per_shard), cap, seed)
+    plan = goals.join(portions, "key", "left").select(F.col("key").alias("__key"), F.col("size").alias("__source_size"), F.col("target").alias("__target"), F.col("portions").alias("__portions"))
     before = Window.partitionBy("__key").orderBy("__sub").rowsBetween(Window.unboundedPreceding, -1)
     plan = subs.select("__key", "__sub", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("__base")).join(plan, "__key")
     inside = Window.partitionBy("__key", "__sub").orderBy("__h", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("__start", F.coalesce(F.sum("__size").over(inside), F.lit(0))).join(plan, ["__key", "__sub"])
     start = F.col("__base") + F.col("__start")
-    taken = F.when(F.col("__size") > 0, _covered(start, F.col("__size"), F.col("__length"), F.coalesce("__origin", F.lit(0)), F.col("__source_size"))).otherwise(0)
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], "__size", "__source_size", "__target", taken.cast("long").alias("__taken"))
+    end = start + F.col("__size")
+
+    def of(p: Column) -> Column:
+        first = F.greatest(start, p["lo"])
+        return _covered(first - p["lo"], F.least(end, p["hi"]) - first, p["length"], p["origin"], p["hi"] - p["lo"]).cast("long")
+
+    mine = F.filter("__portions", lambda p: (p["lo"] < end) & (p["hi"] > start))
+    taken = F.when(F.col("__size") > 0, F.aggregate(mine, F.lit(0).cast("long"), lambda a, p: a + of(p)))
+    shard = F.when(F.col("__size") > 0, F.try_element_at(mine, F.lit(1))["shard"])
+    return placed.select(*docs.columns, "__size", "__source_size", "__target", F.coalesce(taken, F.lit(0).cast("long")).alias("__taken"), shard.alias("__shard"))
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with ``__size, __source_size, __target, __taken, __shard`` of every row.
+
+    The words of a source stand on a ring in a seeded order of its documents,
+    cut into equal blocks.  Every shard has a stretch of the ring, as long as its quota
+    bids, and takes as many blocks there as its quota grants, from a seeded one on; going
+    round takes the same words again, at
+    most ``cap`` times.  ``__taken`` is what the shards take of the document, ``__shard``
+    the first of those whose stretch it is in.
+
+    Running positions are two-level: totals of 1,024 hash ranges of each source,
+    then a window inside a range, so a source with a third of all rows is spread
+    over 1,024 groups.  A null text has no words and takes none; a null source
+    is a source of its own, last in order; ties of the seeded hash fall to
+    doc_id, and equal rows are interchangeable; an empty table gives no row; other
+    columns pass through; one that has a name of the result is an error.
+    """
+    added = ("__size", "__source_size", "__target", "__taken", "__shard")
+    if clash := set(added) & {c.lower() for c in docs.columns}:
+        raise ValueError(f"the input already has columns {sorted(clash)}")
+    return _mix(plain(docs, "doc_id", "text", "source"), **options).toDF(*docs.columns, *added)
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
@@ -112,7 +146,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
     Documents without words take no part in the mix and stay once.
     """
-    out = mix(docs, **options)
+    out = _mix(plain(docs, "doc_id", "text", "source"), **options)
     copies = F.when(F.col("__size") == 0, 1).otherwise(F.floor(F.col("__taken") / F.col("__size") + 0.5).cast("int"))
     out = out.withColumn("__copies", copies).where("__copies > 0")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__n")).drop("__n")
+    names = [c for c in out.columns if not c.startswith("__")]
+    return out.select(*names, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__n")).drop("__n").toDF(*docs.columns)

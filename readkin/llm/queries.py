@@ -28,12 +28,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = mixing.mix(docs, weights=(1, 2, 3), cap=3)
-    return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__taken").alias("taken"))
+    return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__taken").alias("taken"), F.col("__shard").alias("shard"))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class, links and verdict of every line of every document; lines link at up to 2 edits."""
-    return lines.classes(table(spark, sf_dir, "documents"), edits=2, least=20)
+    """Class, links and verdict of every line of every document; lines link at up to 1 edit from 9 letters, 2 from 20."""
+    return lines.classes(table(spark, sf_dir, "documents"))
 
 
 def dated_lists(pages: DataFrame) -> DataFrame:
