@@ -128,32 +128,59 @@ def robust_distances(rows: DataFrame, keys: list[str], d: int, support: float =
     Minimum covariance determinant by concentration steps on all rows: each step
     keeps, in every group, the ``support`` share of rows nearest to the centre
     under the present estimate and estimates again, which never raises the
-    determinant.  The start is the group's coordinate-wise median and mean
-    absolute deviation.  The last estimate is rescaled so that the median distance is
-    that of the chi-square law.  A step is one map-side-combined aggregation and
+    determinant.  Three starts are followed in each group, and the estimate of the least
+    determinant is taken.  Distances are scaled down so that their median is
+    that of the chi-square law, never up: ``ridge``, added to all variances, is the
+    least spread that counts.  A step is one map-side-combined aggregation and
     one join with a row a group, so a group of any share of the rows is spread
-    over all tasks.  Groups of fewer than ``least`` rows use the estimates over all
-    rows: the group keys are replaced by null for them beforehand.
+    over all tasks.  Groups of fewer than ``least`` rows are one
+    group, apart from that of null keys.
     """
     x = [f"x{i}" for i in range(d)]
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("__n"))
     small = F.coalesce(F.col("__n"), F.lit(0)) < least
     marked = _joined(rows, sizes, keys)
-    rows = scratch(marked.select(*[c for c in marked.columns if c not in (*keys, "__n")], *[F.when(~small, F.col(k)).alias(k) for k in keys]), "vectors")
+    rows = scratch(marked.select(*[c for c in marked.columns if c not in (*keys, "__n")], *[F.when(~small, F.col(k)).alias(k) for k in keys], small.alias("__pooled")), "vectors")
+    keys = [*keys, "__pooled"]  # a group of null keys is not that of the small groups
     both = rows.select(*keys, *x)
-    start = both.groupBy(*keys).agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"c{i}") for i, c in enumerate(x)])
-    spread = _joined(both, start, keys).groupBy(*keys).agg(*[F.first(f"c{i}").alias(f"c{i}") for i in range(d)], *[F.avg(F.abs(F.col(f"x{i}") - F.col(f"c{i}"))).alias(f"d{i}") for i in range(d)])
-    now = spread.select(*keys, *[f"c{i}" for i in range(d)], *[(1 / (F.pow(F.col(f"d{i}") * 1.2533, F.lit(2)) + ridge) if i == j else F.lit(0.0)).alias(f"w{i}_{j}") for i in range(d) for j in range(i, d)], F.lit(0.0).alias("logdet"))
-    now = scratch(now, "start")
+    now = scratch(_starts(both, keys, d, ridge), "starts")
     for _ in range(steps):
-        measured = _joined(both, now, keys).select(*keys, *x, _distance(d).alias("distance"))
-        cuts = scratch(measured.groupBy(*keys).agg(F.percentile_approx("distance", support, 1000).alias("__cut")), "cuts")
-        inside = _joined(measured, cuts, keys)
-        now = scratch(_estimates(inside.groupBy(*keys).agg(*_moments(d, F.col("distance") <= F.col("__cut"))), keys, d, ridge), "estimates")
+        measured = _joined(both, now, keys).select(*keys, "__start", *x, _distance(d).alias("distance"))
+        cuts = scratch(measured.groupBy(*keys, "__start").agg(F.percentile_approx("distance", support, 1000).alias("__cut")), "cuts")
+        inside = _joined(measured, cuts, [*keys, "__start"])
+        now = scratch(_estimates(inside.groupBy(*keys, "__start").agg(*_moments(d, F.col("distance") <= F.col("__cut"))), [*keys, "__start"], d, ridge), "estimates")
+    numbers = [c for c in now.columns if c not in (*keys, "__start")]
+    least_det = now.groupBy(*keys).agg(F.min(F.struct("logdet", "__start", *[c for c in numbers if c != "logdet"])).alias("b"))
+    now = scratch(least_det.select(*keys, *[F.col(f"b.{c}").alias(c) for c in numbers]), "least")
     measured = _joined(rows, now, keys).select(*rows.columns, _distance(d).alias("distance"))
     middle = scratch(measured.groupBy(*keys).agg(F.percentile_approx("distance", 0.5, 1000).alias("__middle")), "middles")
     chi_median = d * (1 - 2 / (9 * d)) ** 3
-    return _joined(measured, middle, keys).withColumn("distance", F.col("distance") * chi_median / F.greatest(F.col("__middle"), F.lit(1e-9))).drop("__middle")
+    scale = F.least(F.lit(1.0), chi_median / F.greatest(F.col("__middle"), F.lit(1e-9)))
+    return _joined(measured, middle, keys).withColumn("distance", F.col("distance") * scale).drop("__middle", "__pooled")
+
+
+def _starts(both: DataFrame, keys: list[str], d: int, ridge: float) -> DataFrame:
+    """``keys, __start, c0.., w0_0.., logdet``: three first estimates of every group.
+
+    The centre of all is the coordinate-wise median.  The scatter is that of the mean absolute
+    deviations alone (0), of hyperbolic tangents of the rows in units of these (1),
+    or of their directions (2).
+    """
+    median = both.groupBy(*keys).agg(*[F.percentile_approx(f"x{i}", 0.5, 1000).alias(f"m{i}") for i in range(d)])
+    spread = _joined(both, median, keys).groupBy(*keys).agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(d)], *[F.avg(F.abs(F.col(f"x{i}") - F.col(f"m{i}"))).alias(f"d{i}") for i in range(d)])
+    spread = scratch(spread, "spreads")
+    width = [F.sqrt(F.pow(F.col(f"d{i}") * 1.2533, F.lit(2)) + ridge) for i in range(d)]
+    units = _joined(both, spread, keys).select(*keys, *[((F.col(f"x{i}") - F.col(f"m{i}")) / width[i]).alias(f"z{i}") for i in range(d)])
+    norm = F.sqrt(sum((F.pow(f"z{i}", F.lit(2)) for i in range(d)), F.lit(1e-12)) / d)
+    bent = F.array(*[F.struct(F.lit(s).alias("__start"), *[c.alias(f"x{i}") for i, c in enumerate(v)]) for s, v in ((1, [F.tanh(f"z{i}") for i in range(d)]), (2, [F.col(f"z{i}") / norm for i in range(d)]))])
+    turned = units.select(*keys, F.explode(bent).alias("v")).select(*keys, "v.*")
+    shapes = _estimates(turned.groupBy(*keys, "__start").agg(*_moments(d)), [*keys, "__start"], d, ridge)
+    w = [(i, j) for i in range(d) for j in range(i, d)]
+    named, none = [F.col(f"m{i}").alias(f"c{i}") for i in range(d)], F.lit(0.0).alias("logdet")
+    # The inverse covariance of x is that of the units over both widths.
+    curved = _joined(shapes.select(*keys, "__start", *[f"w{i}_{j}" for i, j in w]), spread, keys).select(*keys, "__start", *named, *[(F.col(f"w{i}_{j}") / width[i] / width[j]).alias(f"w{i}_{j}") for i, j in w], none)
+    straight = spread.select(*keys, F.lit(0).alias("__start"), *named, *[(1 / F.pow(width[i], F.lit(2)) if i == j else F.lit(0.0)).alias(f"w{i}_{j}") for i, j in w], none)
+    return straight.union(curved)
 
 
 def _joined(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -174,9 +201,8 @@ def judge(docs: DataFrame, keys: tuple[str, str] = ("lang", "source"), cutoff: f
     ``cutoff``.  (The tails of text statistics are heavier than normal ones, so
     the cutoff stands well above the chi-square quantile.)
 
-    A null text counts as empty and fails; null languages and sources are groups
-    of their own; groups with fewer than ``least`` rows are measured by the estimates
-    over all small groups together; repeated rows are judged alike; an empty table
+    A null text counts as empty and fails; null is a language and a source like
+    others; groups with fewer than ``least`` rows are measured together, as one group; repeated rows are judged alike; an empty table
     gives no row; other columns are not read.
     """
     d = len(VECTOR)

@@ -17,8 +17,8 @@ def assign(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFr
     each, give every partition its offset, and a running sum inside the
     partition gives every row its global first byte.  The order is cut at equal
     shares of all bytes; a cut that falls inside a group of equal texts moves to
-    the group's start if the whole group has at most ``tolerance`` of a shard's
-    bytes, so only larger groups are divided.  ``slot`` counts the rows of a
+    the group's end, so that all of it is in the shard of its first row, if the whole group has at most ``tolerance`` of a shard's
+    bytes; only larger groups are divided.  ``slot`` counts the rows of a
     shard from 0.
 
     A null text has no bytes and CRC-32 zero; a null doc_id sorts first; repeated
