@@ -72,16 +72,17 @@ def affine(seq: str, ref: str, match: int = 1, mismatch: int = -4, gap_open: int
 
 
 def align(reads: DataFrame, refs: DataFrame, near: int = 3, least_score: int = 30) -> DataFrame:
-    """``reads(target, seq, ..)`` with ``flag, pos0, mapq, cigar`` against ``refs(target, ref)``.
+    """``reads(target, seq, ..)`` with ``flag, pos0, mapq, cigar`` against ``refs(target, ref)``, a row a gene.
 
-    Every different (target, sequence) is aligned once and joined back; one of the
-    reference's length that differs in at most ``near`` bases is all matches
-    without alignment.  Scores under ``least_score`` are unmapped.
+    A sequence of the reference's length that differs in at most ``near`` bases is all
+    matches, which is told on the read's own row, so the many reads that equal the
+    reference are not shuffled.  Of the others every different (target, sequence) is aligned once and
+    joined back.  Scores under ``least_score`` are unmapped.
     """
-    distinct = reads.select("target", "seq").distinct().join(F.broadcast(refs), "target")
-    at = F.sequence(F.lit(1), F.char_length("ref"))
-    wrong = F.size(F.filter(at, lambda i: F.substring("seq", i, F.lit(1)) != F.substring("ref", i, F.lit(1))))
-    easy = (F.char_length("seq") == F.char_length("ref")) & (F.char_length("ref") > 0) & (wrong <= near) & (F.char_length("ref") - 5 * wrong >= least_score)
+    marked = reads.join(F.broadcast(refs.select("target", F.col("ref").alias("__ref"))), "target")
+    same = lambda a, b: F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), lambda x: x))
+    n = F.char_length("__ref")
+    wrong = F.when((F.char_length("seq") == n) & (n > 0), F.when(F.col("seq") == F.col("__ref"), 0).otherwise(same("seq", "__ref")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -89,10 +90,12 @@ def align(reads: DataFrame, refs: DataFrame, near: int = 3, least_score: int = 3
             ok = [g[0] >= least_score for g in got]
             yield pd.DataFrame({"target": p["target"], "seq": p["seq"], "flag": [0 if k else 4 for k in ok], "pos0": [g[1] if k else -1 for g, k in zip(got, ok)], "mapq": [60 if k else 0 for k in ok], "cigar": [g[2] if k else "*" for g, k in zip(got, ok)]})
 
-    marked = distinct.withColumn("__easy", F.coalesce(easy, F.lit(False)))
-    done = marked.where("__easy").select("target", "seq", F.lit(0).alias("flag"), F.lit(0).alias("pos0"), F.lit(60).alias("mapq"), F.concat(F.char_length("seq").cast("string"), F.lit("M")).alias("cigar"))
-    hard = marked.where(~F.col("__easy")).select("target", "seq", "ref").mapInPandas(run, "target string, seq string, flag int, pos0 int, mapq int, cigar string")
-    return reads.join(done.unionByName(hard), ["target", "seq"])
+    marked = marked.withColumn("__wrong", wrong).withColumn("__easy", F.coalesce((F.col("__wrong") <= near) & (n - 5 * F.col("__wrong") >= least_score), F.lit(False)))
+    columns = [*reads.columns, "flag", "pos0", "mapq", "cigar"]
+    done = marked.where("__easy").withColumns({"flag": F.lit(0), "pos0": F.lit(0), "mapq": F.lit(60), "cigar": F.concat(n.cast("string"), F.lit("M"))})
+    rest = marked.where(~F.col("__easy"))
+    hard = rest.select("target", "seq", F.col("__ref").alias("ref")).distinct().mapInPandas(run, "target string, seq string, flag int, pos0 int, mapq int, cigar string")
+    return done.select(columns).union(rest.join(hard, ["target", "seq"]).select(columns))
 
 
 def family_names(aln: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from ..params import Grid
 from .mutations import FAMILY
 
 #: An allele in a consensus row.
-MUT = "struct<pos:int,allele:string,freq:double,n:bigint,wt_freq:double,existing:bigint,mut_above:bigint,wt_above:bigint,wt_existing:bigint>"
+MUT = "struct<pos:int,allele:string,freq:double,n:bigint,wt_freq:double,existing:bigint,mut_above:bigint,wt_above:bigint,above:bigint,wt_existing:bigint>"
 
 
 def _above(c: str) -> Column:
@@ -28,7 +28,7 @@ def consensus(table: DataFrame) -> DataFrame:
     f = list(FAMILY)
     wt = F.col("kind") == "wt"
     rows = table.withColumns({"freq": digits12(F.col("mutation_freq")), "above_all": _above("bc3_all"), "existing_all": F.col("bc3_existing"), "mut_above": _above("bc3_hq"), "wt_above": _above("bc3_wt")})
-    m = F.struct("pos", "allele", "freq", F.col("hq_count").alias("n"), F.lit(None).cast("double").alias("wt_freq"), F.col("bc3_existing").alias("existing"), "mut_above", "wt_above", F.col("bc3_wt_existing").alias("wt_existing"))
+    m = F.struct("pos", "allele", "freq", F.col("hq_count").alias("n"), F.lit(None).cast("double").alias("wt_freq"), F.col("bc3_existing").alias("existing"), "mut_above", "wt_above", F.col("above_all").alias("above"), F.col("bc3_wt_existing").alias("wt_existing"))
     got = rows.groupBy(*f).agg(
         F.array_sort(F.collect_list(F.when(~wt, m))).alias("m"), F.coalesce(F.sum(F.when(~wt, F.col("hq_count"))), F.lit(0)).alias("hq"), F.max("total_count").alias("total_count"), F.max("above_all").alias("above_all"),
         F.max(F.when(wt, F.struct(F.col("hq_count").alias("n"), "freq", F.col("bc3_existing").alias("existing")))).alias("w"),
@@ -47,18 +47,22 @@ def consensus(table: DataFrame) -> DataFrame:
     )
 
 
+def _from_start(allele: Column, pos: Column, tss: int) -> Column:
+    """An allele's name with its place counted from the transcription start, ``d`` for a deletion and ``i`` for an insertion."""
+    shift = F.when(pos - tss + 1 > 0, (pos - tss + 1).cast("string")).otherwise(F.raise_error(F.lit("a mutation lies before the transcription start")).cast("string"))
+    return F.concat(shift, F.regexp_replace(F.regexp_replace(F.regexp_replace(allele, r"^\d+", ""), "-$", "d"), "^-", "i"))
+
+
 def rendered(cons: DataFrame, tss: int = 1) -> DataFrame:
     """The text form of consensus rows, places also counted from the transcription start."""
-    shift = lambda p: F.when(p - tss + 1 > 0, (p - tss + 1).cast("string")).otherwise(F.raise_error(F.lit("a mutation lies before the transcription start")).cast("string"))
-    rest = lambda a: F.regexp_replace(F.regexp_replace(F.regexp_replace(a, r"^\d+", ""), "-$", "d"), "^-", "i")
     join = lambda g: F.array_join(F.transform("muts", g), ";")
     or_wt = lambda c, w: F.when(F.col("mutated"), c).otherwise(w)
     return cons.select(
-        *FAMILY, or_wt(join(lambda x: x["allele"]), "WT").alias("consensus"), or_wt(join(lambda x: F.concat(shift(x["pos"]), rest(x["allele"]))), "WT").alias("consensus_tss"),
+        *FAMILY, or_wt(join(lambda x: x["allele"]), "WT").alias("consensus"), or_wt(join(lambda x: _from_start(x["allele"], x["pos"], tss)), "WT").alias("consensus_tss"),
         or_wt(join(lambda x: F.format_string("%.6f", x["freq"])), "0").alias("mutation_freqs"), or_wt(join(lambda x: x["n"].cast("string")), "0").alias("mutation_counts"), "total_count",
         F.size("muts").alias("positions"), or_wt(join(lambda x: F.format_string("%.6f", x["wt_freq"])), F.format_string("%.6f", "unmutated_freq")).alias("wt_freqs"),
         or_wt(join(lambda x: x["existing"].cast("string")), F.col("wt_existing").cast("string")).alias("bc3_existing"), or_wt(join(lambda x: x["mut_above"].cast("string")), "NA").alias("bc3_mut_above1"),
-        or_wt(join(lambda x: x["wt_above"].cast("string")), F.col("above_all").cast("string")).alias("bc3_wt_above1"), or_wt(join(lambda x: F.coalesce(x["wt_existing"].cast("string"), F.lit("NA"))), F.col("wt_existing").cast("string")).alias("bc3_all_wt_count"),
+        or_wt(join(lambda x: x["wt_above"].cast("string")), F.col("above_all").cast("string")).alias("bc3_wt_above1"), or_wt(join(lambda x: x["above"].cast("string")), F.col("above_all").cast("string")).alias("bc3_above1"), or_wt(join(lambda x: F.coalesce(x["wt_existing"].cast("string"), F.lit("NA"))), F.col("wt_existing").cast("string")).alias("bc3_all_wt_count"),
         "unmutated", "unmutated_freq",
     )
 
@@ -68,7 +72,11 @@ def grid_frame(spark: SparkSession, grid: Grid) -> DataFrame:
     return spark.createDataFrame([(float(x), int(b)) for x in grid.freqs for b in grid.bc3s], "min_freq double, min_bc3 int")
 
 
-def _selected(grid: Grid) -> Column:
+#: What is known of a selected allele; of those that fall together it is summed.
+_NUMBERS = ("freq", "n", "wt_freq", "existing", "mut_above", "wt_above", "above", "wt_existing")
+
+
+def _selected(grid: Grid, tss: int) -> Column:
     """Alleles that a (frequency, barcode) cutoff leaves, an ambiguous place as ``<pos>N``.
 
     An allele is taken if it passes; if neither it nor the wild type at its place
@@ -84,30 +92,41 @@ def _selected(grid: Grid) -> Column:
 
     def fold(acc: Column, x: Column) -> Column:
         name = F.when(ok(x), x["allele"]).otherwise(F.concat(x["pos"].cast("string"), F.lit("N")))
+        tss_name = F.when(ok(x), _from_start(x["allele"], x["pos"], tss)).otherwise(F.concat((x["pos"] - tss + 1).cast("string"), F.lit("N")))
         last = F.try_element_at(acc, F.lit(-1))
-        row = lambda freq, n: F.struct(name.alias("allele"), freq.alias("freq"), n.alias("n"))
+        row = lambda of: F.struct(name.alias("allele"), tss_name.alias("tss"), *[of(k).alias(k) for k in _NUMBERS])
         again = (F.size(acc) > 0) & ~ok(x) & (last["allele"] == name)
-        return F.when(again, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(row(last["freq"] + x["freq"], last["n"] + x["n"])))).otherwise(F.concat(acc, F.array(row(x["freq"], x["n"]))))
+        return F.when(again, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(row(lambda k: last[k] + x[k])))).otherwise(F.concat(acc, F.array(row(lambda k: x[k]))))
 
-    return F.aggregate(keep, F.array().cast("array<struct<allele:string,freq:double,n:bigint>>"), fold)
+    kinds = ",".join(f"{k}:{'double' if 'freq' in k else 'bigint'}" for k in _NUMBERS)
+    return F.aggregate(keep, F.array().cast(f"array<struct<allele:string,tss:string,{kinds}>>"), fold)
 
 
-def apply_cutoffs(cons: DataFrame, grid: Grid) -> DataFrame:
-    """Every family under every (frequency, barcode) cutoff: ``status, consensus, freqs, counts, positions``.
+def apply_cutoffs(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
+    """Every family under every (frequency, barcode) cutoff: status, consensus and all that a consensus row tells of its alleles.
+
+    Where all alleles are rejected for the wild type, the row is the family's as it was, with the
+    numbers of its unmutated reads and the barcodes of the wild type.
 
     The read-count cutoff is only a filter on ``total_count`` and is left to
     ``at_count`` and ``haplotype_counts``, so 66 choices stand for 858.  The grid
     has a fixed number of rows and is broadcast.
     """
-    out = cons.crossJoin(F.broadcast(grid_frame(cons.sparkSession, grid))).withColumn("picked", _selected(grid))
+    out = cons.crossJoin(F.broadcast(grid_frame(cons.sparkSession, grid))).withColumn("picked", _selected(grid, tss))
     wt_ok = (F.col("wt_existing") >= F.col("min_bc3")) & ((F.col("above_all") >= grid.above) | (F.col("wt_existing") >= grid.instead))
     status = F.when(F.col("mutated") | wt_ok, "kept").otherwise("from_WThaplotype")
     some = F.col("mutated") & (F.size("picked") > 0)
     text = lambda g: F.array_join(F.transform("picked", g), ";")
+    number = lambda c: lambda x: F.coalesce(x[c].cast("string"), F.lit("NA"))
+    gone = lambda c: F.array_join(F.transform("muts", number(c)), ";")
+    of = lambda c, wild, rejected: F.when(some, text(number(c))).when(F.col("mutated"), rejected).otherwise(wild)
+    wt, above = F.col("wt_existing").cast("string"), F.col("above_all").cast("string")
     return out.select(
         *FAMILY, "min_freq", "min_bc3", "total_count", status.alias("status"), F.when(some, text(lambda x: x["allele"])).otherwise("WT").alias("consensus"),
         F.when(some, text(lambda x: F.format_string("%.6f", x["freq"]))).otherwise(F.format_string("%.6f", "unmutated_freq")).alias("freqs"), F.when(some, text(lambda x: x["n"].cast("string"))).otherwise(F.col("unmutated").cast("string")).alias("counts"),
-        F.when(some, F.size("picked")).when(F.col("mutated"), 0).otherwise(1).alias("positions"),
+        F.when(some, F.size("picked")).when(F.col("mutated"), 0).otherwise(1).alias("positions"), F.when(some, text(lambda x: x["tss"])).otherwise("WT").alias("consensus_tss"),
+        F.when(some, text(lambda x: F.format_string("%.6f", x["wt_freq"]))).otherwise("NA").alias("wt_freqs"), of("existing", wt, gone("wt_existing")).alias("bc3_existing"),
+        of("mut_above", F.lit("NA"), gone("mut_above")).alias("bc3_mut_above1"), of("wt_above", above, gone("wt_above")).alias("bc3_wt_above1"), of("above", F.lit("NA"), F.lit("NA")).alias("bc3_above1"), of("wt_existing", wt, gone("wt_existing")).alias("bc3_all_wt_count"),
     )
 
 
@@ -116,6 +135,11 @@ def at_count(applied: DataFrame, min_count: int) -> DataFrame:
     return applied.where((F.col("total_count") >= min_count) & (F.col("status") == "kept"))
 
 
+def ordered(counts: DataFrame) -> DataFrame:
+    """Haplotype counts as they are written: by cutoff, the most frequent first."""
+    return counts.orderBy("min_freq", "min_count", "min_bc3", F.col("barcodes_count").desc(), "consensus")
+
+
 def haplotype_counts(applied: DataFrame, grid: Grid) -> DataFrame:
     """``min_freq, min_count, min_bc3, consensus, barcodes_count`` for every cutoff of the grid.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.store import scratch
 from .mutations import FAMILY
 
 MISSING = "BC3_missing"
@@ -17,8 +18,12 @@ def family_table(reads: DataFrame, strict: bool = False) -> DataFrame:
     so no list is longer than the barcodes of a family.  ``strict`` fails where
     several alleles of reads at one place exceed a barcode's reads; else the
     rest is 0.
+
+    The called reads are written once: calling alleles costs far more than the
+    sums, which look at them from five sides.
     """
     f = list(FAMILY)
+    reads = scratch(reads.select(*f, "bc3", "muts", "hqpos"), "called")
     hits = reads.select(*f, "bc3", F.explode("muts").alias("m")).groupBy(*f, "bc3", "m.allele", "m.pos", "m.kind").agg(F.count("*").alias("n"), F.count_if("m.hq").alias("hq"))
     pairs = lambda n: F.array_sort(F.collect_list(F.when(F.col(n) > 0, F.struct("bc3", F.col(n).alias("n")))))
     per = hits.groupBy(*f, "allele", "pos", "kind").agg(F.sum("n").alias("mutation_count"), F.sum("hq").alias("hq_count"), pairs("hq").alias("bc3_hq"))

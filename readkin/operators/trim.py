@@ -30,6 +30,16 @@ def trim_log(trimmed: DataFrame) -> DataFrame:
     return trimmed.agg(F.count_if(~F.col("id_ok")).alias("wrong_identifier"), F.count("*").alias("total")).withColumn("percent", F.try_divide(F.col("wrong_identifier") * 100.0, F.col("total")))
 
 
+def wrong_identifiers(trimmed: DataFrame) -> DataFrame:
+    """The reads that ``route`` leaves out, whole, to be written apart."""
+    return trimmed.where(~F.col("id_ok"))
+
+
+def with_indels(routed: DataFrame) -> DataFrame:
+    """Routed reads whose signature was found at another place, to be written beside their target."""
+    return routed.where("shifted")
+
+
 def route(trimmed: DataFrame, factors: Factors, seq: str = "insert_seq") -> DataFrame:
     """Reads with a right identifier, with their ``target`` and ``shifted``."""
     target, shifted = gene_of(F.col(seq), factors.genes, factors.sort_match, factors.others)

@@ -10,7 +10,7 @@ from .functions.sequence import cigar_ops, gapped
 from .operators import align, consensus, family, mutations, qc, tables, trim
 from .params import full_grid
 from .plans import families
-from .sources import writers
+from .sources import readers, store, writers
 
 FACTORS = synth.FACTORS
 QUERIES: dict = {}
@@ -40,7 +40,7 @@ def _aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _refs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("GA", synth.REF_A), ("GA.others", synth.REF_A), ("GB", synth.REF_B)], "target string, ref string")
+    return spark.createDataFrame([(synth.LOCI[0], synth.REF_A), (FACTORS.others, synth.REF_A), (synth.LOCI[1], synth.REF_B)], "target string, ref string")
 
 
 def _called(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,20 +66,20 @@ def _mask(seq: str, qual: str) -> str:
 
 
 _TRIM = f"""{_RAW},
-cutup AS (SELECT *, substr(seq, 1, 18) AS bc5_raw, right(seq, 9) AS bc3_raw, substr(qual, 1, 18) AS q5, right(qual, 9) AS q3, substr(seq, 19, length(seq) - 27) AS insert_seq, substr(qual, 19, length(seq) - 27) AS insert_qual,
-            substr(seq, 15, 7) IN ('ACGTTGT', 'ACGTAGT') AND substr(seq, length(seq) - 8, 4) = 'CGTG' AS id_ok FROM raw),
+cutup AS (SELECT *, substr(seq, 1, 16) AS bc5_raw, right(seq, 10) AS bc3_raw, substr(qual, 1, 16) AS q5, right(qual, 10) AS q3, substr(seq, 17, length(seq) - 26) AS insert_seq, substr(qual, 17, length(seq) - 26) AS insert_qual,
+            substr(seq, 14, 5) IN ('GATTC', 'GACTC') AND substr(seq, length(seq) - 9, 5) = 'AGCCA' AS id_ok FROM raw),
 trimmed AS (SELECT *, {_mask("bc5_raw", "q5")} AS bc5, {_mask("bc3_raw", "q3")} AS bc3 FROM cutup)"""
 
 
 def _hap(gene: str) -> str:
-    """Offset of the first shift that matches at 0.8, by comparing the slice as a whole."""
-    tries = " ".join(f"WHEN list_sum([CASE WHEN substr(insert_seq, {63 + o} + i, 1) = substr('{gene}', i + 1, 1) THEN 1 ELSE 0 END FOR i IN range(0, 6)]) >= 4.8 THEN {o}" for o in (0, -1, 1, -2, 2, -3, 3))
+    """Offset of the first shift that matches at 0.75, by comparing the slice as a whole."""
+    tries = " ".join(f"WHEN list_sum([CASE WHEN substr(insert_seq, {45 + o} + i, 1) = substr('{gene}', i + 1, 1) THEN 1 ELSE 0 END FOR i IN range(0, 6)]) >= 4.5 THEN {o}" for o in (0, -1, 1, -2, 2, -3, 3))
     return f"CASE {tries} END"
 
 
 _ROUTE = f"""{_TRIM},
-haps AS (SELECT *, {_hap("CGTTAC")} AS oa, {_hap("TGTCAA")} AS ob FROM trimmed WHERE id_ok),
-routed AS (SELECT *, CASE WHEN oa IS NOT NULL AND ob IS NULL THEN 'GA' WHEN ob IS NOT NULL AND oa IS NULL THEN 'GB' ELSE 'GA.others' END AS target,
+haps AS (SELECT *, {_hap("AGTCCA")} AS oa, {_hap("GTCAAT")} AS ob FROM trimmed WHERE id_ok),
+routed AS (SELECT *, CASE WHEN oa IS NOT NULL AND ob IS NULL THEN 'LOCA' WHEN ob IS NOT NULL AND oa IS NULL THEN 'LOCB' ELSE 'LOCA.others' END AS target,
              CASE WHEN oa IS NOT NULL AND ob IS NULL THEN oa <> 0 WHEN ob IS NOT NULL AND oa IS NULL THEN ob <> 0 ELSE false END AS shifted FROM haps)"""
 
 _REF = f"'{synth.REF_A}'"
@@ -96,7 +96,7 @@ gapd AS (SELECT event_id, t, rpad(q0, CAST(greatest(length(t), length(q0)) AS IN
 _CALLED = f"""{_GAPPED},
 colm AS (SELECT event_id, i, substr(t, i, 1) AS b, substr(q, i, 1) AS a FROM (SELECT *, unnest(range(1, length(t) + 1)) AS i FROM gapd)),
 numb AS (SELECT *, CAST(sum(CASE WHEN b <> '-' THEN 1 ELSE 0 END) OVER w AS INTEGER) AS pos, CAST(sum(CASE WHEN a <> '-' THEN 1 ELSE 0 END) OVER w AS INTEGER) - 1 AS qidx FROM colm WINDOW w AS (PARTITION BY event_id ORDER BY i)),
-dif AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY i) AS k FROM numb WHERE a <> b AND (pos = 15 OR pos BETWEEN 31 AND 84)),
+dif AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY i) AS k FROM numb WHERE a <> b AND (pos = 12 OR pos BETWEEN 36 AND 98)),
 st AS (SELECT *, CASE WHEN b = '-' AND lag(b) OVER w = '-' AND lag(qidx) OVER w + 1 = qidx THEN 0 ELSE 1 END AS fresh FROM dif WINDOW w AS (PARTITION BY event_id ORDER BY k)),
 gr AS (SELECT *, sum(fresh) OVER (PARTITION BY event_id ORDER BY k) AS j FROM st),
 al AS (SELECT event_id, j, min(pos) AS pos, min(b) AS b, string_agg(a, '' ORDER BY k) AS a FROM gr GROUP BY event_id, j),
@@ -109,7 +109,7 @@ called AS (SELECT m.*, m.kind IN ('wt', 'del') OR m.phred >= 28 AS hq, title, ta
 hqp AS (SELECT n.event_id, n.pos, n.a = '-' OR ascii(substr(ok.qual, n.qidx + 1, 1)) - 33 > 28 AS good FROM numb n JOIN ok USING (event_id) WHERE n.b <> '-')"""
 
 _FAMILY = f"""{_CALLED},
-gone AS (SELECT DISTINCT event_id FROM called WHERE allele = '15-G'),
+gone AS (SELECT DISTINCT event_id FROM called WHERE allele = '12-T'),
 rd AS (SELECT * FROM ok WHERE event_id NOT IN (SELECT event_id FROM gone)),
 cl AS (SELECT * FROM called WHERE event_id NOT IN (SELECT event_id FROM gone)),
 fb AS (SELECT title, target, bc5, bc3, count(*) AS n FROM rd GROUP BY ALL),
@@ -143,11 +143,20 @@ grid AS (SELECT f / 10.0::DOUBLE AS min_freq, CAST(b AS INTEGER) AS min_bc3 FROM
 judged AS (SELECT mm.*, min_freq, min_bc3, freq >= min_freq AND bc3_existing >= min_bc3 AND (mut_above >= {above} OR bc3_existing >= {instead}) AS ok,
              wt_freq >= min_freq AND coalesce(bc3_wt_existing, 2147483647) >= min_bc3 AND (coalesce(wt_above, 0) >= {above} OR coalesce(bc3_wt_existing, 2147483647) >= {instead}) AS wok FROM mm, grid),
 named AS (SELECT *, CASE WHEN ok THEN allele ELSE CAST(pos AS VARCHAR) || 'N' END AS nm FROM (SELECT *, max(ok) OVER (PARTITION BY title, target, bc5, min_freq, min_bc3, pos) AS any_ok FROM judged) WHERE ok OR (NOT wok AND NOT any_ok)),
-merged AS (SELECT title, target, bc5, min_freq, min_bc3, pos, nm, sum(freq ORDER BY allele) AS freq, sum(hq_count) AS n FROM named GROUP BY ALL),
-picked AS (SELECT title, target, bc5, min_freq, min_bc3, string_agg(nm, ';' ORDER BY pos, nm) AS consensus, string_agg(printf('%.6f', freq), ';' ORDER BY pos, nm) AS freqs, string_agg(CAST(CAST(n AS BIGINT) AS VARCHAR), ';' ORDER BY pos, nm) AS counts, count(*) AS k FROM merged GROUP BY ALL),
+merged AS (SELECT title, target, bc5, min_freq, min_bc3, pos, nm, sum(freq ORDER BY allele) AS freq, sum(hq_count) AS n,
+             min(CASE WHEN ok THEN regexp_replace(regexp_replace(allele, '^([0-9]+[A-Z])-$', '\\1d'), '^([0-9]+)-', '\\1i') ELSE CAST(pos AS VARCHAR) || 'N' END) AS tss, sum(wt_freq ORDER BY allele) AS wt_freq, sum(bc3_existing) AS ex, sum(mut_above) AS ma, sum(coalesce(wt_above, 0)) AS wa, count(*) AS rows_,
+             CASE WHEN bool_or(bc3_wt_existing IS NULL) THEN 'NA' ELSE CAST(CAST(sum(bc3_wt_existing) AS BIGINT) AS VARCHAR) END AS wx FROM named GROUP BY ALL),
+lost AS (SELECT title, target, bc5, string_agg(coalesce(CAST(bc3_wt_existing AS VARCHAR), 'NA'), ';' ORDER BY pos, allele) AS wx, string_agg(CAST(mut_above AS VARCHAR), ';' ORDER BY pos, allele) AS ma, string_agg(CAST(coalesce(wt_above, 0) AS VARCHAR), ';' ORDER BY pos, allele) AS wa FROM mm GROUP BY ALL),
+picked AS (SELECT title, target, bc5, min_freq, min_bc3, string_agg(nm, ';' ORDER BY pos, nm) AS consensus, string_agg(printf('%.6f', freq), ';' ORDER BY pos, nm) AS freqs, string_agg(CAST(CAST(n AS BIGINT) AS VARCHAR), ';' ORDER BY pos, nm) AS counts, count(*) AS k,
+             string_agg(tss, ';' ORDER BY pos, nm) AS tss, string_agg(printf('%.6f', wt_freq), ';' ORDER BY pos, nm) AS wtf, string_agg(CAST(CAST(ex AS BIGINT) AS VARCHAR), ';' ORDER BY pos, nm) AS ex, string_agg(CAST(CAST(ma AS BIGINT) AS VARCHAR), ';' ORDER BY pos, nm) AS ma,
+             string_agg(CAST(CAST(wa AS BIGINT) AS VARCHAR), ';' ORDER BY pos, nm) AS wa, list(rows_ ORDER BY pos, nm) AS mult, string_agg(wx, ';' ORDER BY pos, nm) AS wx FROM merged GROUP BY ALL),
 applied AS (SELECT title, target, bc5, grid.min_freq, grid.min_bc3, total_count, CASE WHEN mutated OR (wt_existing >= grid.min_bc3 AND (above_all >= {above} OR wt_existing >= {instead})) THEN 'kept' ELSE 'from_WThaplotype' END AS status,
-              coalesce(consensus, 'WT') AS consensus, coalesce(freqs, printf('%.6f', unmutated_freq)) AS freqs, coalesce(counts, CAST(unmutated AS VARCHAR)) AS counts, CAST(CASE WHEN k IS NOT NULL THEN k WHEN mutated THEN 0 ELSE 1 END AS INTEGER) AS positions
-            FROM cons CROSS JOIN grid LEFT JOIN picked USING (title, target, bc5, min_freq, min_bc3))"""
+              coalesce(consensus, 'WT') AS consensus, coalesce(freqs, printf('%.6f', unmutated_freq)) AS freqs, coalesce(counts, CAST(unmutated AS VARCHAR)) AS counts, CAST(CASE WHEN k IS NOT NULL THEN k WHEN mutated THEN 0 ELSE 1 END AS INTEGER) AS positions,
+              coalesce(p.tss, 'WT') AS consensus_tss, coalesce(p.wtf, 'NA') AS wt_freqs, CASE WHEN k IS NOT NULL THEN p.ex WHEN mutated THEN lost.wx ELSE CAST(wt_existing AS VARCHAR) END AS bc3_existing,
+              CASE WHEN k IS NOT NULL THEN p.ma WHEN mutated THEN lost.ma ELSE 'NA' END AS bc3_mut_above1, CASE WHEN k IS NOT NULL THEN p.wa WHEN mutated THEN lost.wa ELSE CAST(above_all AS VARCHAR) END AS bc3_wt_above1,
+              CASE WHEN k IS NOT NULL THEN array_to_string([CAST(m * above_all AS BIGINT) FOR m IN p.mult], ';') ELSE 'NA' END AS bc3_above1,
+              CASE WHEN k IS NOT NULL THEN p.wx WHEN mutated THEN lost.wx ELSE CAST(wt_existing AS VARCHAR) END AS bc3_all_wt_count
+            FROM cons CROSS JOIN grid LEFT JOIN picked p USING (title, target, bc5, min_freq, min_bc3) LEFT JOIN lost USING (title, target, bc5))"""
 
 
 def _counted(above: int, instead: int) -> str:
@@ -189,6 +198,45 @@ def q_paralog_log(spark, sf_dir):
     return trim.route_log(trim.route(trim.split_barcodes(_raw(spark, sf_dir), FACTORS), FACTORS))
 
 
+@query(f"WITH {_TRIM} SELECT event_id, header, seq, qual FROM trimmed WHERE NOT id_ok")
+def q_wrong_identifiers(spark, sf_dir):
+    """Reads without the identifiers, as they are written apart."""
+    return trim.wrong_identifiers(trim.split_barcodes(_raw(spark, sf_dir), FACTORS)).select("event_id", "header", "seq", "qual")
+
+
+@query(f"WITH {_ROUTE} SELECT event_id, target, insert_seq FROM routed WHERE shifted")
+def q_with_indels(spark, sf_dir):
+    """Reads routed by a signature at another place."""
+    return trim.with_indels(trim.route(trim.split_barcodes(_raw(spark, sf_dir), FACTORS), FACTORS)).select("event_id", "target", "insert_seq")
+
+
+@query(f"WITH {_ROUTE} SELECT target, '@' || bc5 || 'x' || bc3 || '_' || substr(header, 2) AS header, insert_seq AS seq, insert_qual AS qual FROM routed")
+def q_fastq_files(spark, sf_dir):
+    """Routed reads written as FASTQ by target and read back."""
+    routed = trim.route(trim.split_barcodes(_raw(spark, sf_dir), FACTORS), FACTORS)
+    path = store.new_path(spark, "fastq")
+    writers.write_fastq(routed, path, by=("target",))
+    return readers.read_fastq(spark, f"{path}/target=*").select(F.regexp_extract("file", "target=([^/]+)/", 1).alias("target"), "header", "seq", "qual")
+
+
+@query(f"WITH {_ALN} SELECT title, target, bc5, bc3, qname, flag, pos0, mapq, cigar, seq, qual FROM aln")
+def q_sam_files(spark, sf_dir):
+    """Alignments written as SAM text by sample and target and read back with both names."""
+    aln, path = _aligned(spark, sf_dir), store.new_path(spark, "sam")
+    writers.sam_text(aln, synth.LENGTH, by=("title", "target")).drop("k").write.partitionBy("title", "target").text(path)
+    back = readers.read_sam(spark, f"{path}/title=*/target=*", names="title=([^/]+)/target=([^/]+)/")
+    return back.select("title", "target", "bc5", "bc3", "qname", "flag", "pos0", "mapq", "cigar", "seq", "qual")
+
+
+@query(f"WITH {_RAW}, n AS (SELECT user_id, 'S' || user_id AS sample FROM (SELECT DISTINCT user_id FROM events)) SELECT sample, CAST(user_id AS VARCHAR) AS pair, sample || '.fq' AS file FROM n")
+def q_samples_file(spark, sf_dir):
+    """A samples table written with its header and read back; users stand in for samples."""
+    users = _events(spark, sf_dir).select("user_id").distinct().select(F.col("user_id").cast("string").alias("pair"), F.concat(F.lit("S"), "user_id").alias("sample"))
+    path = store.new_path(spark, "samples")
+    writers.write_table(users.withColumn("file", F.concat("sample", F.lit(".fq"))), path)
+    return readers.present(spark, path, readers.read_samples(spark, path)).select("sample", "pair", "file")
+
+
 @query(f"""WITH {_RAW}, c AS (SELECT *, coalesce(list_min([i FOR i IN range(1, length(qual) - 1) IF ascii(substr(qual, i, 1)) + ascii(substr(qual, i + 1, 1)) + ascii(substr(qual, i + 2, 1)) - 99 < 84]) - 1, length(seq)) AS n FROM raw)
 SELECT event_id, left(seq, n) AS seq, left(qual, n) AS qual FROM c WHERE n >= 20""")
 def q_sliding_window_trim(spark, sf_dir):
@@ -213,9 +261,9 @@ def q_sample(spark, sf_dir):
     return qc.sample_reads(_raw(spark, sf_dir), n=100).select("event_id", "header")
 
 
-@query(f"WITH {_RAW} SELECT event_id, CASE WHEN instr(seq, 'CGTGA') > 0 THEN left(seq, instr(seq, 'CGTGA') - 1) ELSE seq END AS seq FROM raw")
+@query(f"WITH {_RAW} SELECT event_id, CASE WHEN instr(seq, 'AGCCA') > 0 THEN left(seq, instr(seq, 'AGCCA') - 1) ELSE seq END AS seq FROM raw")
 def q_adapter_exact(spark, sf_dir):
-    return qc.strip_exact_adapter(_raw(spark, sf_dir), "CGTGA").select("event_id", "seq")
+    return qc.strip_exact_adapter(_raw(spark, sf_dir), "AGCCA").select("event_id", "seq")
 
 
 @query(f"WITH {_ALN} SELECT * FROM aln")
@@ -297,13 +345,23 @@ def q_family_table_bc3_missing(spark, sf_dir):
     return _flat(family.family_table(mutations.eligible(reads, FACTORS.excluded)))
 
 
+_MISSING = _FAMILY.replace("AND pos0 = 0", "AND pos0 = 0 AND bc3 = 'BC3_missing'")
+
+
+@query(f"SELECT 'all' AS run, * FROM (WITH {_FAMILY} SELECT {_COLS} FROM tab) UNION ALL SELECT 'BC3_missing', * FROM (WITH {_MISSING} SELECT {_COLS} FROM tab)")
+def q_family_tables_union(spark, sf_dir):
+    """The runs over all reads and over those without a secondary barcode, as one table."""
+    runs = [f(spark, sf_dir).select(F.lit(name).alias("run"), "*") for name, f in (("all", q_family_table), ("BC3_missing", q_family_table_bc3_missing))]
+    return runs[0].union(runs[1])
+
+
 @query(f"""WITH {_CONS}, t AS (
   SELECT title, target, bc5, string_agg(allele, ';' ORDER BY pos, allele) AS consensus, string_agg(regexp_replace(regexp_replace(allele, '^([0-9]+[A-Z])-$', '\\1d'), '^([0-9]+)-', '\\1i'), ';' ORDER BY pos, allele) AS consensus_tss,
          string_agg(printf('%.6f', freq), ';' ORDER BY pos, allele) AS mutation_freqs, string_agg(CAST(hq_count AS VARCHAR), ';' ORDER BY pos, allele) AS mutation_counts, count(*) AS k, string_agg(printf('%.6f', wt_freq), ';' ORDER BY pos, allele) AS wt_freqs,
          string_agg(CAST(bc3_existing AS VARCHAR), ';' ORDER BY pos, allele) AS ex, string_agg(CAST(mut_above AS VARCHAR), ';' ORDER BY pos, allele) AS ma, string_agg(CAST(coalesce(wt_above, 0) AS VARCHAR), ';' ORDER BY pos, allele) AS wa,
          string_agg(coalesce(CAST(bc3_wt_existing AS VARCHAR), 'NA'), ';' ORDER BY pos, allele) AS wx FROM mm GROUP BY ALL)
 SELECT c.title, c.target, c.bc5, coalesce(consensus, 'WT') AS consensus, coalesce(consensus_tss, 'WT') AS consensus_tss, coalesce(mutation_freqs, '0') AS mutation_freqs, coalesce(mutation_counts, '0') AS mutation_counts, total_count,
-       CAST(coalesce(k, 0) AS INTEGER) AS positions, coalesce(wt_freqs, printf('%.6f', unmutated_freq)) AS wt_freqs, coalesce(ex, CAST(wt_existing AS VARCHAR)) AS bc3_existing, coalesce(ma, 'NA') AS bc3_mut_above1, coalesce(wa, CAST(above_all AS VARCHAR)) AS bc3_wt_above1,
+       CAST(coalesce(k, 0) AS INTEGER) AS positions, coalesce(wt_freqs, printf('%.6f', unmutated_freq)) AS wt_freqs, coalesce(ex, CAST(wt_existing AS VARCHAR)) AS bc3_existing, coalesce(ma, 'NA') AS bc3_mut_above1, coalesce(wa, CAST(above_all AS VARCHAR)) AS bc3_wt_above1, CASE WHEN k IS NULL THEN CAST(above_all AS VARCHAR) ELSE rtrim(repeat(CAST(above_all AS VARCHAR) || ';', k), ';') END AS bc3_above1,
        coalesce(wx, CAST(wt_existing AS VARCHAR)) AS bc3_all_wt_count, unmutated, unmutated_freq FROM cons c LEFT JOIN t USING (title, target, bc5)""")
 def q_consensus(spark, sf_dir):
     """One row for every family."""
@@ -373,7 +431,7 @@ def q_design(spark, sf_dir):
 @query()
 def q_adapter_trim(spark, sf_dir):
     """Adapters cut with errors allowed."""
-    return qc.trim_adapters(_raw(spark, sf_dir), ["CGTGNNNNN", "ACGTACGTTTGT"]).select("event_id", "seq")
+    return qc.trim_adapters(_raw(spark, sf_dir), ["AGCCANNNNN", "TGCATGCAGGTC"]).select("event_id", "seq")
 
 
 @query()

@@ -2,44 +2,32 @@
 
 from __future__ import annotations
 
-import gzip
-import io
-import itertools
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..params import Factors, parse_factors
 
 
 def read_fastq(spark: SparkSession, path: str | list[str], blank_tolerant: bool = False) -> DataFrame:
-    """``file, pos_in_file, header, seq, qual`` of FASTQ files, gz too.
+    """``file, pos_in_file, header, seq, qual`` of FASTQ files of any size, gz too (a gz file is one stream of lines).
 
-    A record is four lines, so a file is framed by the task that has it, a file
-    or lane part a row; its records leave in batches.  Broken frames are errors;
+    A record is four lines.  Files are read in splits; the lines of all splits
+    before its own, a count a split, give every line its number, and lines meet by record.  Broken frames are errors;
     ``blank_tolerant`` skips empty lines first.
     """
-    whole = spark.read.format("binaryFile").load(path).select("path", "content")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                stream = io.BytesIO(content)
-                lines = gzip.open(stream) if content[:2] == b"\x1f\x8b" else stream
-                frames = (x.rstrip(b"\r\n") for x in lines)
-                frames = (x for x in frames if x) if blank_tolerant else frames
-                at = 0
-                while part := list(itertools.islice(frames, 4 * 50_000)):
-                    h, s, p, q = (part[k::4] for k in range(4))
-                    good = len(h) == len(q) and all(a[:1] == b"@" and c[:1] == b"+" and len(b) == len(d) for a, b, c, d in zip(h, s, p, q))
-                    if not good:
-                        raise ValueError(f"{file}: broken record behind record {at}")
-                    yield pa.RecordBatch.from_pydict({"file": [file] * len(h), "pos_in_file": pa.array(range(at, at + len(h)), pa.int64()), **{k: pa.array(v, pa.binary()).cast(pa.string()) for k, v in (("header", h), ("seq", s), ("qual", q))}})
-                    at += len(h)
-
-    return whole.mapInArrow(run, "file string, pos_in_file long, header string, seq string, qual string")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value")
+    if blank_tolerant:
+        lines = lines.where("value <> ''")
+    lines = lines.withColumn("id", F.monotonically_increasing_id())  # successive inside a split
+    counts = lines.groupBy("file", "split").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("file", "split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))  # a row a split
+    numbered = lines.join(offsets, ["file", "split"]).select("file", (F.col("id") + F.col("shift")).alias("at"), "value")
+    part = lambda k: F.max(F.when(F.col("at") % 4 == k, F.col("value")))
+    records = numbered.groupBy("file", F.floor(F.col("at") / 4).alias("pos_in_file")).agg(part(0).alias("header"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual"))
+    good = F.coalesce(F.col("header").startswith("@") & F.col("plus").startswith("+") & (F.char_length("seq") == F.char_length("qual")), F.lit(False))
+    broken = F.raise_error(F.concat("file", F.lit(": broken record "), F.col("pos_in_file").cast("string"))).cast("string")
+    return records.select("file", "pos_in_file", F.when(good, F.col("header")).otherwise(broken).alias("header"), "seq", "qual")
 
 
 def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -48,12 +36,16 @@ def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return text.select("file", "ordinal", F.regexp_extract("r", r"^(\S*)", 1).alias("name"), F.regexp_replace(F.regexp_replace("r", r"^[^\n]*\n?", ""), r"\s", "").alias("seq"))
 
 
-def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Alignments of SAM text keyed by primary barcode: reference name is ``bc5``, tag ``XB:Z`` is ``bc3``."""
+def read_sam(spark: SparkSession, path: str | list[str], names: str = "") -> DataFrame:
+    """Alignments of SAM text keyed by primary barcode: reference name is ``bc5``, tag ``XB:Z`` is ``bc3``.
+
+    ``names`` is a pattern of the file's path with two groups, which become ``title`` and ``target``.
+    """
     f = F.split("value", "\t")
     rows = spark.read.text(path).where(~F.col("value").startswith("@") & (F.col("value") != ""))
+    of_path = [F.regexp_extract("_metadata.file_path", names, k).alias(c) for k, c in ((1, "title"), (2, "target"))] if names else []
     return rows.select(
-        f[0].alias("qname"), f[1].cast("int").alias("flag"), f[2].alias("bc5"), (f[3].cast("int") - 1).alias("pos0"), f[4].cast("int").alias("mapq"), f[5].alias("cigar"), f[9].alias("seq"), f[10].alias("qual"),
+        *of_path, f[0].alias("qname"), f[1].cast("int").alias("flag"), f[2].alias("bc5"), (f[3].cast("int") - 1).alias("pos0"), f[4].cast("int").alias("mapq"), f[5].alias("cigar"), f[9].alias("seq"), f[10].alias("qual"),
         F.nullif(F.regexp_extract("value", r"\tXB:Z:([^\t]*)", 1), F.lit("")).alias("bc3"),
     )
 
@@ -71,6 +63,13 @@ def read_factors(spark: SparkSession, path: str) -> list[Factors]:
     return [parse_factors(dict(zip(header, x.split("\t")))) for x in lines[1:]]
 
 
+def present(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """``rows``, which were read from ``path``; none at all is an error."""
+    if rows.isEmpty():
+        raise ValueError(f"{path} holds no rows")
+    return rows
+
+
 def checked_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A tab-separated table whose header must have the names of ``schema`` in their order."""
     return spark.read.csv(path, sep="\t", header=True, schema=schema, enforceSchema=False)

@@ -20,10 +20,10 @@ def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
-def sam_text(aln: DataFrame, reference_size: int) -> DataFrame:
-    """``value``: header lines, one a primary barcode, then alignments."""
-    head = aln.select("bc5").distinct().select(F.lit(0).alias("k"), F.concat(F.lit("@SQ\tSN:"), "bc5", F.lit(f"\tLN:{reference_size}")).alias("value"))
-    rows = aln.select(F.lit(1).alias("k"), F.concat_ws("\t", "qname", F.col("flag").cast("string"), "bc5", (F.col("pos0") + 1).cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual", F.concat(F.lit("XB:Z:"), "bc3")).alias("value"))
+def sam_text(aln: DataFrame, reference_size: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """``by, k, value``: header lines (k = 0), one a primary barcode, and alignments (k = 1)."""
+    head = aln.select(*by, "bc5").distinct().select(*by, F.lit(0).alias("k"), F.concat(F.lit("@SQ\tSN:"), "bc5", F.lit(f"\tLN:{reference_size}")).alias("value"))
+    rows = aln.select(*by, F.lit(1).alias("k"), F.concat_ws("\t", "qname", F.col("flag").cast("string"), "bc5", (F.col("pos0") + 1).cast("string"), F.col("mapq").cast("string"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "seq", "qual", F.concat(F.lit("XB:Z:"), "bc3")).alias("value"))
     return head.union(rows)
 
 

@@ -109,23 +109,23 @@ def test_read_list_and_exclusion(spark):
 
 
 def test_trim(spark):
-    good = "A" * 14 + "ACGTTGT" + "G" * 40 + "CGTGTTTTT"
-    rows = [("@r", good, "I" * len(good)), ("@s", good.replace("CGTG", "CGAG"), "5" * len(good)), ("@t", good, "4" + "I" * (len(good) - 1))]
-    f = parse_factors({"sample": "x", "size_f": "18", "size_r": "9", "read_seq": "ACGTTGT|ACGTAGT,CGTG", "read_pos": "15|15,-6", "read_action": "include,include"})
+    good = "A" * 9 + "CCATG" + "G" * 40 + "TACTTTTT"
+    rows = [("@r", good, "I" * len(good)), ("@s", good.replace("TAC", "TGC"), "5" * len(good)), ("@t", good, "4" + "I" * (len(good) - 1))]
+    f = parse_factors({"sample": "x", "size_f": "12", "size_r": "8", "read_seq": "CCATG|CCTTG,TAC", "read_pos": "10|10,-6", "read_action": "include,include"})
     reads = spark.createDataFrame(rows, "header string, seq string, qual string")
     a, b, c = trim.split_barcodes(reads, f).orderBy("header").collect()
-    assert (a.id_ok, a.bc5, a.insert_seq[:3], a.bc3, a.new_header) == (True, "AAAAAAAAAAAAAAACGT"[:14] + "ACGT", "TGT", "CGTGTTTTT", "@AAAAAAAAAAAAAAACGT"[:15] + "ACGTxCGTGTTTTT_r")
+    assert (a.id_ok, a.bc5, a.insert_seq[:3], a.bc3, a.new_header) == (True, "AAAAAAAAACCA", "TGG", "TACTTTTT", "@AAAAAAAAACCAxTACTTTTT_r")
     assert (b.id_ok, "N" in b.bc5, c.bc5[:2]) == (False, False, "NA")
     log = trim.trim_log(trim.split_barcodes(reads, f)).first()
     assert (log.wrong_identifier, log.total) == (1, 3) and trim.trim_log(trim.split_barcodes(reads.limit(0), f)).first().percent is None
-    other = parse_factors({"sample": "x", "read_seq": "ACGTTGT", "read_pos": "15", "read_action": "exclude"})
+    other = parse_factors({"sample": "x", "read_seq": "CCATG", "read_pos": "10", "read_action": "exclude"})
     assert not trim.split_barcodes(reads, other).first().id_ok
 
 
-@pytest.mark.parametrize("body, shift, target, moved", [("CGTTAC", 0, "GA", False), ("TGTCAA", 0, "GB", False), ("CGTTAA", 0, "GA", False), ("CGAAAA", 0, "GA.others", False), ("CGTTAC", -2, "GA", True)])
+@pytest.mark.parametrize("body, shift, target, moved", [("AGTCCA", 0, "LOCA", False), ("GTCAAT", 0, "LOCB", False), ("AGTCCC", 0, "LOCA", False), ("AGTAAA", 0, "LOCA.others", False), ("AGTCCA", -2, "LOCA", True)])
 def test_paralog_sort(spark, body, shift, target, moved):
-    seq = "G" * (62 + shift) + body + "G" * 20
-    t, s = q.gene_of(F.lit(seq), FACTORS.genes, 0.8, FACTORS.others)
+    seq = "G" * (44 + shift) + body + "G" * 20
+    t, s = q.gene_of(F.lit(seq), FACTORS.genes, FACTORS.sort_match, FACTORS.others)
     assert tuple(spark.range(1).select(t, s).first()) == (target, moved)
 
 
@@ -148,7 +148,7 @@ def test_full_merge(spark):
 
 
 def test_factors():
-    assert FACTORS.roi == ((15, 15), (31, 84)) and FACTORS.excluded == ("15-G",) and FACTORS.targets == (("GA.others", "GA"), ("GA", "GA"), ("GB", "GB"))
+    assert FACTORS.roi == ((12, 12), (36, 98)) and FACTORS.excluded == ("12-T",) and FACTORS.targets == (("LOCA.others", "LOCA"), ("LOCA", "LOCA"), ("LOCB", "LOCB"))
     for bad in ({"sample": "x"}, {"x": "1", "sample": "2"}, {"sample": "x", "sort_match": "2"}, {"sample": "x", "limit_starts": "1,2", "limit_ends": "3"}, {"sample": "x", "1a": ""}):
         with pytest.raises(ValueError):
             parse_factors(bad)
@@ -229,3 +229,38 @@ def test_stream(spark, tmp_path):
     ingest.append_routed(ingest.read_drop_folder(spark, str(tmp_path / "in")), FACTORS, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     batch = trim.route(trim.split_barcodes(reads, FACTORS), FACTORS)
     assert spark.read.parquet(str(tmp_path / "out")).groupBy("target").count().orderBy("target").collect() == batch.groupBy("target").count().orderBy("target").collect()
+
+
+def test_cutoff_row_tells_all(spark):
+    """Every column of a selected, a merged and a rejected family."""
+    grid = Grid((0.7,), (0,), (0,), 0, 0)
+    r = consensus.apply_cutoffs(consensus.consensus(table_of(spark, F1)), grid).first()
+    assert (r.consensus_tss, r.wt_freqs, r.bc3_existing, r.bc3_mut_above1, r.bc3_wt_above1, r.bc3_above1, r.bc3_all_wt_count) == ("3GT", "0.250000", "2", "1", "0", "2", "2")
+    r = consensus.apply_cutoffs(consensus.consensus(table_of(spark, F3)), Grid((0.5,), (0,), (0,), 0, 0)).first()
+    assert (r.consensus_tss, r.wt_freqs, r.bc3_existing, r.bc3_above1) == ("3N", "0.800000", "2", "2")
+    r = consensus.apply_cutoffs(consensus.consensus(table_of(spark, F2)), Grid((0.5,), (4,), (1,), 0, 0)).first()
+    assert (r.consensus_tss, r.wt_freqs, r.bc3_existing, r.bc3_above1, r.bc3_wt_above1, r.bc3_all_wt_count) == ("WT", "NA", "2", "NA", "2", "2")
+
+
+def test_files_in_many_splits(spark, tmp_path):
+    """Records that lie across splits are framed like others."""
+    records = [(f"@r{k}", "ACGT" * (1 + k % 7), "IIII" * (1 + k % 7)) for k in range(3000)]
+    (tmp_path / "x.fq").write_text("".join(f"{h}\n{s}\n+\n{q}\n" for h, s, q in records))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        got = readers.read_fastq(spark, str(tmp_path / "x.fq")).orderBy("pos_in_file").collect()
+        assert [(r.header, r.seq, r.qual) for r in got] == records and [r.pos_in_file for r in got] == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_nothing_present_is_an_error(spark, tmp_path):
+    (tmp_path / "s.tsv").write_text("#c\n")
+    with pytest.raises(ValueError):
+        readers.present(spark, "s.tsv", readers.read_samples(spark, str(tmp_path / "s.tsv")))
+
+
+def test_haplotypes_in_order(spark):
+    got = [r.barcodes_count for r in consensus.ordered(families.haplotypes_of(consensus.consensus(table_of(spark, F1 + F2)), Grid((0.5,), (0,), (0,), 0, 0))).collect()]
+    assert got == sorted(got, reverse=True)
