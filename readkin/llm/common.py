@@ -2,44 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..sources.store import scratch  # noqa: F401  (the operators take it from here)
+
 #: The word pattern of the digests: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Folders of sessions in local mode that name none.
-_LOCAL: dict[str, str] = {}
-
-
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one only in local mode, where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="readkin-"))
-    return root.rstrip("/")
-
-
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    This cuts the lineage with files that outlive any executor.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/readkin/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def utf8(column: pa.Array, lower: bool = False) -> list[bytes]:
     """Texts of an Arrow string column as UTF-8 bytes, null as empty; ``lower`` folds all letters."""
     if lower:
