@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.store import scratch
+
 
 def affine(seq: str, ref: str, match: int = 1, mismatch: int = -4, gap_open: int = -6, gap_extend: int = -1, clip: int = -5) -> tuple[int, int, str]:
     """``(score, 0-based start, CIGAR)`` of the best alignment of ``seq`` inside ``ref`` with affine gaps and clipped ends.
@@ -91,8 +93,9 @@ def align(reads: DataFrame, refs: DataFrame, near: int = 3, least_score: int = 3
             yield pd.DataFrame({"target": p["target"], "seq": p["seq"], "flag": [0 if k else 4 for k in ok], "pos0": [g[1] if k else -1 for g, k in zip(got, ok)], "mapq": [60 if k else 0 for k in ok], "cigar": [g[2] if k else "*" for g, k in zip(got, ok)]})
 
     marked = marked.withColumn("__wrong", wrong).withColumn("__easy", F.coalesce((F.col("__wrong") <= near) & (n - 5 * F.col("__wrong") >= least_score), F.lit(False)))
+    marked = scratch(marked.drop("__wrong").withColumn("__n", n), "marked")  # looked at from three sides
     columns = [*reads.columns, "flag", "pos0", "mapq", "cigar"]
-    done = marked.where("__easy").withColumns({"flag": F.lit(0), "pos0": F.lit(0), "mapq": F.lit(60), "cigar": F.concat(n.cast("string"), F.lit("M"))})
+    done = marked.where("__easy").withColumns({"flag": F.lit(0), "pos0": F.lit(0), "mapq": F.lit(60), "cigar": F.concat(F.col("__n").cast("string"), F.lit("M"))})
     rest = marked.where(~F.col("__easy"))
     hard = rest.select("target", "seq", F.col("__ref").alias("ref")).distinct().mapInPandas(run, "target string, seq string, flag int, pos0 int, mapq int, cigar string")
     return done.select(columns).union(rest.join(hard, ["target", "seq"]).select(columns))
