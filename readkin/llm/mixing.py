@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import plain, word_count
+from .common import digest, plain, word_count
 
 _SUB = 1024
 
 
 def _keyed(docs: DataFrame, seed: int) -> DataFrame:
     """``docs`` with a non-null source key, the size, and the seeded order and its sub-range."""
-    h = F.xxhash64("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(seed))
+    h = digest(F.lit(seed), F.col("doc_id"), F.coalesce("text", F.lit("")))
     return docs.select(
-        "*", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("__key"), word_count(F.col("text")).alias("__size"), h.alias("__h"), F.shiftrightunsigned(h, 54).cast("int").alias("__sub")
+        "*", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("__key"), word_count(F.col("text")).alias("__size"), h.alias("__h"), F.shiftright(h, 50).cast("int").alias("__sub")
     )
 
 
@@ -90,7 +90,7 @@ def _portions(goals: DataFrame, granted: DataFrame, cap: int, seed: int) -> Data
     take = lambda c: F.floor(wide("tokens") * F.col(c) / F.greatest(F.col("size"), F.lit(1))).cast("long")
     g = g.withColumn("tokens", F.when(F.col("target") >= cap * F.col("size"), cap * F.col("size")).otherwise(F.least(F.col("all") * F.col("block"), cap * F.col("size"))))
     length = take("hi") - take("lo")
-    origin = (F.pmod(F.xxhash64("key", "shard", F.lit(seed)), F.greatest(F.lit(1), F.ceil(F.col("around") / F.col("block")))) * F.col("block")).cast("long")
+    origin = (F.pmod(digest(F.lit(seed), F.col("key"), F.col("shard")), F.greatest(F.lit(1), F.ceil(F.col("around") / F.col("block")))) * F.col("block")).cast("long")
     return g.where("around > 0").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("shard", "lo", "hi", length.alias("length"), origin.alias("origin")))).alias("portions"))
 
 

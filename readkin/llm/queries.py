@@ -19,11 +19,38 @@ def op10_simhash_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shards 0 to 15 of near-equal bytes, contiguous in the order of (CRC-32, hash, doc_id)."""
+    """Shards 0 to 15 of near-equal bytes, contiguous in the order of (CRC-32, MD5, doc_id)."""
     out = sharding.assign(table(spark, sf_dir, "documents"), shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _crc_steps() -> list[int]:
+    """What CRC-32 folds in for each byte."""
+    out = list(range(256))
+    for _ in range(8):
+        out = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in out]
+    return out
+
+
+OP6_SQL = f"""
+WITH d AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS h,
+         xor(4294967295, list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+           lambda c, b: xor(c >> 8, {_crc_steps()}[1 + (xor(c, b) & 255)]))) AS text_crc32
+  FROM documents),
+r AS (
+  SELECT *, sum(size) OVER () AS total, sum(size) OVER w - size AS first_byte, row_number() OVER w AS place
+  FROM d WINDOW w AS (ORDER BY text_crc32, h, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT *, least(15, first_byte * 16 // total) AS cut FROM r),
+s AS (
+  SELECT *, CASE WHEN sum(size) OVER g * 16 <= total * CAST(0.01 AS DOUBLE) THEN min(cut) OVER g ELSE cut END AS shard
+  FROM c WINDOW g AS (PARTITION BY text_crc32, h))
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+       place - min(place) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM s
+"""
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -31,6 +58,57 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__taken").alias("taken"), F.col("__shard").alias("shard"))
 
 
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce('s' || source, '') AS key, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(concat_ws('|', '17', CAST(doc_id AS VARCHAR), coalesce(text, ''))), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (
+  SELECT *, [1, 2, 3][1 + (ord - 1) % 3] AS weight, CAST(sum(size) OVER () AS BIGINT) AS total
+  FROM (SELECT key, CAST(sum(size) AS BIGINT) AS size, row_number() OVER (ORDER BY key = '', key) AS ord FROM d GROUP BY key)),
+-- a source is full if the water that stands at its own brim is not more than there is
+f AS (
+  SELECT s.*, 3 * s.size / s.weight AS brim, (SELECT sum(least(3 * o.size, o.weight * (3 * s.size / s.weight))) FROM s AS o) <= s.total AS is_full FROM s),
+t AS (
+  SELECT *, CASE WHEN is_full THEN CAST(3 * size AS DOUBLE)
+    ELSE weight * ((total - coalesce(sum(3 * size) FILTER (WHERE is_full) OVER (), 0)) / sum(weight) FILTER (WHERE NOT is_full) OVER ()) END AS target
+  FROM f),
+b AS (
+  SELECT *, greatest(1, CAST(ceil(total / (16 * 65536)) AS BIGINT)) AS block, sum(target) OVER () AS wanted, count(*) OVER () AS n FROM t WHERE target > 0),
+seats AS (SELECT *, CAST(round(total / block) AS BIGINT) AS house FROM b),
+-- one row a seat that a source could win, ranked by quotient; shard k holds the seats from house * k / 16 on
+won AS (
+  SELECT *, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, ord, k) AS place
+  FROM (SELECT *, unnest(range(CAST(ceil(target * house / wanted) AS BIGINT) + n + 1)) AS k FROM seats)),
+shards AS (SELECT unnest(range(16)) AS shard),
+granted AS (
+  SELECT key, size, target, block, shard, count(*) AS blocks FROM won JOIN shards ON place > house * shard // 16 AND place <= house * (shard + 1) // 16
+  GROUP BY key, size, target, block, shard),
+upto AS (
+  SELECT *, sum(blocks) OVER (PARTITION BY key ORDER BY shard) AS upto, sum(blocks) OVER (PARTITION BY key) AS everything FROM granted),
+stretch AS (
+  SELECT *, size * (upto - blocks) // everything AS lo, size * upto // everything AS hi,
+         CASE WHEN target >= 3 * size THEN 3 * size ELSE least(everything * block, 3 * size) END AS tokens
+  FROM upto),
+portions AS (
+  SELECT key, shard, lo, hi, hi - lo AS around, tokens * hi // size - tokens * lo // size AS length,
+         CAST('0x' || substr(md5(concat_ws('|', '17', key, CAST(shard AS VARCHAR))), 1, 15) AS BIGINT) % greatest(1, CAST(ceil((hi - lo) / block) AS BIGINT)) * block AS origin
+  FROM stretch WHERE hi > lo),
+placed AS (
+  SELECT *, row_number() OVER () AS id, sum(size) OVER (PARTITION BY key ORDER BY h, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) AS upto FROM d),
+pieces AS (
+  SELECT id, shard, around, length, origin, greatest(upto - size, lo) - lo AS x, least(upto, hi) - lo AS y
+  FROM placed JOIN portions USING (key) WHERE size > 0 AND lo < upto AND hi > upto - size),
+-- whole turns, then what the last turn covers of the piece, on the ring laid out twice
+taken AS (
+  SELECT id, min(shard) AS shard, sum(length // around * (y - x)
+    + greatest(0, least(y, origin + length % around) - greatest(x, origin)) + greatest(0, least(y + around, origin + length % around) - greatest(x + around, origin))) AS taken
+  FROM pieces GROUP BY id)
+SELECT p.doc_id, p.size, t.size AS source_size, t.target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, CAST(shard AS INTEGER) AS shard
+FROM placed AS p JOIN t USING (key) LEFT JOIN taken USING (id)
+"""
+
+
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, links and verdict of every line of every document; lines link at up to 1 edit from 9 letters, 2 from 20."""
     return lines.classes(table(spark, sf_dir, "documents"))
@@ -132,4 +210,4 @@ def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_decontamination, op4_toxicity, op5_brown_scoring, op6_sharding, op7_quality, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees)}
 
-ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_url_filter": OP2_SQL, "op6_sharding": OP6_SQL, "op8_mixing": OP8_SQL}

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_size, scratch
+from .common import byte_size, digest, scratch
 
 
 def assign(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFrame:
     """Put every row of ``docs(doc_id, text)`` into a shard: ``doc_id, size, text_crc32, shard, slot``.
 
-    Rows are ordered by (CRC-32, 64-bit hash of the text, doc_id), so that equal
+    Rows are ordered by (CRC-32, 60 bits of the text's MD5, doc_id), so that equal
     texts are neighbours.  A range partitioning deals the order out (a large
     group of copies is cut by doc_id); the totals of the partitions, one row
     each, give every partition its offset, and a running sum inside the
@@ -26,7 +26,7 @@ def assign(docs: DataFrame, shards: int = 16, tolerance: float = 0.01) -> DataFr
     read.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", byte_size(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"))
+    rows = docs.select("doc_id", byte_size(F.col("text")).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), digest(text).alias("h"))
     dealt = scratch(rows.repartitionByRange("text_crc32", "h", "doc_id").withColumn("part", F.spark_partition_id()), "dealt")
 
     parts = dealt.groupBy("part").agg(F.sum("size").alias("b"), F.count("*").alias("n"))

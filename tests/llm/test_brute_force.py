@@ -375,7 +375,7 @@ def test_shard_cuts(spark, corpus):
     """Every row is in the shard of its first byte, but for small groups, which go whole with their first row."""
     docs = corpus.select("doc_id", "text").union(spark.createDataFrame([(5000 + k, f"copy {k % 3} " + "of a text " * 4) for k in range(60)], "doc_id long, text string"))
     got = {r.doc_id: r for r in sharding.assign(docs, shards=7, tolerance=0.05).collect()}
-    h = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    h = {r.doc_id: r.h for r in docs.select("doc_id", common.digest(F.col("text")).alias("h")).collect()}
     order = sorted(got.values(), key=lambda r: (r.text_crc32, h[r.doc_id], r.doc_id))
     total, at, cut, groups = sum(r.size for r in order), 0, {}, {}
     for r in order:
