@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, scratch
+from .common import connected_components, scratch, wide_digest
 
 #: ``(letters, edits)``: lines of at least so many letters link at up to so many edits; the shorter of two lines decides.
 BANDS = ((9, 1), (20, 2))
@@ -16,7 +16,7 @@ Bands = tuple[tuple[int, int], ...]
 def occurrences(docs: DataFrame) -> DataFrame:
     """``doc_id, line_no, line, line_id`` of every line with more than white space, trimmed; lines count from 0."""
     rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", F.btrim("line", F.lit(" \t\r\x0b\x0c")))
-    return rows.where("line <> ''").withColumn("line_id", F.xxhash64("line"))
+    return rows.where("line <> ''").withColumn("line_id", wide_digest(F.col("line")))
 
 
 def _cut(length: Column, i: int, parts: int) -> Column:
@@ -358,7 +358,7 @@ def _both(pairs: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, bands: Bands = BANDS, **options) -> DataFrame:
     """Every line of ``docs(doc_id, text)``: ``doc_id, line_no, line_id, copies, links, class_id, first_doc_id, first_line_no, kept``.
 
-    Lines are trimmed; equal lines are one (known by a 64-bit hash, ``line_id``)
+    Lines are trimmed; equal lines are one (known by 64 bits of their MD5, ``line_id``)
     with ``copies`` occurrences; different lines link at up to the edits of the
     shorter one's band, ``links`` of them; lines shorter than the first band only equal each other.
     ``class_id`` is the least line_id reachable over links, and of a class only
