@@ -24,6 +24,74 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+# XXH64 as its public specification gives it, with unsigned 128-bit numbers kept below 2^64.
+_P = [f"{p}::UHUGEINT" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)]
+_M = f"{1 << 64}::UHUGEINT"
+
+
+def _rotated(x: str, by: int) -> str:
+    return f"(({x}) * {1 << by}::UHUGEINT % {_M} + ({x}) // {1 << 64 - by}::UHUGEINT)"
+
+
+def _round(lane: str, word: str) -> str:
+    return f"({_rotated(f'(({lane}) + ({word}) * {_P[1]}) % {_M}', 31)} * {_P[0]} % {_M})"
+
+
+def _little(hex_: str, size: int) -> str:
+    """Hex text as numbers of ``size`` bytes, the lowest byte first; a rest too short for one is left out."""
+    turned = "".join(rf"\{k}" for k in range(size, 0, -1))
+    return f"list_transform(regexp_extract_all({hex_}, '.{{{2 * size}}}'), lambda w: CAST('0x' || regexp_replace(w, '{'(..)' * size}', '{turned}') AS UHUGEINT))"
+
+
+def _lane(i: int, start: int) -> str:
+    return f"list_reduce([{start % (1 << 64)}::UHUGEINT] || list_slice(stripes, {i}, len(stripes), 4), lambda v, w: {_round('v', 'w')}) AS v{i}"
+
+
+def _xxh64(seed: int) -> str:
+    """CTEs from ``words(s)`` to ``hashed(s, h)``."""
+    p1, p2 = (int(p.split(":")[0]) for p in _P[:2])
+    merged = f"({' + '.join(_rotated(f'v{i}', r) for i, r in ((1, 1), (2, 7), (3, 12), (4, 18)))}) % {_M}"
+    for i in range(1, 5):
+        merged = f"((xor({merged}, {_round('0::UHUGEINT', f'v{i}')}) * {_P[0]} + {_P[3]}) % {_M})"
+    eights = f"lambda h, w: (({_rotated(f'xor(h, {_round('0::UHUGEINT', 'w')})', 27)}) * {_P[0]} + {_P[3]}) % {_M}"
+    four = f"lambda h, w: (({_rotated(f'xor(h, w * {_P[0]} % {_M})', 23)}) * {_P[1]} + {_P[2]}) % {_M}"
+    ones = f"lambda h, w: (({_rotated(f'xor(h, w * {_P[4]} % {_M})', 11)}) * {_P[0]}) % {_M}"
+    cut = "n // 32 * 64"
+    return f"""
+x0 AS (SELECT s, hex(encode(s)) AS x, strlen(s) AS n FROM words),
+x1 AS (SELECT *, {_little(f"substr(x, 1, {cut})", 8)} AS stripes, substr(x, 1 + {cut}, n % 32 // 8 * 16) AS r8, substr(x, 1 + n // 8 * 16, n % 8 // 4 * 8) AS r4, substr(x, 1 + n // 4 * 8) AS r1 FROM x0),
+x2 AS (SELECT *, {_lane(1, seed + p1 + p2)}, {_lane(2, seed + p2)}, {_lane(3, seed)}, {_lane(4, seed - p1)} FROM x1),
+x3 AS (SELECT *, (CASE WHEN n >= 32 THEN {merged} ELSE {seed}::UHUGEINT + {_P[4]} END + n::UHUGEINT) % {_M} AS h FROM x2),
+x4 AS (SELECT s, r4, r1, list_reduce([h] || {_little("r8", 8)}, {eights}) AS h FROM x3),
+x5 AS (SELECT s, r1, list_reduce([h] || {_little("r4", 4)}, {four}) AS h FROM x4),
+x6 AS (SELECT s, list_reduce([h] || {_little("r1", 1)}, {ones}) AS h FROM x5),
+x7 AS (SELECT s, xor(h, h // {1 << 33}::UHUGEINT) * {_P[1]} % {_M} AS h FROM x6),
+x8 AS (SELECT s, xor(h, h // {1 << 29}::UHUGEINT) * {_P[2]} % {_M} AS h FROM x7),
+hashed AS (SELECT s, xor(h, h // {1 << 32}::UHUGEINT) AS h FROM x8)"""
+
+
+OP10_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT row, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM d),
+words AS (SELECT DISTINCT s FROM shingles),{_xxh64(42)},
+halves AS MATERIALIZED (SELECT s, CAST(h // 4294967296::UHUGEINT AS BIGINT) AS hi, CAST(h % 4294967296::UHUGEINT AS BIGINT) AS lo FROM hashed),
+bits AS (
+  SELECT row, bit, 2 * sum((hi >> bit) & 1) > count(*) AS hi, 2 * sum((lo >> bit) & 1) > count(*) AS lo
+  FROM shingles JOIN halves USING (s), (SELECT unnest(range(32)) AS bit) GROUP BY row, bit),
+prints AS (SELECT row, CAST(sum(CASE WHEN hi THEN 1::BIGINT << bit ELSE 0 END) AS BIGINT) AS hi, CAST(sum(CASE WHEN lo THEN 1::BIGINT << bit ELSE 0 END) AS BIGINT) AS lo FROM bits GROUP BY row),
+f AS MATERIALIZED (SELECT doc_id, coalesce(hi, 0) AS hi, coalesce(lo, 0) AS lo FROM d LEFT JOIN prints USING (row)),
+nodes AS MATERIALIZED (SELECT hi, lo, min(doc_id) AS low FROM f GROUP BY hi, lo),
+near AS MATERIALIZED (SELECT a.low AS a, b.low AS b FROM nodes AS a JOIN nodes AS b ON bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)) <= 3),
+reached AS (SELECT low AS a, low AS b FROM nodes UNION SELECT r.a, n.b FROM reached AS r JOIN near AS n ON r.b = n.a),
+roots AS (SELECT a AS low, min(b) AS component_id FROM reached GROUP BY a)
+SELECT f.doc_id, format('{{:08x}}{{:08x}}', f.hi, f.lo) AS fingerprint, component_id
+FROM f JOIN nodes USING (hi, lo) JOIN roots USING (low)
+"""
+
+
 def _crc_steps() -> list[int]:
     """What CRC-32 folds in for each byte."""
     out = list(range(256))
@@ -247,4 +315,4 @@ def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_decontamination, op4_toxicity, op5_brown_scoring, op6_sharding, op7_quality, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees)}
 
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op6_sharding": OP6_SQL, "op8_mixing": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op6_sharding": OP6_SQL, "op8_mixing": OP8_SQL, "op10_simhash_vantage_trees": OP10_SQL}

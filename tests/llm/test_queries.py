@@ -86,6 +86,19 @@ def test_query(spark, name):
         check(rows)
 
 
+@pytest.mark.parametrize("name", sorted(k for k in __spark_entry__.oracle_sql() if k.startswith("op")))
+def test_sql(spark, name):
+    """DuckDB gives the same rows."""
+    got = QUERIES[name](spark, SF)
+    with duckdb.connect() as c:
+        for f in os.listdir(SF):
+            c.sql(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{f}'")
+        want = c.sql(__spark_entry__.oracle_sql()[name])
+        assert sorted(got.columns) == sorted(want.columns)
+        order = [want.columns.index(k) for k in got.columns]
+        assert sorted((tuple(r[k] for k in order) for r in want.fetchall()), key=repr) == sorted(map(tuple, got.collect()), key=repr)
+
+
 def test_pipeline(spark):
     """Each stage gives rows of its predecessor in the columns of documents; the last one shards them all."""
     table = corpus_pipeline.table(spark, SF, "documents")
