@@ -56,12 +56,6 @@ def digest(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def wide_digest(text: Column) -> Column:
-    """The first 64 bits of the MD5 of a text, as a signed number."""
-    half = lambda at: F.conv(F.substring(F.md5(text.cast("binary")), at, 8), 16, 10).cast("long")
-    return F.shiftleft(half(1), 32).bitwiseOR(half(9))
-
-
 def byte_size(text: Column) -> Column:
     """UTF-8 bytes plus one; a null text has no bytes."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1

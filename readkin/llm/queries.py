@@ -12,18 +12,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op10_simhash_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprint and component of every document; linked at 3 or fewer differing bits."""
-    found = simhash.components(table(spark, sf_dir, "documents"), radius=3)
-    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shards 0 to 15 of near-equal bytes, contiguous in the order of (CRC-32, MD5, doc_id)."""
-    out = sharding.assign(table(spark, sf_dir, "documents"), shards=16)
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))
-
-
 # XXH64 as its public specification gives it, with unsigned 128-bit numbers kept below 2^64.
 _P = [f"{p}::UHUGEINT" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)]
 _M = f"{1 << 64}::UHUGEINT"
@@ -70,6 +58,22 @@ x8 AS (SELECT s, xor(h, h // {1 << 29}::UHUGEINT) * {_P[2]} % {_M} AS h FROM x7)
 hashed AS (SELECT s, xor(h, h // {1 << 32}::UHUGEINT) AS h FROM x8)"""
 
 
+def _signed(h: str) -> str:
+    return f"CAST({h}::HUGEINT - CASE WHEN {h} >= {1 << 63}::UHUGEINT THEN {1 << 64}::HUGEINT ELSE 0 END AS BIGINT)"
+
+
+def op10_simhash_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; linked at 3 or fewer differing bits."""
+    found = simhash.components(table(spark, sf_dir, "documents"), radius=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 15 of near-equal bytes, contiguous in the order of (CRC-32, hash, doc_id)."""
+    out = sharding.assign(table(spark, sf_dir, "documents"), shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int"), "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 OP10_SQL = rf"""
 WITH RECURSIVE d AS (
   SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -100,12 +104,13 @@ def _crc_steps() -> list[int]:
     return out
 
 
-OP6_SQL = f"""
-WITH d AS (
-  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS h,
-         xor(4294967295, list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+OP6_SQL = rf"""
+WITH words AS (SELECT DISTINCT coalesce(text, '') AS s FROM documents),{_xxh64(42)},
+d AS (
+  SELECT doc_id, strlen(s) + 1 AS size, {_signed("h")} AS h,
+         xor(4294967295, list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(s)), '..'), lambda x: CAST('0x' || x AS BIGINT)),
            lambda c, b: xor(c >> 8, {_crc_steps()}[1 + (xor(c, b) & 255)]))) AS text_crc32
-  FROM documents),
+  FROM documents JOIN hashed ON s = coalesce(text, '')),
 r AS (
   SELECT *, sum(size) OVER () AS total, sum(size) OVER w - size AS first_byte, row_number() OVER w AS place
   FROM d WINDOW w AS (ORDER BY text_crc32, h, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)),
@@ -189,14 +194,14 @@ def _prefix(x: str, y: str) -> str:
 
 
 # Links by the recursion of the edit distance behind the common start; eight bytes are at most two letters, so the byte distance only spares work.
-OP1_SQL = f"""
+OP1_SQL = rf"""
 WITH RECURSIVE o AS (
   SELECT doc_id, CAST(n AS INTEGER) AS line_no, line FROM (
     SELECT doc_id, unnest(range(len(x))) AS n, trim(unnest(x), ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents))
   WHERE line <> ''),
+words AS (SELECT DISTINCT line AS s FROM o),{_xxh64(42)},
 l AS MATERIALIZED (
-  SELECT *, h - CASE WHEN h >= 9223372036854775808 THEN 18446744073709551616 ELSE 0 END AS id FROM (
-    SELECT line, length(line) AS n, count(*) AS copies, min(struct_pack(d := doc_id, l := line_no)) AS first, CAST('0x' || substr(md5(line), 1, 16) AS HUGEINT) AS h FROM o GROUP BY line)),
+  SELECT line, length(line) AS n, count(*) AS copies, min(struct_pack(d := doc_id, l := line_no)) AS first, any_value({_signed("h")}) AS id FROM o JOIN hashed ON s = line GROUP BY line),
 pairs AS (
   SELECT x.id AS a, y.id AS b, x.line AS x, y.line AS y, CASE WHEN x.n >= 20 THEN 2 ELSE 1 END AS edits
   FROM l AS x JOIN (SELECT *, unnest([n, n - 1, n - 2]) AS shorter FROM l) AS y ON x.n = y.shorter
