@@ -19,15 +19,25 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return rows.where("line <> ''").withColumn("line_id", F.xxhash64("line"))
 
 
-def _cut(length: Column, i: int, parts: int) -> Column:
+def _cut(length: Column, i: int | Column, parts: int) -> Column:
     """Where segment ``i`` (from 0) of a line of that length starts, from 0."""
     return F.floor(length * i / parts).cast("int")
 
 
-def _key(line: Column, start: Column, size: Column, i: int, length: Column) -> Column:
+def _key(line: Column, start: Column, size: Column, i: int | Column, length: Column) -> Column:
     return F.xxhash64(F.substring(line, start + 1, size), F.lit(i), length)
 
 
+def _keys(length: Column, parts: int, places: list[tuple[int, int]]) -> Column:
+    """Keys of ``line`` for segments ``i`` of a line of that length, ``s`` letters further on, for all ``(i, s)``: one lambda, as spelt out they make a method too long to be compiled."""
+
+    def key(at: Column) -> Column:
+        start = _cut(length, at["i"], parts)
+        return _key(F.col("line"), start + at["s"], _cut(length, at["i"] + 1, parts) - start, at["i"], length)
+
+    return F.transform(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("s")) for i, s in places]), key)
+
+
 def _none() -> Column:
     return F.array().cast("array<bigint>")
 
@@ -44,7 +54,7 @@ def segments(bands: Bands) -> Column:
     n, out = F.col("length"), _none()
     for low, below, edits in _checked(bands):
         parts = edits + 1
-        out = F.when((n >= low) & (n < below), F.array(*[_key(F.col("line"), _cut(n, i, parts), _cut(n, i + 1, parts) - _cut(n, i, parts), i, n) for i in range(parts)])).otherwise(out)
+        out = F.when((n >= low) & (n < below), _keys(n, parts, [(i, 0) for i in range(parts)])).otherwise(out)
     return out
 
 
@@ -58,12 +68,9 @@ def probes(bands: Bands) -> Column:
     for low, below, edits in _checked(bands):
         parts = edits + 1
         for less in range(edits + 1):
-            m, keys = n - less, []
-            for i in range(parts):
-                start, size = _cut(m, i, parts), _cut(m, i + 1, parts) - _cut(m, i, parts)
-                keys += [_key(F.col("line"), start + s, size, i, m) for s in range(-i, i + 1) if abs(s - less) <= edits - i and (s or less)]
-            if keys:
-                out.append(F.when((m >= low) & (m < below), F.array(*keys)).otherwise(_none()))
+            m, places = n - less, [(i, s) for i in range(parts) for s in range(-i, i + 1) if abs(s - less) <= edits - i and (s or less)]
+            if places:
+                out.append(F.when((m >= low) & (m < below), _keys(m, parts, places)).otherwise(_none()))
     return F.concat(*out)
 
 
@@ -73,11 +80,9 @@ COUNTED = "etaonihrsdlu"
 
 def letter_counts(line: Column) -> Column:
     """How often a line has each of ``COUNTED``, modulo 16, four bits each."""
-    out = F.lit(0).cast("long")
-    for k, letter in enumerate(COUNTED):
-        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(15)).cast("long"), 4 * k))
-    return out
+    size = F.octet_length(line)
+    count = lambda c: (size - F.octet_length(F.replace(line, c, F.lit("")))).bitwiseAND(F.lit(15)).cast("long")
+    return F.aggregate(F.array(*map(F.lit, COUNTED)), F.lit(0).cast("long"), lambda a, c: F.shiftleft(a, 4).bitwiseOR(count(c)))
 
 
 def _near_counts(a: Column, b: Column, edits: int) -> Column:
