@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import scratch
+
 #: Kinds of entries, the more specific later.
 KINDS = ("domain", "host", "prefix")
 
@@ -44,7 +46,28 @@ def intervals(events: DataFrame) -> DataFrame:
     return held.where((F.col("action") == "add") & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("at")))).select("list", "verdict", "kind", "pattern", F.col("at").alias("valid_from"), "valid_to")
 
 
-def judge(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "fetched_at") -> DataFrame:
+def _salted(keyed: DataFrame, held: DataFrame, hot: int, broadcast_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``keyed`` and the entries ``held`` with a further column ``part``: keys of over ``hot`` captures are dealt to parts of about that many.
+
+    The entries of such a key are repeated for every part; captures whose crowded key has no
+    entry (``com``, say) are left out here, before they are shuffled.  Keys are counted with
+    partial sums.
+    """
+    by = ["kind", "pattern"]
+    many = keyed.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > hot)
+    listed = held.select(*by).distinct().withColumn("listed", F.lit(True))
+    crowded = scratch(many.join(listed, by, "left").select(*by, F.when(F.col("listed"), F.ceil(F.col("n") / hot)).otherwise(0).cast("int").alias("parts")), "crowded")
+    n = crowded.count()
+    if not n:
+        return keyed.withColumn("part", F.lit(0)), held.withColumn("part", F.lit(0))
+    some = F.broadcast(crowded) if n <= broadcast_rows else crowded  # a plan's choice only
+    parts = F.coalesce("parts", F.lit(1))
+    keyed = keyed.join(some, by, "left").where(parts > 0).withColumn("part", F.pmod(F.xxhash64("u", "t"), parts).cast("int"))
+    held = held.join(some, by, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return keyed.drop("parts"), held.drop("parts")
+
+
+def judge(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "fetched_at", hot: int = 1_000_000, broadcast_rows: int = 1_000_000) -> DataFrame:
     """``captures`` with ``verdict, list, kind, pattern, valid_from`` of the entry that decides at its fetch time.
 
     Of the entries in force the most specific decides: a prefix before a host
@@ -52,8 +75,8 @@ def judge(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "f
     the list's name.  Without one the verdict is ``none`` and the rest is null.
 
     The join works on different (url, time) pairs with an equi-join on the entry's
-    key and the interval as a further condition; Spark broadcasts the entries if
-    they are small and else splits the keys of hot hosts.  A null or relative URL
+    key and the interval as a further condition; keys of over ``hot`` captures are
+    dealt to parts, or dropped where no entry has them, before the shuffle.  A null or relative URL
     and a null time match nothing; repeated captures are judged alike; an
     empty list judges all ``none``; an empty table gives no row; other columns pass
     through, unless they have the names of the result, which is an error.
@@ -63,7 +86,8 @@ def judge(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "f
         raise ValueError(f"the input already has columns {sorted(clash)}")
     asked = captures.select(F.col(f"`{url}`").alias("u"), F.col(f"`{at}`").alias("t")).where("u is not null and t is not null").distinct()
     keyed = asked.select("u", "t", F.explode(keys_of(host_of(F.col("u")), path_of(F.col("u")))).alias("k")).select("u", "t", "k.kind", "k.pattern")
-    hits = keyed.join(intervals(events), ["kind", "pattern"]).where((F.col("t") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("t") < F.col("valid_to"))))
+    keyed, held = _salted(keyed, intervals(events), hot, broadcast_rows)
+    hits = keyed.join(held, ["kind", "pattern", "part"]).where((F.col("t") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("t") < F.col("valid_to"))))
     rank = F.struct((F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))).alias("rank"), F.length("pattern").alias("size"), (F.col("verdict") == "allow").alias("allow"), *[F.col(c) for c in ("list", "verdict", "kind", "pattern", "valid_from")])
     best = hits.groupBy("u", "t").agg(F.max(rank).alias("best"))
     out = captures.join(best, (F.col(f"`{url}`") == F.col("u")) & (F.col(f"`{at}`") == F.col("t")), "left")

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from readkin.llm import brown, common, decontamination, lines, mixing, outliers, quality, sharding, simhash, toxicity
+from readkin.llm import brown, common, decontamination, lines, mixing, outliers, quality, sharding, simhash, toxicity, urls
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -301,6 +301,31 @@ def test_quality_held_out(spark):
     assert len({r.n_host for r in got}) > 0 and min(r.host_posterior for r in got) < max(r.host_posterior for r in got)
 
 
+@pytest.mark.parametrize("options", [{}, {"hot": 5}, {"hot": 5, "broadcast_rows": 0}])
+def test_urls_crowded_keys(spark, options):
+    """Verdicts by a loop over all entries, whether or not crowded keys are dealt to parts."""
+    rng = random.Random(4)
+    hosts = [f"{x}{y}.com" for x in ("", "www.", "a.b.") for y in ("big", "big", "mid", "rare")]
+    pages = [(i, f"http://{rng.choice(hosts)}/{rng.choice('xyz')}/{rng.choice('pq')}", rng.randrange(30)) for i in range(300)]
+    pages += [(i, pages[0][1], pages[0][2]) for i in range(300, 340)] + [(340, None, 1), (341, "mailto:a", 1)]
+    entries = [("l1", "block", "domain", "big.com"), ("l1", "block", "host", "www.mid.com"), ("l2", "allow", "prefix", "big.com/x"), ("l2", "block", "prefix", "a.b.big.com/y/p"), ("l3", "allow", "domain", "big.com")]
+    spans = [(*e, since, since + 9) for e in entries for since in (rng.randrange(8), 8 + 9 + rng.randrange(4))]
+    events = [(*e, action, at) for *e, since, upto in spans for action, at in (("add", since), ("remove", upto))]
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string, fetched_at int"), spark.createDataFrame(events, "list string, verdict string, kind string, pattern string, action string, at int"), **options)
+
+    def verdict(url, at):
+        rest = (url or "").partition("//")[2]
+        host = rest.partition("/")[0]
+        fits = {"host": lambda p: host == p, "domain": lambda p: host == p or host.endswith("." + p), "prefix": lambda p: rest == p or rest.startswith(p + "/")}
+        hits = [(list(urls.KINDS).index(k), len(p), v == "allow", name, v, k, p, since) for name, v, k, p, since, upto in spans if rest and since <= at < upto and fits[k](p)]
+        return max(hits)[4:] if hits else ("none", None, None, None)
+
+    rows = got.collect()
+    assert len(rows) == len(pages)
+    assert all((r.verdict, r.kind, r.pattern, r.valid_from) == verdict(r.url, r.fetched_at) for r in rows)
+    assert len({r.verdict for r in rows}) == 3
+
+
 def near_lines(n, seed=0, kinds="abcdefghijklmnopqrstuvwxyz"):
     """A line of 40 letters and copies of it with one or two letters changed, left out or put in."""
     rng = random.Random(seed)
