@@ -17,7 +17,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="readkin-"))
+        key = spark.sparkContext.applicationId
+        if key not in _LOCAL:
+            _LOCAL[key] = tempfile.mkdtemp(prefix="readkin-")
+        root = _LOCAL[key]
     return root.rstrip("/")
 
 
@@ -33,4 +36,15 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(table: DataFrame | None) -> None:
+    """Delete the files of a table that ``scratch`` returned, when nothing reads it any more; any other table stays."""
+    path = getattr(table, "scratch_path", None)
+    if path:
+        jvm = table.sparkSession._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
