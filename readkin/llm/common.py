@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from ..sources.store import scratch  # noqa: F401  (the operators take it from here)
+from ..sources.store import discard, scratch  # noqa: F401  (the operators take them from here)
 
 #: The word pattern of the digests: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

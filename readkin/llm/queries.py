@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, decontamination, lines, mixing, outliers, quality, sharding, simhash, toxicity, urls
+from ..functions.sequence import let
+from . import brown, centroids, decontamination, lines, mixing, outliers, periods, pieces, quality, sharding, simhash, toxicity, urls
+from .common import WORD
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -318,6 +321,103 @@ def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_decontamination, op4_toxicity, op5_brown_scoring, op6_sharding, op7_quality, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees)}
+def op11_delta_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, squared distance and inertia of every whole vector after five rounds of 40 centroids."""
+    return centroids.clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, scale=256, seed=2)
 
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op6_sharding": OP6_SQL, "op8_mixing": OP8_SQL, "op10_simhash_vantage_trees": OP10_SQL}
+
+def _nearest(r: int) -> str:
+    """CTEs of the assignment ``a{r}`` to the centroids ``c{r}``, and of the next centroids."""
+    return f"""
+d{r} AS (SELECT x.row, c.j, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS distance FROM x JOIN c{r} AS c USING (i) GROUP BY ALL),
+a{r} AS MATERIALIZED (SELECT row, min(distance) AS distance, arg_min(j, distance * 64 + j) AS j FROM d{r} GROUP BY row),
+n{r} AS (SELECT a.j, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS n FROM x JOIN a{r} AS a USING (row) GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT c.j, i, CASE WHEN n IS NULL THEN c.v ELSE (s - (s % n + n) % n) // n END AS v FROM c{r} AS c LEFT JOIN n{r} USING (j, i))"""
+
+
+OP11_SQL = f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: isfinite(y))) = 64),
+x AS MATERIALIZED (SELECT row, unnest(range(64)) AS i, unnest(list_transform(embedding, lambda y: CAST(floor(CAST(y AS DOUBLE) * 256) AS BIGINT))) AS v FROM e),
+s AS (SELECT row, row_number() OVER (ORDER BY sha256('2:' || vec_id), vec_id) - 1 AS j FROM e),
+c0 AS MATERIALIZED (SELECT j, i, v FROM s JOIN x USING (row) WHERE j < 40),{",".join(_nearest(r) for r in range(6))},
+last AS (SELECT j, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c5 GROUP BY j)
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a5 JOIN e USING (row) JOIN last USING (j)
+"""
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: every document whose checksum ends in 0 repeats a stretch of its words from a place on, both taken from that checksum."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+    def repeated(words: Column, h: Column) -> Column:
+        n, g = F.size(words), F.floor(h / 10)
+        place = (g % n).cast("int")
+        return let(lambda w, a, p: F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.element_at(w, a + (i - a) % p + 1))), " "), w=words, a=place, p=(1 + F.floor((n - place) / (3 + g % 8))).cast("int"))
+
+    some = F.regexp_instr("text", F.lit(WORD)) > 0
+    return docs.select("doc_id", F.when((h % 10 == 0) & some, let(repeated, words=F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), h=h)).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of every document, some of which are made to repeat first; the greatest run and digests of all."""
+    found = periods.runs(planted(table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+
+    def greater(best: Column, x: Column) -> Column:
+        # length / period compared without rounding; runs come by start, then period, so the first of equals stays
+        return F.when(best.isNull() | (x["length"] * best["period"] > best["length"] * x["period"]), x).otherwise(best)
+
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")])), "\n")
+    some = F.size("runs") > 0
+    out = found.withColumns({"best": F.aggregate("runs", none, greater), "lines": F.when(some, F.concat(lines, F.lit("\n"))).otherwise("")})
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _grams(k: int) -> str:
+    """CTEs from the names of 2**k-word stretches to those twice as long."""
+    return f"g{k + 1} AS MATERIALIZED (SELECT row, i, md5(g || lead(g, {1 << k}) OVER (PARTITION BY row ORDER BY i)) AS g FROM g{k} QUALIFY lead(g, {1 << k}) OVER (PARTITION BY row ORDER BY i) IS NOT NULL)"
+
+
+_LONGEST = 18  # stretches of up to 2**18 words; runs with longer periods would need more
+
+#: A run of smallest period q shows as the next occurrence of each of its stretches of g words q words on, for g from q to 2 * q.
+OP12_SQL = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, crc32, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w
+  FROM (SELECT *, xor(4294967295, list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+           lambda c, b: xor(c >> 8, {{steps}}[1 + (xor(c, b) & 255)]))) AS crc32 FROM documents)),
+m AS (SELECT *, len(w) AS n, crc32 // 10 % greatest(len(w), 1) AS a FROM d),
+o AS (SELECT *, 1 + (n - a) // (3 + crc32 // 10 % 8) AS p FROM m),
+t AS MATERIALIZED (SELECT row, doc_id, n, unnest(range(n)) AS i, unnest(CASE WHEN crc32 % 10 = 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END) AS word FROM o WHERE n > 0),
+g0 AS MATERIALIZED (SELECT row, i, md5(word) AS g FROM t),
+{", ".join(_grams(k) for k in range(_LONGEST))},
+next AS ({" UNION ALL ".join(f"SELECT row, i, {1 << k} AS size, lead(i) OVER (PARTITION BY row, g ORDER BY i) - i AS q FROM g{k}" for k in range(4, _LONGEST + 1))}),
+fit AS (SELECT * FROM next WHERE q IS NOT NULL AND size <= greatest(24 - q, 2 * q) AND greatest(24 - q, 2 * q) < 2 * size),
+island AS (SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS k FROM fit),
+runs AS MATERIALIZED (SELECT row, min(i) AS start, count(*) - 1 + any_value(size) + q AS length, q AS period FROM island GROUP BY row, q, k HAVING count(*) - 1 + any_value(size) + q >= greatest(24, 3 * q)),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY row ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1),
+all_ AS (SELECT row, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS s FROM runs GROUP BY row),
+gone AS (SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS s FROM t ANTI JOIN gone USING (row, i) GROUP BY row)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(coalesce(a.s, '')) AS runs_sha256, sha256(coalesce(k.s, '')) AS collapsed_sha256
+FROM d LEFT JOIN all_ AS a USING (row) LEFT JOIN best USING (row) LEFT JOIN kept AS k USING (row)
+""".replace("{steps}", str(_crc_steps()))
+
+
+def op13_merge_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of pieces of every document, and digests of their ids and of the text that they decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_url_filter, op3_decontamination, op4_toxicity, op5_brown_scoring, op6_sharding, op7_quality, op8_mixing, op9_robust_outliers, op10_simhash_vantage_trees, op11_delta_lloyd, op12_periodic_runs, op13_merge_pieces)}
+
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_url_filter": OP2_SQL, "op6_sharding": OP6_SQL, "op8_mixing": OP8_SQL, "op10_simhash_vantage_trees": OP10_SQL, "op11_delta_lloyd": OP11_SQL, "op12_periodic_runs": OP12_SQL}
