@@ -50,7 +50,8 @@ class Encoder:
     longest first from the matches of an Aho-Corasick automaton, each is checked with the one
     before it by merging the two again, and a position from which no piece goes on is marked in a bit
     field and never tried again.  Texts are cut first where no piece reaches over; the units between cuts
-    repeat, and their encodings are remembered (at most ``remembered`` units and pairs).
+    repeat, and their encodings are remembered (at most twice ``remembered`` units, the
+    oldest go first, and as many pairs).
     """
 
     def __init__(self, vocabulary: Vocabulary, remembered: int = 1 << 17):
@@ -59,26 +60,34 @@ class Encoder:
         whole = {p for p in self.score if len(p) > 1 and self.merge(p) == [p]}
         self.automaton = ahocorasick.Automaton()
         for p in whole:
-            self.automaton.add_word(p, p)
+            self.automaton.add_word(p, (len(p) - 1, p))
         self.automaton.make_automaton()
         #: The next shorter piece that a piece begins with; a single letter is the last one.
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 1, -1) if p[:n] in whole), p[0]) for p in whole}
         inside = {c for p in self.score if len(p) > 1 for c in p}
         alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in inside)
         joined = any(SPACE in p.lstrip(SPACE) for p in self.score)  # pieces go on behind a word
+        self.id_of = {p: i for p, (i, _) in vocabulary.pieces.items()}
         self.units = re.compile(r"[\s\S]+") if joined else re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|[{alone}]" if alone else ""))
         self._pairs: dict[tuple[str, str], bool] = {}
         self._known: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def merge(self, text: str) -> list[str]:
         """The pieces that are left when no two neighbours make a piece; only for short texts."""
-        parts = list(text)
-        while len(parts) > 1:
-            best = max(range(len(parts) - 1), key=lambda i: (self.score.get(parts[i] + parts[i + 1], float("-inf")), -i))
-            both = parts[best] + parts[best + 1]
-            if both not in self.score:
+        parts, score, none = list(text), self.score.get, float("-inf")
+        pairs = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs:
+            best = max(pairs)
+            if best == none:
                 break
-            parts[best : best + 2] = [both]
+            i = pairs.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = score(parts[i - 1] + parts[i], none)
+            if i < len(pairs):
+                pairs[i] = score(parts[i] + parts[i + 1], none)
         return parts
 
     def fits(self, left: str, right: str) -> bool:
@@ -86,45 +95,48 @@ class Encoder:
         key = (left, right)
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) >= self.remembered:
+            if len(self._pairs) >= 2 * self.remembered:
                 self._pairs.clear()
             known = self._pairs[key] = self.merge(left + right) == [left, right]
         return known
 
     def split(self, unit: str) -> list[str]:
         """The pieces of a text, single letters without a piece among them."""
-        longest = list(unit)
-        for end, piece in self.automaton.iter(unit):
-            start = end + 1 - len(piece)
-            if len(piece) > len(longest[start]):
-                longest[start] = piece
-        failed = bytearray(len(unit) // 8 + 1)
-        out, at, piece = [], 0, longest[0] if unit else ""
-        while at < len(unit):
+        longest, n = list(unit), len(unit)
+        for end, (more, piece) in self.automaton.iter(unit):
+            longest[end - more] = piece  # a later end is a longer match
+        failed, out, before, at = None, [], "", 0
+        piece, pairs = longest[0] if unit else "", self._pairs
+        while at < n:
             end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (not out or self.fits(out[-1], piece)):
-                out.append(piece)
-                at, piece = end, longest[end] if end < len(unit) else ""
-                continue
+            if not (failed and failed[end >> 3] >> (end & 7) & 1):
+                fit = pairs.get((before, piece)) if before else True
+                if fit or (fit is None and self.fits(before, piece)):
+                    out.append(piece)
+                    at, before = end, piece
+                    piece = longest[end] if end < n else ""
+                    continue
             while len(piece) == 1:  # no piece goes on from here: step back
+                failed = failed or bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
                 at -= len(piece)
+            before = out[-1] if out else ""
             piece = self.shorter[piece]
         return out
 
     def unit_ids(self, unit: str) -> tuple[int, ...]:
-        known = self._known.get(unit)
+        known = self._known.get(unit) or self._older.get(unit)
         if known is None:
-            ids: list[int] = []
-            for p in self.split(unit):
-                own = self.vocabulary.pieces.get(p)
-                ids.extend([own[0]] if own else [self.vocabulary.bytes_[b] for b in p.encode()])
-            known = tuple(ids)
-            if len(unit) <= 64:
-                if len(self._known) >= self.remembered:
-                    self._known.clear()
-                self._known[unit] = known
+            parts = self.split(unit)
+            try:
+                known = tuple([self.id_of[p] for p in parts])
+            except KeyError:  # letters without a piece are written as their bytes
+                known = tuple(i for p in parts for i in ((self.id_of[p],) if p in self.id_of else [self.vocabulary.bytes_[b] for b in p.encode()]))
+        if len(unit) <= 64:
+            if len(self._known) >= self.remembered:
+                self._older, self._known = self._known, {}
+            self._known[unit] = known
         return known
 
     def encode(self, text: str) -> list[int]:
@@ -132,10 +144,8 @@ class Encoder:
         if not text:
             return []
         out: list[int] = []
-        known, own = self._known, self.unit_ids
         for unit in self.units.findall(SPACE + text.replace(" ", SPACE)):
-            ids = known.get(unit)
-            out.extend(own(unit) if ids is None else ids)
+            out.extend(self._known.get(unit) or self.unit_ids(unit))
         return out
 
 
@@ -213,7 +223,8 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "decoded
         decoder = None
         for batch in batches:
             decoder = decoder or Decoder(vocabulary.value)
-            texts = pa.array([None if x is None else decoder.decode(x) if x else "" for x in batch.column(at).to_pylist()], pa.string())
+            # One row's ids at a time are Python numbers.
+            texts = pa.array([decoder.decode(x.values.to_pylist()) if x.is_valid else None for x in batch.column(at)], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, into])
 
     return mapped(encoded, run, f"{into} string")
