@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import alleles, cigar_ops, differences, gapped, position_quality
+from .tables import sent_whole
 
 #: The columns that name a read family.
 FAMILY = ("title", "target", "bc5")
@@ -45,11 +46,11 @@ def filter_log(aln: DataFrame, by: tuple[str, ...] = ("title", "target")) -> Dat
 
 
 def call(aln: DataFrame, refs: DataFrame, roi: tuple[tuple[int, int], ...], min_phred: int = 28, fix_insertion_quality: bool = False) -> DataFrame:
-    """``aln`` with ``muts`` and ``hqpos``; ``refs(target, ref)`` is one row a target and is broadcast.
+    """``aln`` with ``muts`` and ``hqpos``; ``refs(target, ref)`` is one row a target, broadcast when its rows are few.
 
     Nothing is shuffled: gaps, differences and alleles are expressions over the read's row.
     """
-    out = aln.join(F.broadcast(refs), "target").withColumn("__a", gapped(cigar_ops(F.col("cigar")), F.col("ref"), F.col("seq")))
+    out = aln.join(sent_whole(refs), "target").withColumn("__a", gapped(cigar_ops(F.col("cigar")), F.col("ref"), F.col("seq")))
     out = out.withColumn("__d", differences(F.col("__a.t"), F.col("__a.q"), roi))
     return out.withColumns({"muts": alleles(F.col("__d"), F.col("qual"), min_phred, fix_insertion_quality), "hqpos": position_quality(F.col("__a.t"), F.col("__a.q"), F.col("qual"), min_phred)}).drop("__a", "__d")
 

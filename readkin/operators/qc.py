@@ -1,11 +1,9 @@
-"""Read quality control: statistics, quality trim, adapters, mate merge, sampling."""
+"""Read quality control: statistics, quality trim, exact adapters, sampling."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,72 +44,8 @@ def sample_reads(reads: DataFrame, n: int = 10_000, seed: int = 100, key: str =
     return reads.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)).cast("binary")), key).limit(n)
 
 
-def _match(seq: str, adapter: str, rate: float, least: int) -> tuple[int, int] | None:
-    """Leftmost best place of an adapter, N free, with at most ``rate`` errors; at the read's end a prefix will do."""
-    best = None
-    for i in range(len(seq) - least + 1):
-        n = min(len(adapter), len(seq) - i)
-        bad = 0
-        for a, b in zip(adapter, seq[i : i + n]):
-            bad += a != b and a != "N" and b != "N"
-        if bad <= int(rate * n) and (best is None or n - bad > best[2]):
-            best = (i, i + n, n - bad)
-    return best and best[:2]
-
-
-def trim_adapters(reads: DataFrame, adapters: list[str], times: int = 2, rate: float = 0.1, least: int = 3) -> DataFrame:
-    """Cut adapters off either end: a match at the start goes, any other goes with all behind it."""
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            seqs, quals = [], []
-            for s, q in zip(batch["seq"], batch["qual"]):
-                for _ in range(times):
-                    found = max(((m[1] - m[0], m) for a in adapters if (m := _match(s, a, rate, least))), default=None)
-                    if not found:
-                        break
-                    a, b = found[1]
-                    s, q = (s[b:], q[b:]) if a == 0 and b < len(s) else (s[:a], q[:a])
-                seqs.append(s)
-                quals.append(q)
-            yield batch.assign(seq=seqs, qual=quals)
-
-    return reads.mapInPandas(cut, reads.schema)
-
-
 def strip_exact_adapter(reads: DataFrame, adapter: str) -> DataFrame:
     """Cut the reads at the first exact occurrence of an adapter, N free; an expression, no Python."""
     at = F.regexp_instr("seq", F.lit(re.sub("N", "[ACGTN]", adapter)))
     keep = F.when(at > 0, at - 1).otherwise(F.char_length("seq"))
     return reads.withColumns({"seq": F.left("seq", keep), "qual": F.left("qual", keep)})
-
-
-_COMPLEMENT = str.maketrans("ACGTN", "TGCAN")
-
-
-def _merge(a: str, qa: str, b: str, qb: str, least: int, rate: float) -> tuple[str, str] | None:
-    """Overlap of a forward read with its reversed mate that scores best; each base from the better score."""
-    b, qb = b.translate(_COMPLEMENT)[::-1], qb[::-1]
-    best = None
-    for n in range(least, min(len(a), len(b)) + 1):
-        same = sum(x == y for x, y in zip(a[-n:], b[:n]))
-        if n - same <= rate * n and (best is None or 2 * same - n > best[0]):
-            best = (2 * same - n, n)
-    if best is None:
-        return None
-    n = best[1]
-    mid = [(x, p) if p >= q else (y, q) for x, p, y, q in zip(a[-n:], qa[-n:], b[:n], qb[:n])]
-    return a[:-n] + "".join(x for x, _ in mid) + b[n:], qa[:-n] + "".join(q for _, q in mid) + qb[n:]
-
-
-def merge_mates(forward: DataFrame, reverse: DataFrame, least: int = 10, rate: float = 0.1) -> DataFrame:
-    """``header, seq, qual`` of mates that overlap; mates are joined by the header up to the first blank."""
-    name = F.regexp_extract("header", r"^(\S+?)(?:/[12])?(?:\s|$)", 1)
-    pairs = forward.select(name.alias("header"), F.col("seq").alias("a"), F.col("qual").alias("qa")).join(reverse.select(name.alias("header"), F.col("seq").alias("b"), F.col("qual").alias("qb")), "header")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            got = [(h, m) for h, *x in p[["header", "a", "qa", "b", "qb"]].itertuples(index=False) if (m := _merge(*x, least, rate))]
-            yield pd.DataFrame({"header": [h for h, _ in got], "seq": [m[0] for _, m in got], "qual": [m[1] for _, m in got]}, dtype=object)
-
-    return pairs.mapInPandas(run, "header string, seq string, qual string")

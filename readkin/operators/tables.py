@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..params import Factors
 
+#: Rows of a table of references or the like that may be held by every task.
+FEW = 10_000
+
+
+def few_rows(df: DataFrame, most: int = FEW) -> list[Row]:
+    """All rows of a small table; over ``most`` of them are an error."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"over {most} rows in a table that every task would hold")
+    return rows
+
+
+def sent_whole(df: DataFrame, most: int = FEW) -> DataFrame:
+    """``df`` to be broadcast if it has at most ``most`` rows, which are counted; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
 
 def full_merge(x: DataFrame, y: DataFrame, key: str, fill: int = 0) -> DataFrame:
     """Full outer join on ``key`` with ``fill`` in the place of missing numbers; an empty left side with a filled right one is an error of the caller and gives the right rows here."""
@@ -22,6 +38,24 @@ def samples_by_pair(samples: DataFrame, single_end: bool = False) -> DataFrame:
     return grouped.withColumn("ok", ok).join(F.broadcast(names), "sample")
 
 
+#: The extensions of read files.
+EXTENSIONS = r"\.((?:fastq|fq)(?:\.gz)?)$"
+
+
+def lane_parts(samples: DataFrame) -> DataFrame:
+    """``sample, mate, files, extension, ok`` of samples whose mates come in several files: the n-th files of all pairs are parts of mate n.
+
+    The parts of a sample must all have one known extension, or they cannot be
+    put behind each other: if not, ``ok`` is false and ``extension`` null.  Every pair must have as many files.
+    """
+    place = Window.partitionBy("sample", "pair").orderBy("file")  # the files of one pair
+    rows = samples.withColumns({"mate": F.row_number().over(place), "extension": F.regexp_extract("file", EXTENSIONS, 1)})
+    parts = rows.groupBy("sample", "mate").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    whole = rows.groupBy("sample").agg(F.min("extension").alias("a"), F.max("extension").alias("b"), F.count("*").alias("n"), F.max("mate").alias("mates"), F.count_distinct("pair").alias("pairs"))
+    ok = (F.col("a") == F.col("b")) & (F.col("a") != "") & (F.col("n") == F.col("mates") * F.col("pairs"))
+    return parts.join(whole, "sample").select("sample", "mate", "files", F.when(F.col("a") == F.col("b"), F.nullif("a", F.lit(""))).alias("extension"), ok.alias("ok"))
+
+
 def repeated_files(samples: DataFrame) -> DataFrame:
     return samples.groupBy("file").agg(F.count("*").alias("n")).where("n > 1")
 

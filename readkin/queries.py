@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import synth
 from .functions.sequence import cigar_ops, gapped
-from .operators import align, consensus, family, mutations, qc, tables, trim
+from .operators import adapters, align, consensus, family, mates, mutations, qc, tables, trim
 from .params import full_grid
 from .plans import families
 from .sources import readers, store, writers
@@ -300,7 +300,7 @@ def q_cigar_ops(spark, sf_dir):
 @query(f"WITH {_GAPPED} SELECT event_id, t, q FROM gapd")
 def q_aligned_columns(spark, sf_dir):
     """Reference and read of every usable alignment, with gaps."""
-    a = mutations.usable(_aligned(spark, sf_dir)).join(F.broadcast(_refs(spark)), "target")
+    a = mutations.usable(_aligned(spark, sf_dir)).join(tables.sent_whole(_refs(spark)), "target")
     return a.withColumn("g", gapped(cigar_ops(F.col("cigar")), F.col("ref"), F.col("seq"))).select("event_id", "g.t", "g.q")
 
 
@@ -428,28 +428,133 @@ def q_design(spark, sf_dir):
     return tables.samples_by_pair(files.select("sample", "pair", "file")).select("sample", "pair", F.array_join("files", ";").alias("files"), "ok", "ordinal")
 
 
-@query()
+_LANES = "SELECT c_nationkey, c_mktsegment AS pair, 'n' || c_nationkey AS sample, 'c' || c_custkey || CASE WHEN c_nationkey % 3 = 0 AND c_custkey % 2 = 0 THEN '.fq' ELSE '.fq.gz' END AS file FROM customer"
+
+
+@query(f"""WITH l AS ({_LANES}), p AS (SELECT *, row_number() OVER (PARTITION BY sample, pair ORDER BY file) AS mate, ends_with(file, '.gz') AS gz FROM l),
+w AS (SELECT sample, count(DISTINCT gz) = 1 AS alike, count(*) AS n, max(mate) * count(DISTINCT pair) AS whole, bool_and(gz) AS gz FROM p GROUP BY sample)
+SELECT sample, CAST(mate AS INTEGER) AS mate, string_agg(file, ';' ORDER BY file) AS files, CASE WHEN alike THEN CASE WHEN w.gz THEN 'fq.gz' ELSE 'fq' END END AS extension, alike AND n = whole AS ok FROM p JOIN w USING (sample) GROUP BY ALL""")
+def q_lane_parts(spark, sf_dir):
+    """Files of several lanes put together by sample and mate, mixed extensions refused; customers stand in for files."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    end = F.when((F.col("c_nationkey") % 3 == 0) & (F.col("c_custkey") % 2 == 0), ".fq").otherwise(".fq.gz")
+    files = c.select(F.col("c_mktsegment").alias("pair"), F.concat(F.lit("n"), "c_nationkey").alias("sample"), F.concat(F.lit("c"), "c_custkey", end).alias("file"))
+    return tables.lane_parts(files).select("sample", "mate", F.array_join("files", ";").alias("files"), "extension", "ok")
+
+
+ADAPTERS = ("AGCCANNNNN", "TGCATGCAGGTC")
+
+
+def _pattern(adapter: str, errors: int, more: int) -> str:
+    """Texts within ``errors`` (0 or 1) of an adapter that have ``more`` letters than it, as a pattern."""
+    letters = [c.replace("N", ".") for c in adapter]
+    n = len(letters)
+    if not errors:
+        return "".join(letters)
+    kinds = {0: [[*letters[:i], ".", *letters[i + 1 :]] for i in range(n)], 1: [[*letters[:i], ".", *letters[i:]] for i in range(n + 1)], -1: [[*letters[:i], *letters[i + 1 :]] for i in range(n)]}
+    return "|".join(dict.fromkeys("".join(x) for x in kinds[more]))
+
+
+def _stretches(source: str, rate: float = 0.1, least: int = 3) -> str:
+    """Rows of all stretches of reads that are stretches of the adapters: whole ones, beginnings at a read's end, ends at its start."""
+    found = []
+    for a, adapter in enumerate(ADAPTERS):
+        m = len(adapter)
+        parts = [(0, adapter), *[(1, adapter[:n]) for n in range(least, m)], *[(2, adapter[m - n :]) for n in range(least, m)]]
+        for kind, part in parts:
+            for errors in range(int(rate * len(part) + 1e-9) + 1):
+                for near, more in ((0, 0), (1, 1), (2, -1)) if errors else ((0, 0),):
+                    size = len(part) + more
+                    stop = (f"unnest(range({size}, length(seq) + 1))", "length(seq)", f"{size}")[kind]
+                    found.append(
+                        f"SELECT * FROM (SELECT event_id, seq, {a} AS a, {kind} AS kind, {len(part)} AS used, {errors} AS errors, {size} AS size, {near} AS near, {stop} AS stop FROM {source} WHERE length(seq) >= {size}) "
+                        f"WHERE regexp_full_match(substr(seq, CAST(stop - size AS INTEGER) + 1, {size}), '{_pattern(part, errors, more)}')"
+                    )
+    return " UNION ALL ".join(found)
+
+
+def _cut_once(source: str, to: str) -> str:
+    """CTEs that cut the best adapter off every ``(event_id, seq)``."""
+    return f"""
+{to}_hits AS ({_stretches(source)}),
+{to}_kind AS (SELECT * FROM {to}_hits QUALIFY row_number() OVER (PARTITION BY event_id, a, kind ORDER BY used - errors DESC, errors, CASE WHEN kind = 0 THEN stop ELSE 0 END, near) = 1),
+{to}_best AS (SELECT * FROM {to}_kind QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY used - errors DESC, errors, a, stop, kind) = 1),
+{to} AS MATERIALIZED (SELECT s.event_id, CASE WHEN b.stop IS NULL THEN s.seq WHEN b.stop = b.size THEN substr(s.seq, CAST(b.stop AS INTEGER) + 1) ELSE left(s.seq, CAST(b.stop - b.size AS INTEGER)) END AS seq FROM {source} s LEFT JOIN {to}_best b USING (event_id))"""
+
+
+@query(f"WITH {_RAW.replace('raw AS (', 'raw AS MATERIALIZED (', 1)}, {_cut_once('raw', 'once')}, {_cut_once('once', 'twice')} SELECT event_id, seq FROM twice")
 def q_adapter_trim(spark, sf_dir):
-    """Adapters cut with errors allowed."""
-    return qc.trim_adapters(_raw(spark, sf_dir), ["AGCCANNNNN", "TGCATGCAGGTC"]).select("event_id", "seq")
+    """Adapters cut with errors allowed, inserted and missing letters among them."""
+    return adapters.trim_adapters(_raw(spark, sf_dir), list(ADAPTERS)).select("event_id", "seq")
+
+
+MATE = 90
+_CHOSEN = "[CASE WHEN ascii(substr(pa, i, 1)) >= ascii(substr(pb, i, 1)) THEN substr({0}, i, 1) ELSE substr({1}, i, 1) END FOR i IN range(1, n + 1)]"
 
 
-@query()
+@query(f"""WITH {_RAW}, m AS (SELECT header, left(seq, {MATE}) AS a, left(qual, {MATE}) AS qa, right(seq, {MATE}) AS b, right(qual, {MATE}) AS qb FROM raw),
+p AS (SELECT *, least({MATE}, at_ + {MATE}) - greatest(0, at_) AS n FROM (SELECT *, CAST(unnest(range(10 - {MATE}, {MATE} - 9)) AS INTEGER) AS at_ FROM m)),
+o AS (SELECT *, substr(a, greatest(at_, 0) + 1, n) AS sa, substr(qa, greatest(at_, 0) + 1, n) AS pa, substr(b, greatest(-at_, 0) + 1, n) AS sb, substr(qb, greatest(-at_, 0) + 1, n) AS pb FROM p),
+k AS (SELECT * FROM o WHERE hamming(sa, sb) <= 0.1 * n AND n - hamming(sa, sb) >= {mates.least_matches(64, 1e-4)}[least(n, 64) + 1]),
+w AS (SELECT *, list_sum([CASE WHEN substr(sa, i, 1) = substr(sb, i, 1) THEN 1 ELSE -1 END * (least(ascii(substr(pa, i, 1)), ascii(substr(pb, i, 1))) - 33) FOR i IN range(1, n + 1)]) AS score FROM k),
+x AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY header ORDER BY score DESC, n DESC, at_) = 1)
+SELECT header, left(a, greatest(at_, 0)) || array_to_string({_CHOSEN.format("sa", "sb")}, '') || substr(b, greatest(-at_, 0) + n + 1) AS seq,
+       left(qa, greatest(at_, 0)) || array_to_string({_CHOSEN.format("pa", "pb")}, '') || substr(qb, greatest(-at_, 0) + n + 1) AS qual FROM x""")
 def q_pair_merge(spark, sf_dir):
     """Reads cut into overlapping mates and merged again."""
     r = _raw(spark, sf_dir)
-    mate = F.translate(F.reverse(F.right("seq", F.lit(90))), "ACGT", "TGCA")
-    return qc.merge_mates(r.select("header", F.left("seq", F.lit(90)).alias("seq"), F.left("qual", F.lit(90)).alias("qual")), r.select("header", mate.alias("seq"), F.reverse(F.right("qual", F.lit(90))).alias("qual")))
-
-
-@query()
+    mate = F.translate(F.reverse(F.right("seq", F.lit(MATE))), "ACGT", "TGCA")
+    return mates.merge_mates(r.select("header", F.left("seq", F.lit(MATE)).alias("seq"), F.left("qual", F.lit(MATE)).alias("qual")), r.select("header", mate.alias("seq"), F.reverse(F.right("qual", F.lit(MATE))).alias("qual")))
+
+
+_REF_OF = f"CASE target WHEN '{synth.LOCI[1]}' THEN '{synth.REF_B}' ELSE {_REF} END"
+
+
+def _aligning(inserts: str) -> str:
+    """CTEs to ``fits(target, seq, flag, pos0, mapq, cigar)`` of the different rows of ``inserts(target, seq)``: whole tables of cells, row by row, and paths step by step."""
+    return f"""
+tries AS MATERIALIZED (SELECT row_number() OVER (ORDER BY target, seq, flag) AS id, *, length(s) AS m FROM (
+  SELECT target, seq, {_REF_OF} AS ref, unnest([0, 16]) AS flag, unnest([seq, translate(reverse(seq), 'ACGT', 'TGCA')]) AS s FROM (SELECT DISTINCT target, seq FROM {inserts}))),
+dp AS (
+  SELECT id, 0 AS i, j, 0 AS h, -1000000 AS f, 0 AS move, false AS f_open, false AS e_open FROM (SELECT id, unnest(range(0, length(ref) + 1)) AS j FROM tries)
+  UNION ALL
+  SELECT id, i, j, greatest(e, g) AS h, f, CASE WHEN e > g THEN 3 WHEN f > g0 THEN 2 WHEN pair >= -5 THEN 1 ELSE 0 END AS move, f_open, coalesce(lag(greatest(e, g)) OVER (PARTITION BY id ORDER BY j) - 6 >= e, false) AS e_open
+  FROM (SELECT *, coalesce(max(g + j) OVER (PARTITION BY id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 6 - j, -1000000) AS e
+    FROM (SELECT *, greatest(pair, -5) AS g0, greatest(pair, -5, f) AS g
+      FROM (SELECT d.id, i + 1 AS i, j, greatest(h - 6, f) - 1 AS f, h - 6 >= f AS f_open, coalesce(lag(h) OVER (PARTITION BY d.id ORDER BY j), -1000000) + CASE WHEN substr(s, i + 1, 1) = substr(ref, CAST(j AS INTEGER), 1) THEN 1 ELSE -4 END AS pair
+        FROM dp d JOIN tries USING (id) WHERE i < m)))),
+ends AS (SELECT id, i, j, m, h + CASE WHEN i < m THEN -5 ELSE 0 END AS score FROM dp JOIN tries USING (id) WHERE i > 0),
+tops AS MATERIALIZED (SELECT * FROM ends QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, i DESC, j) = 1),
+far AS (SELECT t.id, max(e.score) AS score FROM tops t JOIN ends e ON e.id = t.id AND e.i = t.i AND abs(e.j - t.j) > t.m // 2 GROUP BY t.id),
+codes AS MATERIALIZED (SELECT id, max(j) + 1 AS width, string_agg(chr(CAST(65 + move + CASE WHEN f_open THEN 4 ELSE 0 END + CASE WHEN e_open THEN 8 ELSE 0 END AS INTEGER)), '' ORDER BY i, j) AS moves FROM dp GROUP BY id),
+steps AS (
+  SELECT id, i, j, 0 AS gap, '' AS ops FROM tops
+  UNION ALL
+  SELECT id, CASE WHEN kind = 3 THEN i ELSE i - 1 END, CASE WHEN kind = 2 THEN j ELSE j - 1 END, CASE WHEN kind = 1 OR (here >> kind) & 1 = 1 THEN 0 ELSE kind END, ('MID'[kind]) || ops
+  FROM (SELECT *, CASE WHEN gap > 0 THEN gap ELSE here & 3 END AS kind FROM (SELECT w.*, ascii(substr(moves, CAST(i * width + j + 1 AS INTEGER), 1)) - 65 AS here FROM steps w JOIN codes USING (id))) WHERE i > 0 AND kind > 0),
+paths AS (SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY id ORDER BY length(ops) DESC) = 1),
+found AS (SELECT r.target, r.seq, r.flag, t.score, f.score AS far, p.j AS start, CASE WHEN p.i > 0 THEN p.i || 'S' ELSE '' END || array_to_string(list_transform(regexp_extract_all(p.ops, 'M+|I+|D+'), lambda x: length(x) || x[1]), '') || CASE WHEN t.i < t.m THEN (t.m - t.i) || 'S' ELSE '' END AS cigar
+  FROM tries r JOIN tops t USING (id) JOIN paths p USING (id) LEFT JOIN far f USING (id) WHERE t.score >= 30),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY target, seq ORDER BY score DESC, flag) AS k, greatest(far, coalesce(lead(score) OVER (PARTITION BY target, seq ORDER BY score DESC, flag), -1000000)) AS second FROM found),
+fits AS MATERIALIZED (SELECT DISTINCT r.target, r.seq, CAST(coalesce(k.flag, 4) AS INTEGER) AS flag, CAST(coalesce(k.start, -1) AS INTEGER) AS pos0, CAST(CASE WHEN k.score IS NULL THEN 0 WHEN coalesce(second, 0) < 30 THEN 60 ELSE 60 * (k.score - second) // k.score END AS INTEGER) AS mapq, coalesce(k.cigar, '*') AS cigar
+  FROM tries r LEFT JOIN ranked k ON k.target = r.target AND k.seq = r.seq AND k.k = 1)"""
+
+
+@query(f"WITH RECURSIVE {_ALN}, {_aligning('aln')} SELECT event_id, f.flag, f.pos0, f.mapq, f.cigar FROM aln a JOIN fits f ON f.target = a.target AND f.seq = a.seq")
 def q_align(spark, sf_dir):
     """The made-up alignments' reads aligned anew."""
     a = _aligned(spark, sf_dir).select("event_id", "target", "seq")
     return align.align(a, _refs(spark)).select("event_id", "flag", "pos0", "mapq", "cigar")
 
 
-@query()
+_REALIGNED = f"""{_ROUTE}, clean AS (SELECT event_id, 'S0' AS title, target, bc5, bc3, substr(header, 2) AS qname, insert_seq AS seq, insert_qual AS qual FROM routed WHERE bc5 NOT LIKE '%N%' AND bc3 NOT LIKE '%N%'), {_aligning('clean')},
+aln AS (SELECT c.*, f.flag, f.pos0, f.mapq, f.cigar FROM clean c JOIN fits f ON f.target = c.target AND f.seq = c.seq WHERE f.mapq > 0)"""
+_GENES = f"FROM (SELECT w.*, {_REF_OF} AS ref FROM walk w JOIN ok USING (event_id)) GROUP BY event_id, ref"
+_BEFORE, _AFTER = ORACLES["q_consensus"].removeprefix("WITH").split(_ALN)
+_END_TO_END = f"WITH RECURSIVE {_BEFORE}{_REALIGNED}" + _AFTER.replace(f"substr({_REF}", "substr(ref").replace("FROM walk GROUP BY event_id", _GENES)
+
+
+@query(_END_TO_END)
 def q_end_to_end(spark, sf_dir):
     """Raw reads to consensus rows: split, route, align, call, collate."""
     raw = _raw(spark, sf_dir).select(F.lit("S0").alias("title"), "header", "seq", "qual")

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..params import Factors, parse_factors
+from .store import scratch
 
 
 def read_fastq(spark: SparkSession, path: str | list[str], blank_tolerant: bool = False) -> DataFrame:
     """``file, pos_in_file, header, seq, qual`` of FASTQ files of any size, gz too (a gz file is one stream of lines).
 
-    A record is four lines.  Files are read in splits; the lines of all splits
-    before its own, a count a split, give every line its number, and lines meet by record.  Broken frames are errors;
-    ``blank_tolerant`` skips empty lines first.
+    A record is four lines.  Files are read in splits, whose lines are counted first (this runs
+    a job), so every line has its number in its file.  Records inside a split are framed
+    where they lie; only the lines of records that lie across splits, at most six a split, are
+    shuffled.  Broken frames are errors; ``blank_tolerant`` skips empty lines first.
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), "value")
     if blank_tolerant:
@@ -21,13 +27,34 @@ def read_fastq(spark: SparkSession, path: str | list[str], blank_tolerant: bool
     lines = lines.withColumn("id", F.monotonically_increasing_id())  # successive inside a split
     counts = lines.groupBy("file", "split").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("file", "split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))  # a row a split
-    numbered = lines.join(offsets, ["file", "split"]).select("file", (F.col("id") + F.col("shift")).alias("at"), "value")
+    splits = scratch(counts.withColumn("skipped", F.coalesce(F.sum("n").over(before), F.lit(0))), "splits")  # a row a split
+    own = F.col("id") - F.col("first")
+    moved = F.raise_error(F.lit("the splits are not those that were counted")).cast("long")
+    numbered = lines.join(F.broadcast(splits), ["file", "split"], "left").withColumn("at", F.when(own.between(0, F.col("n") - 1), own + F.col("skipped")).otherwise(moved))
+    # From the first record that begins in the split to the last one that ends in it.
+    inside = F.col("at").between(F.ceil(F.col("skipped") / 4) * 4, F.floor((F.col("skipped") + F.col("n")) / 4) * 4 - 1)
+    framed = numbered.where(inside).select("file", "at", "value").mapInArrow(_every_four, "file string, pos_in_file long, header string, seq string, plus string, qual string")
     part = lambda k: F.max(F.when(F.col("at") % 4 == k, F.col("value")))
-    records = numbered.groupBy("file", F.floor(F.col("at") / 4).alias("pos_in_file")).agg(part(0).alias("header"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual"))
+    across = numbered.where(~inside).groupBy("file", F.floor(F.col("at") / 4).alias("pos_in_file")).agg(part(0).alias("header"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual"))
     good = F.coalesce(F.col("header").startswith("@") & F.col("plus").startswith("+") & (F.char_length("seq") == F.char_length("qual")), F.lit(False))
     broken = F.raise_error(F.concat("file", F.lit(": broken record "), F.col("pos_in_file").cast("string"))).cast("string")
-    return records.select("file", "pos_in_file", F.when(good, F.col("header")).otherwise(broken).alias("header"), "seq", "qual")
+    return framed.union(across).select("file", "pos_in_file", F.when(good, F.col("header")).otherwise(broken).alias("header"), "seq", "qual")
+
+
+def _every_four(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Successive lines of whole records, four to a row; at most three lines wait for the next batch."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        whole = len(table) // 4 * 4
+        rest = table.slice(whole)
+        if whole:
+            first = pa.array(range(0, whole, 4), pa.int64())
+            names = table.column("file").take(first), pc.divide(table.column("at").take(first), 4)
+            texts = [table.column("value").take(pc.add(first, k)) for k in range(4)]
+            yield from pa.table([*names, *texts], ["file", "pos_in_file", "header", "seq", "plus", "qual"]).combine_chunks().to_batches()
 
 
 def read_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:

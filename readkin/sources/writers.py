@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.mutations import FAMILY
+from ..operators.tables import sent_whole
 
 
 def write_fastq(reads: DataFrame, path: str, by: tuple[str, ...] = ("title", "target"), header: str = "new_header", seq: str = "insert_seq", qual: str = "insert_qual") -> None:
@@ -33,4 +34,4 @@ def dummy_genome(aln: DataFrame, refs: DataFrame, compat: bool = False) -> DataF
     if compat:
         first = names.groupBy("title", "target").agg(F.min("bc5").alias("bc5"))
         names = names.join(first, list(FAMILY), "left_anti")
-    return names.join(F.broadcast(refs), "target").select(*FAMILY, F.col("ref").alias("seq"))
+    return names.join(sent_whole(refs), "target").select(*FAMILY, F.col("ref").alias("seq"))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from readkin.functions import sequence as q
-from readkin.operators import align, consensus, family, mutations, qc, tables, trim
+from readkin.operators import adapters, align, consensus, family, mutations, qc, tables, trim
+from readkin.operators import mates as mating
 from readkin.params import Factors, Grid, full_grid, parse_factors
 from readkin.plans import families
 from readkin.sources import readers, writers
@@ -198,12 +199,12 @@ def test_qc(spark):
     stats = {r.pos: r for r in qc.position_stats(reads).collect()}
     assert (stats[1].reads, stats[5].n_bases, stats[7].least) == (3, 1, 2)
     assert qc.sample_reads(reads, 2).count() == 2 and qc.length_histogram(reads).count() == 2
-    cut = {r.header: r.seq for r in qc.trim_adapters(spark.createDataFrame([("a", "TTTTTTTTTTAGATCGGAAG", "I" * 20), ("b", "TTTTTTTTTTAGATCGCAAG", "I" * 20), ("c", "T" * 20, "I" * 20)], "header string, seq string, qual string"), ["AGATCGGAAG"]).collect()}
+    cut = {r.header: r.seq for r in adapters.trim_adapters(spark.createDataFrame([("a", "TTTTTTTTTTAGATCGGAAG", "I" * 20), ("b", "TTTTTTTTTTAGATCGCAAG", "I" * 20), ("c", "T" * 20, "I" * 20)], "header string, seq string, qual string"), ["AGATCGGAAG"]).collect()}
     assert cut == {"a": "T" * 10, "b": "T" * 10, "c": "T" * 20}
     whole = "ACGTTGCAAGCTTGACCATGTTGCAGGTCA"
     turned = whole[10:].translate(str.maketrans("ACGT", "TGCA"))[::-1]
     mates = [spark.createDataFrame([(h, s, "I" * 20)], "header string, seq string, qual string") for h, s in (("@m/1", whole[:20]), ("@m/2", turned))]
-    assert [r.seq for r in qc.merge_mates(*mates, least=8).collect()] == [whole]
+    assert [r.seq for r in mating.merge_mates(*mates, least=8).collect()] == [whole]
 
 
 def test_aligner(spark):
