@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import digits12, let
@@ -102,6 +102,11 @@ def _selected(grid: Grid, tss: int) -> Column:
     return F.aggregate(keep, F.array().cast(f"array<struct<allele:string,tss:string,{kinds}>>"), fold)
 
 
+def _status(grid: Grid) -> Column:
+    wt_ok = (F.col("wt_existing") >= F.col("min_bc3")) & ((F.col("above_all") >= grid.above) | (F.col("wt_existing") >= grid.instead))
+    return F.when(F.col("mutated") | wt_ok, "kept").otherwise("from_WThaplotype")
+
+
 def apply_cutoffs(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
     """Every family under every (frequency, barcode) cutoff: status, consensus and all that a consensus row tells of its alleles.
 
@@ -113,8 +118,7 @@ def apply_cutoffs(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
     has a fixed number of rows and is broadcast.
     """
     out = cons.crossJoin(F.broadcast(grid_frame(cons.sparkSession, grid))).withColumn("picked", _selected(grid, tss))
-    wt_ok = (F.col("wt_existing") >= F.col("min_bc3")) & ((F.col("above_all") >= grid.above) | (F.col("wt_existing") >= grid.instead))
-    status = F.when(F.col("mutated") | wt_ok, "kept").otherwise("from_WThaplotype")
+    status = _status(grid)
     some = F.col("mutated") & (F.size("picked") > 0)
     text = lambda g: F.array_join(F.transform("picked", g), ";")
     number = lambda c: lambda x: F.coalesce(x[c].cast("string"), F.lit("NA"))
@@ -130,6 +134,65 @@ def apply_cutoffs(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
     )
 
 
+def outcomes(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
+    """``f_from, f_to, b_from, b_to, total_count, status, consensus``: what becomes of each family in each block of cutoffs.
+
+    What a family becomes changes only at its own frequencies and barcode counts, so a family
+    has a row for every block between them and not for every cutoff.  Blocks are given as
+    places in the sorted cutoffs, the second one excluded; blocks without a cutoff are left out.
+    """
+    freqs, bc3s = sorted(set(grid.freqs)), sorted(set(grid.bc3s))
+    big = F.lit(2147483647).cast("long")
+
+    def blocks(values: Column, cutoffs: list) -> Column:
+        # A value passes the cutoffs up to it: the first one over it begins a new block.
+        passed = F.transform(values, lambda v: F.size(F.filter(F.array(*[F.lit(c) for c in cutoffs]), lambda c: c <= v)))
+        starts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0)), F.filter(passed, lambda k: k < len(cutoffs)))))
+        return let(lambda a: F.transform(a, lambda k, i: F.struct(k.alias("start"), F.coalesce(F.try_element_at(a, i + 2), F.lit(len(cutoffs))).alias("stop"))), a=starts)
+
+    f = blocks(F.flatten(F.transform("muts", lambda m: F.array(m["freq"], m["wt_freq"]))), [float(x) for x in freqs])
+    b = blocks(F.concat(F.flatten(F.transform("muts", lambda m: F.array(m["existing"], F.coalesce(m["wt_existing"], big)))), F.when(F.col("mutated"), F.array().cast("array<bigint>")).otherwise(F.array("wt_existing"))), [int(x) for x in bc3s])
+    out = cons.withColumn("__f", F.explode(f)).withColumn("__b", F.explode(b))
+    at = lambda values, place, kind: F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), F.col(place) + 1)
+    out = out.withColumns({"min_freq": at(freqs, "__f.start", "double"), "min_bc3": at(bc3s, "__b.start", "int")}).withColumn("picked", _selected(grid, tss))
+    some = F.col("mutated") & (F.size("picked") > 0)
+    return out.select("__f.start", "__f.stop", "__b.start", "__b.stop", "total_count", _status(grid).alias("status"), F.when(some, F.array_join(F.transform("picked", lambda x: x["allele"]), ";")).otherwise("WT").alias("consensus")).toDF(
+        "f_from", "f_to", "b_from", "b_to", "total_count", "status", "consensus"
+    )
+
+
+def _filled(events: DataFrame, axis: str, size: int, names: list[str]) -> DataFrame:
+    """Running sums of ``n`` along an axis, a row for every place where they are not zero."""
+    w = Window.partitionBy(*names).orderBy(axis)  # at most one row a place of the axis
+    rows = events.withColumns({"__n": F.sum("n").over(w), "__next": F.coalesce(F.lead(axis).over(w), F.lit(size))}).where((F.col("__n") != 0) & (F.col(axis) < F.col("__next")))
+    return rows.select(*names, F.explode(F.sequence(F.col(axis), F.col("__next") - 1)).alias(axis), F.col("__n").alias("n"))
+
+
+def interval_counts(cons: DataFrame, grid: Grid) -> DataFrame:
+    """The rows of ``haplotype_counts`` from blocks of cutoffs.
+
+    Equal outcomes of equal blocks are counted first; a block then adds its number where it begins and takes it
+    away where it ends, along all three axes, and running sums of these fill the grid.  So the
+    work on families does not grow with the number of cutoffs.
+    """
+    spark = cons.sparkSession
+    freqs, counts, bc3s = sorted(set(grid.freqs)), sorted(set(grid.counts)), sorted(set(grid.bc3s))
+    reached = F.size(F.filter(F.array(*[F.lit(int(c)) for c in counts]), lambda c: c <= F.col("total_count")))
+    kept = F.when(F.col("status") == "kept", F.col("consensus")).otherwise("rejected.from_WThaplotype")
+    found = outcomes(cons, grid).groupBy("f_from", "f_to", "b_from", "b_to", reached.alias("c_to"), kept.alias("consensus")).agg(F.count("*").alias("n"))
+    corner = lambda name, f, b, c, sign: F.struct(name.alias("consensus"), f.alias("f"), b.alias("b"), c.alias("c"), (sign * F.col("n")).alias("n"))
+    ends = [corner(F.col("consensus"), F.col(f), F.col(b), c, x * y * z) for f, x in (("f_from", 1), ("f_to", -1)) for b, y in (("b_from", 1), ("b_to", -1)) for c, z in ((F.lit(0), 1), (F.col("c_to"), -1))]
+    # A family has one first block; its read counts beyond those reached are rejected under all other cutoffs.
+    low = [corner(F.lit("rejected.low_count"), F.lit(f), F.lit(b), F.col("c_to"), sign) for f, b, sign in ((0, 0, 1), (len(freqs), 0, -1), (0, len(bc3s), -1), (len(freqs), len(bc3s), 1))]
+    first = (F.col("f_from") == 0) & (F.col("b_from") == 0)
+    events = found.select(F.explode(F.when(first, F.array(*ends, *low)).otherwise(F.array(*ends))).alias("e")).select("e.*")
+    events = events.groupBy("consensus", "f", "b", "c").agg(F.sum("n").alias("n")).where("n <> 0")
+    cells = _filled(_filled(_filled(events, "f", len(freqs), ["consensus", "b", "c"]), "b", len(bc3s), ["consensus", "f", "c"]), "c", len(counts), ["consensus", "f", "b"])
+    at = lambda values, place, kind: F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), F.col(place) + 1)
+    cells = cells.select(at(freqs, "f", "double").alias("min_freq"), at(counts, "c", "int").alias("min_count"), at(bc3s, "b", "int").alias("min_bc3"), "consensus", F.col("n").alias("barcodes_count"))
+    return _with_rejected(cells, spark, grid)
+
+
 def at_count(applied: DataFrame, min_count: int) -> DataFrame:
     """The families of one read-count cutoff."""
     return applied.where((F.col("total_count") >= min_count) & (F.col("status") == "kept"))
@@ -154,6 +217,12 @@ def haplotype_counts(applied: DataFrame, grid: Grid) -> DataFrame:
     many = small.crossJoin(counts)
     name = F.when(F.col("t") < F.col("min_count"), "rejected.low_count").when(F.col("status") == "kept", F.col("consensus")).otherwise("rejected.from_WThaplotype")
     found = many.groupBy("min_freq", "min_count", "min_bc3", name.alias("consensus")).agg(F.sum("n").alias("barcodes_count"))
+    return _with_rejected(found, spark, grid)
+
+
+def _with_rejected(found: DataFrame, spark: SparkSession, grid: Grid) -> DataFrame:
+    """Rows of the rejected for every cutoff, zeros included."""
+    counts = F.broadcast(spark.createDataFrame([(int(c),) for c in grid.counts], "min_count int"))
     rejected = spark.createDataFrame([(x,) for x in ("rejected.low_count", "rejected.from_WThaplotype", "rejected.other")], "consensus string")
     none = grid_frame(spark, grid).crossJoin(counts).crossJoin(F.broadcast(rejected)).select("min_freq", "min_count", "min_bc3", "consensus", F.lit(0).cast("long").alias("barcodes_count"))
     return found.unionByName(none).groupBy("min_freq", "min_count", "min_bc3", "consensus").agg(F.sum("barcodes_count").alias("barcodes_count"))

@@ -28,4 +28,4 @@ def consensus_of(aln: DataFrame, refs: DataFrame, factors: Factors, params: RunP
 
 def haplotypes_of(cons: DataFrame, grid: Grid) -> DataFrame:
     """Families to counts of haplotypes under every cutoff."""
-    return consensus.haplotype_counts(consensus.apply_cutoffs(cons, grid), grid)
+    return consensus.interval_counts(cons, grid)
