@@ -13,12 +13,8 @@ from .mutations import FAMILY
 MUT = "struct<pos:int,allele:string,freq:double,n:bigint,wt_freq:double,existing:bigint,mut_above:bigint,wt_above:bigint,above:bigint,wt_existing:bigint>"
 
 
-def _above(c: str) -> Column:
-    return F.coalesce(F.size(F.filter(c, lambda x: x["n"] > 1)), F.lit(0)).cast("long")
-
-
 def consensus(table: DataFrame) -> DataFrame:
-    """One row for every family of ``family_table`` with high-quality evidence.
+    """One row for every family of ``family_support`` with high-quality evidence.
 
     A family with a high-quality allele is mutated and lists all its alleles by
     (pos, allele); else one with unmutated reads is ``WT``; others have no row.
@@ -27,7 +23,7 @@ def consensus(table: DataFrame) -> DataFrame:
     """
     f = list(FAMILY)
     wt = F.col("kind") == "wt"
-    rows = table.withColumns({"freq": digits12(F.col("mutation_freq")), "above_all": _above("bc3_all"), "existing_all": F.col("bc3_existing"), "mut_above": _above("bc3_hq"), "wt_above": _above("bc3_wt")})
+    rows = table.withColumn("freq", digits12(F.col("mutation_freq")))
     m = F.struct("pos", "allele", "freq", F.col("hq_count").alias("n"), F.lit(None).cast("double").alias("wt_freq"), F.col("bc3_existing").alias("existing"), "mut_above", "wt_above", F.col("above_all").alias("above"), F.col("bc3_wt_existing").alias("wt_existing"))
     got = rows.groupBy(*f).agg(
         F.array_sort(F.collect_list(F.when(~wt, m))).alias("m"), F.coalesce(F.sum(F.when(~wt, F.col("hq_count"))), F.lit(0)).alias("hq"), F.max("total_count").alias("total_count"), F.max("above_all").alias("above_all"),

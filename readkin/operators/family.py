@@ -11,40 +11,72 @@ from .mutations import FAMILY
 MISSING = "BC3_missing"
 
 
-def family_table(reads: DataFrame, strict: bool = False) -> DataFrame:
-    """One row for every allele of every family of ``reads(title, target, bc5, bc3, muts, hqpos)``.
+def _counted(reads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The reads, their alleles counted by barcode, and the reads counted by barcode: rows, written once where calling or exploding would be repeated."""
+    f = list(FAMILY)
+    reads = scratch(reads.select(*f, "bc3", "muts", "hqpos"), "called")
+    hits = scratch(reads.select(*f, "bc3", F.explode("muts").alias("m")).groupBy(*f, "bc3", "m.allele", "m.pos", "m.kind").agg(F.count("*").alias("n"), F.count_if("m.hq").alias("hq")), "hits")
+    return reads, hits, reads.groupBy(*f, "bc3").agg(F.count("*").alias("n"))
 
-    Counts are partial sums per (family, allele, barcode) before any list is made,
-    so no list is longer than the barcodes of a family.  ``strict`` fails where
-    several alleles of reads at one place exceed a barcode's reads; else the
-    rest is 0.
 
-    The called reads are written once: calling alleles costs far more than the
-    sums, which look at them from five sides.
-    """
+def _placed(hits: DataFrame, barcodes: DataFrame, strict: bool) -> DataFrame:
+    """``family, pos, bc3, n, hq, left``: reads of each barcode that has a high-quality allele at a place, and how many are left to the wild type."""
     f = list(FAMILY)
-    reads = scratch(reads.select(*f, "bc3", "muts", "hqpos"), "called")
-    hits = reads.select(*f, "bc3", F.explode("muts").alias("m")).groupBy(*f, "bc3", "m.allele", "m.pos", "m.kind").agg(F.count("*").alias("n"), F.count_if("m.hq").alias("hq"))
-    pairs = lambda n: F.array_sort(F.collect_list(F.when(F.col(n) > 0, F.struct("bc3", F.col(n).alias("n")))))
-    per = hits.groupBy(*f, "allele", "pos", "kind").agg(F.sum("n").alias("mutation_count"), F.sum("hq").alias("hq_count"), pairs("hq").alias("bc3_hq"))
-    family = reads.groupBy(*f, "bc3").agg(F.count("*").alias("n")).groupBy(*f).agg(F.sum("n").alias("total_count"), pairs("n").alias("bc3_all"))
-    placed = hits.where("pos is not null and hq > 0").groupBy(*f, "pos", "bc3").agg(F.sum("hq").alias("hq"))
-    placed = placed.groupBy(*f, "pos").agg(pairs("hq").alias("bc3_at_pos"))
+    rows = hits.where("pos is not null and hq > 0").groupBy(*f, "pos", "bc3").agg(F.sum("hq").alias("hq")).join(barcodes, [*f, "bc3"])
+    left = F.col("n") - F.col("hq")
+    none = F.raise_error(F.lit("more alleles than reads of a barcode")).cast("long") if strict else F.lit(0).cast("long")
+    return rows.withColumn("left", F.when(left < 0, none).otherwise(left))
+
+
+def _support(reads: DataFrame, hits: DataFrame, barcodes: DataFrame, strict: bool) -> DataFrame:
+    f = list(FAMILY)
+    known = F.col("bc3") != MISSING
+    per = hits.groupBy(*f, "allele", "pos", "kind").agg(
+        F.sum("n").alias("mutation_count"), F.sum("hq").alias("hq_count"), F.count_if((F.col("hq") > 0) & known).alias("bc3_existing"), F.count_if((F.col("hq") > 0) & ~known).alias("bc3_missing"), F.count_if(F.col("hq") > 1).alias("mut_above")
+    )
+    family = barcodes.groupBy(*f).agg(F.sum("n").alias("total_count"), F.count_if(F.col("n") > 1).alias("above_all"), F.count_if(known).alias("__known"), F.count_if(~known).alias("__missing"))
+    # Barcodes without an allele at a place keep all their reads there, so only the others are looked at.
+    lost = _placed(hits, barcodes, strict).groupBy(*f, "pos").agg(
+        F.count_if((F.col("left") == 0) & known).alias("__lost"), F.count_if((F.col("left") == 0) & ~known).alias("__lost_missing"), F.count_if((F.col("n") > 1) & (F.col("left") <= 1)).alias("__lost_above"),
+    )
     # High-quality reads at the places where a family has an allele: at most a reference's length of places.
     places = hits.where("kind = 'sub'").groupBy(*f).agg(F.collect_set("pos").alias("places"))
     good = reads.join(places, f).select(*f, "hqpos", F.explode("places").alias("pos")).groupBy(*f, "pos").agg(F.sum(F.substring("hqpos", F.col("pos"), F.lit(1)).cast("int")).alias("hq_reads"))
-    out = per.join(family, f).join(placed, [*f, "pos"], "left").join(good, [*f, "pos"], "left")
+    out = per.join(family, f).join(lost, [*f, "pos"], "left").join(good, [*f, "pos"], "left")
     hq_total = F.when(F.col("kind") == "sub", F.col("hq_reads")).otherwise(F.col("total_count"))
-    freq = F.coalesce(F.try_divide(F.col("hq_count").cast("double"), hq_total.cast("double")), F.lit(0.0))
-    left = lambda x: x["n"] - F.coalesce(F.try_element_at(F.transform(F.filter("bc3_at_pos", lambda y: y["bc3"] == x["bc3"]), lambda y: y["n"]), F.lit(1)), F.lit(0).cast("long"))
-    checked = (lambda v: F.when(v < 0, F.raise_error(F.lit("more alleles than reads of a barcode")).cast("long")).otherwise(v)) if strict else (lambda v: F.greatest(v, F.lit(0).cast("long")))
-    wild = F.when(F.col("bc3_at_pos").isNotNull(), F.transform("bc3_all", lambda x: F.struct(x["bc3"].alias("bc3"), checked(left(x)).alias("n"))))
-    out = out.withColumn("bc3_wt", wild)
-    count = lambda c, which: F.size(F.filter(c, lambda x: (x["n"] > 0) & which(x["bc3"]))).cast("long")
-    known = lambda c: F.when(F.col("bc3_wt").isNotNull(), c)
     return out.select(
-        *f, "allele", "pos", "kind", "mutation_count", "hq_count", "total_count", hq_total.alias("hq_total_count"), freq.alias("mutation_freq"), "bc3_hq",
-        count("bc3_hq", lambda b: b != MISSING).alias("bc3_existing"), count("bc3_hq", lambda b: b == MISSING).alias("bc3_missing"),
-        F.transform("bc3_hq", lambda x: F.coalesce(F.try_divide(x["n"].cast("double"), hq_total.cast("double")), F.lit(0.0))).alias("bc3_hq_freq"),
-        "bc3_all", "bc3_wt", known(count("bc3_wt", lambda b: b != MISSING)).alias("bc3_wt_existing"), known(count("bc3_wt", lambda b: b == MISSING)).alias("bc3_wt_missing"),
+        *f, "allele", "pos", "kind", "mutation_count", "hq_count", "total_count", hq_total.alias("hq_total_count"), F.coalesce(F.try_divide(F.col("hq_count").cast("double"), hq_total.cast("double")), F.lit(0.0)).alias("mutation_freq"),
+        "bc3_existing", "bc3_missing", (F.col("__known") - F.col("__lost")).alias("bc3_wt_existing"), (F.col("__missing") - F.col("__lost_missing")).alias("bc3_wt_missing"),
+        "mut_above", F.coalesce(F.col("above_all") - F.col("__lost_above"), F.lit(0)).cast("long").alias("wt_above"), "above_all",
     )
+
+
+def family_support(reads: DataFrame, strict: bool = False) -> DataFrame:
+    """One row for every allele of every family of ``reads(title, target, bc5, bc3, muts, hqpos)``, with numbers of reads and barcodes.
+
+    All are sums over rows of (family, allele, barcode), (family, place, barcode) and (family, barcode),
+    so no list of a family's barcodes is made, however many it has.  ``mut_above``, ``wt_above`` and
+    ``above_all`` are the barcodes with two reads or more of the allele, of the wild type at its place and of all.  ``strict``
+    fails where several alleles of reads at one place exceed a barcode's reads; else the rest is 0.
+    """
+    return _support(*_counted(reads), strict)
+
+
+def family_table(reads: DataFrame, strict: bool = False) -> DataFrame:
+    """``family_support`` with the barcodes themselves as lists, as the table of families is written.
+
+    The lists are made last; none is looked into.  One of a place's wild type has all barcodes of its family.
+    """
+    f = list(FAMILY)
+    reads, hits, barcodes = _counted(reads)
+    listed = lambda n: F.array_sort(F.collect_list(F.struct("bc3", F.col(n).alias("n"))))
+    support = _support(reads, hits, barcodes, strict)
+    alleles = hits.where("hq > 0").groupBy(*f, "allele").agg(listed("hq").alias("bc3_hq"))
+    all_ = barcodes.groupBy(*f).agg(listed("n").alias("bc3_all"))
+    placed = _placed(hits, barcodes, strict).select(*f, "pos", "bc3", "left")
+    wild = placed.select(*f, "pos").distinct().join(barcodes, f).join(placed, [*f, "pos", "bc3"], "left").withColumn("n", F.coalesce("left", "n"))
+    wild = wild.groupBy(*f, "pos").agg(listed("n").alias("bc3_wt"))
+    out = support.join(alleles, [*f, "allele"], "left").join(all_, f).join(wild, [*f, "pos"], "left")
+    hq = F.coalesce("bc3_hq", F.array().cast("array<struct<bc3:string,n:bigint>>"))
+    part = F.transform(hq, lambda x: F.coalesce(F.try_divide(x["n"].cast("double"), F.col("hq_total_count").cast("double")), F.lit(0.0)))
+    return out.select(*support.columns, hq.alias("bc3_hq"), part.alias("bc3_hq_freq"), "bc3_all", "bc3_wt")

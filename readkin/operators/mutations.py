@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import alleles, cigar_ops, differences, gapped, position_quality
@@ -55,10 +55,20 @@ def call(aln: DataFrame, refs: DataFrame, roi: tuple[tuple[int, int], ...], min_
     return out.withColumns({"muts": alleles(F.col("__d"), F.col("qual"), min_phred, fix_insertion_quality), "hqpos": position_quality(F.col("__a.t"), F.col("__a.q"), F.col("qual"), min_phred)}).drop("__a", "__d")
 
 
+def with_group_size(reads: DataFrame, by: tuple[str, ...], column: str) -> DataFrame:
+    """``reads`` with the number of reads that have the same ``by``, nulls alike.
+
+    The groups are counted with partial sums and joined back, so that a group that holds a large part of
+    all reads is one row on one side, and can be split on the other; a window would sort it in one task.
+    """
+    counts = reads.groupBy(*by).agg(F.count("*").alias(column)).toDF(*[f"__{c}" for c in by], column)
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    return reads.join(counts, same).drop(*[f"__{c}" for c in by])
+
+
 def read_list(called: DataFrame) -> DataFrame:
     """A row for every allele of every read, with the reads of its family; WT has no place and quality."""
-    family = Window.partitionBy(*FAMILY)
-    rows = called.withColumn("bc5_count", F.count("*").over(family)).select(*FAMILY, "bc3", F.col("qname").alias("read_name"), "bc5_count", F.explode("muts").alias("m"))
+    rows = with_group_size(called, FAMILY, "bc5_count").select(*FAMILY, "bc3", F.col("qname").alias("read_name"), "bc5_count", F.explode("muts").alias("m"))
     part = lambda k: F.when(F.col("m.kind") != "wt", F.regexp_extract("m.allele", r"^(\d+)(-|\w+?)(\w+|-)$", k))
     return rows.select(*FAMILY, "bc3", "read_name", "bc5_count", F.col("m.phred").alias("quality"), part(1).cast("int").alias("pos"), part(2).alias("from"), part(3).alias("to"), F.col("m.allele").alias("allele"))
 
@@ -67,8 +77,8 @@ def eligible(called: DataFrame, excluded: tuple[str, ...] = (), bc3_min_reads: i
     """Reads of large enough (family, secondary barcode) groups, counted first, without the excluded alleles."""
     out = called
     if bc3_min_reads > 1:
-        n = F.when(F.col("bc3") == "X", 1).otherwise(F.count("*").over(Window.partitionBy(*FAMILY, "bc3")))
-        out = out.withColumn("__n", n).where(F.col("__n") >= bc3_min_reads).drop("__n")
+        out = with_group_size(out, (*FAMILY, "bc3"), "__n")
+        out = out.where(F.when(F.col("bc3") == "X", 1).otherwise(F.col("__n")) >= bc3_min_reads).drop("__n")
     if excluded:
         out = out.where(~F.exists("muts", lambda m: m["allele"].isin(*excluded)))
     return out

@@ -23,7 +23,7 @@ def alignments_of(reads: DataFrame, refs: DataFrame, factors: Factors, params: R
 def consensus_of(aln: DataFrame, refs: DataFrame, factors: Factors, params: RunParams = RunParams(), bc3: str = "") -> DataFrame:
     """Alignments to one row a family."""
     called = mutations.call(mutations.usable(aln, bc3), refs, factors.roi, params.min_phred)
-    return consensus.consensus(family.family_table(mutations.eligible(called, factors.excluded, params.bc3_min_reads)))
+    return consensus.consensus(family.family_support(mutations.eligible(called, factors.excluded, params.bc3_min_reads)))
 
 
 def haplotypes_of(cons: DataFrame, grid: Grid) -> DataFrame:

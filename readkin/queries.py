@@ -55,6 +55,10 @@ def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return family.family_table(_eligible(spark, sf_dir))
 
 
+def _consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consensus.consensus(family.family_support(_eligible(spark, sf_dir)))
+
+
 # --- SQL of the same steps for DuckDB: other formulas, so that each side checks the other ---
 
 _RAW = "raw AS (" + synth.RAW_SQL.format(events="events") + ")"
@@ -365,11 +369,11 @@ SELECT c.title, c.target, c.bc5, coalesce(consensus, 'WT') AS consensus, coalesc
        coalesce(wx, CAST(wt_existing AS VARCHAR)) AS bc3_all_wt_count, unmutated, unmutated_freq FROM cons c LEFT JOIN t USING (title, target, bc5)""")
 def q_consensus(spark, sf_dir):
     """One row for every family."""
-    return consensus.rendered(consensus.consensus(_table(spark, sf_dir)))
+    return consensus.rendered(_consensus(spark, sf_dir))
 
 
 def _cutoffs(spark, sf_dir, strict):
-    return consensus.apply_cutoffs(consensus.consensus(_table(spark, sf_dir)), full_grid(strict=strict))
+    return consensus.apply_cutoffs(_consensus(spark, sf_dir), full_grid(strict=strict))
 
 
 @query(f"WITH {_applied(0, 0)} SELECT * FROM applied WHERE min_freq = 0.7 AND min_bc3 = 2 AND total_count >= 4 AND status = 'kept'")
@@ -392,18 +396,18 @@ def q_cutoff_grid_mode1(spark, sf_dir):
 @query(f"WITH {_applied(0, 0)} SELECT * FROM applied WHERE min_bc3 = 0")
 def q_cutoff_nobc3(spark, sf_dir):
     """The grid without secondary barcodes."""
-    return consensus.apply_cutoffs(consensus.consensus(_table(spark, sf_dir)), full_grid(with_bc3=False))
+    return consensus.apply_cutoffs(_consensus(spark, sf_dir), full_grid(with_bc3=False))
 
 
 @query(_counted(0, 0))
 def q_haplotype_counts(spark, sf_dir):
     """Families of each haplotype under each of 858 cutoffs, with the rejected."""
-    return families.haplotypes_of(consensus.consensus(_table(spark, sf_dir)), full_grid(strict=False))
+    return families.haplotypes_of(_consensus(spark, sf_dir), full_grid(strict=False))
 
 
 @query(f"SELECT * FROM ({_counted(2, 3)}) WHERE consensus LIKE 'rejected.%'")
 def q_rejections(spark, sf_dir):
-    return families.haplotypes_of(consensus.consensus(_table(spark, sf_dir)), full_grid(strict=True)).where(F.col("consensus").startswith("rejected."))
+    return families.haplotypes_of(_consensus(spark, sf_dir), full_grid(strict=True)).where(F.col("consensus").startswith("rejected."))
 
 
 @query(f"WITH {_ALN}, n AS (SELECT DISTINCT title, target, bc5 FROM aln) SELECT title, target, bc5, {_REF} AS seq FROM n WHERE bc5 <> (SELECT min(m.bc5) FROM n m WHERE m.title = n.title AND m.target = n.target)")
