@@ -24,6 +24,15 @@ def sent_whole(df: DataFrame, most: int = FEW) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores, if its files give fewer; else as it is, without a shuffle.
+
+    For narrow rows of which each costs much work, as a file of one row group is read by one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def full_merge(x: DataFrame, y: DataFrame, key: str, fill: int = 0) -> DataFrame:
     """Full outer join on ``key`` with ``fill`` in the place of missing numbers; an empty left side with a filled right one is an error of the caller and gives the right rows here."""
     out = x.join(y, key, "full")

@@ -28,7 +28,7 @@ def query(oracle: str | None = None):
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id")
+    return tables.spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id"))
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
