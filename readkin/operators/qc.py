@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import let, phred
@@ -18,6 +18,51 @@ def position_stats(reads: DataFrame) -> DataFrame:
     return rows.groupBy((F.col("at") + 1).alias("pos")).agg(F.count("*").alias("reads"), F.avg(score).alias("mean"), F.min(score).alias("least"), F.max(score).alias("most"), F.count_if(base == "N").alias("n_bases"), F.count_if(base.isin("G", "C")).alias("gc"))
 
 
+def base_composition(reads: DataFrame) -> DataFrame:
+    """``pos, base, reads``: how many reads have each letter at each place."""
+    rows = reads.select(F.posexplode(F.split("seq", "")).alias("at", "base"))
+    return rows.where("base <> ''").groupBy((F.col("at") + 1).alias("pos"), "base").agg(F.count("*").alias("reads"))
+
+
+def quality_percentiles(reads: DataFrame, shares: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
+    """``pos, p10, p25, ..``: for each place the least score that the share of its reads does not exceed.
+
+    Exact: a score has fewer than a hundred values, so reads are counted by (place, score) first, and running
+    sums are made of these counts, which do not grow with the reads.
+    """
+    counts = reads.select(F.posexplode(F.split("qual", "")).alias("at", "q")).where("q <> ''").groupBy((F.col("at") + 1).alias("pos"), (F.ascii("q") - 33).alias("score")).agg(F.count("*").alias("n"))
+    up_to = Window.partitionBy("pos").orderBy("score")  # under a hundred rows
+    rows = counts.withColumns({"below": F.sum("n").over(up_to), "all": F.sum("n").over(Window.partitionBy("pos"))})
+    return rows.groupBy("pos").agg(*[F.min(F.when(F.col("below") >= p * F.col("all"), F.col("score"))).alias(f"p{round(p * 100)}") for p in shares])
+
+
+def gc_per_read(reads: DataFrame) -> DataFrame:
+    """``gc, reads``: reads by their whole percentage of G and C; an empty read has none."""
+    gc = F.char_length("seq") - F.char_length(F.translate("seq", "GC", ""))
+    return reads.where("seq <> ''").groupBy(F.floor(100 * gc / F.char_length("seq")).cast("int").alias("gc")).agg(F.count("*").alias("reads"))
+
+
+def overrepresented(reads: DataFrame, share: float = 0.001, buckets: int = 1 << 16) -> DataFrame:
+    """``seq, reads, percent`` of every sequence that makes up ``share`` of all reads or more, counted exactly.
+
+    Reads are counted by buckets of their hash first.  A sequence cannot be frequent
+    if its bucket is not, and at most ``1 / share`` buckets are, so these are sent to all tasks, and only reads
+    in them are shuffled to be counted by sequence.  Runs a job for the number of reads.
+    """
+    keyed = reads.where("seq is not null").select("seq", F.pmod(F.xxhash64("seq"), F.lit(buckets)).alias("bucket"))
+    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n"))  # at most so many rows as buckets
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    least = share * total
+    heavy = sizes.where(F.col("n") >= least).select("bucket")
+    found = keyed.join(F.broadcast(heavy), "bucket", "left_semi").groupBy("seq").agg(F.count("*").alias("reads")).where(F.col("reads") >= least)
+    return found.select("seq", "reads", (F.col("reads") * 100.0 / F.lit(max(total, 1))).alias("percent"))
+
+
+def head_reads(reads: DataFrame, n: int = 10_000, order: tuple[str, ...] = ("file", "pos_in_file")) -> DataFrame:
+    """The first ``n`` reads in the order of their files."""
+    return reads.orderBy(*order).limit(n)
+
+
 def duplication(reads: DataFrame) -> DataFrame:
     """``copies, sequences``: how many sequences occur how often."""
     return reads.groupBy("seq").agg(F.count("*").alias("copies")).groupBy("copies").agg(F.count("*").alias("sequences"))

@@ -254,6 +254,38 @@ def q_quality_stats(spark, sf_dir):
     return qc.position_stats(_raw(spark, sf_dir))
 
 
+@query(f"WITH {_RAW}, x AS (SELECT unnest(range(1, length(seq) + 1)) AS pos, unnest(string_split(seq, '')) AS base FROM raw) SELECT CAST(pos AS INTEGER) AS pos, base, count(*) AS reads FROM x GROUP BY ALL")
+def q_base_composition(spark, sf_dir):
+    """Reads with each letter at each place."""
+    return qc.base_composition(_raw(spark, sf_dir))
+
+
+_SHARES = (0.1, 0.25, 0.5, 0.75, 0.9)
+
+
+@query(f"""WITH {_RAW}, x AS (SELECT unnest(range(1, length(qual) + 1)) AS pos, ascii(unnest(string_split(qual, ''))) - 33 AS s FROM raw)
+SELECT CAST(pos AS INTEGER) AS pos, {", ".join(f"CAST(quantile_disc(s, {p}) AS INTEGER) AS p{round(100 * p)}" for p in _SHARES)} FROM x GROUP BY pos""")
+def q_quality_percentiles(spark, sf_dir):
+    """Percentiles of the scores at each place."""
+    return qc.quality_percentiles(_raw(spark, sf_dir), _SHARES)
+
+
+@query(f"WITH {_RAW} SELECT CAST(100 * length(regexp_replace(seq, '[^GC]', '', 'g')) // length(seq) AS INTEGER) AS gc, count(*) AS reads FROM raw GROUP BY ALL")
+def q_read_gc(spark, sf_dir):
+    return qc.gc_per_read(_raw(spark, sf_dir))
+
+
+@query(f"WITH {_RAW} SELECT CAST(length(seq) AS INTEGER) AS length, count(*) AS reads FROM raw GROUP BY ALL")
+def q_length_histogram(spark, sf_dir):
+    return qc.length_histogram(_raw(spark, sf_dir))
+
+
+@query(f"WITH {_TRIM}, t AS (SELECT count(*) AS n FROM trimmed) SELECT insert_seq AS seq, count(*) AS reads, count(*) * 100.0::DOUBLE / any_value(t.n) AS percent FROM trimmed, t GROUP BY insert_seq HAVING count(*) >= 0.02 * any_value(t.n)")
+def q_overrepresented(spark, sf_dir):
+    """Inserts that make up 2 % of all or more."""
+    return qc.overrepresented(trim.split_barcodes(_raw(spark, sf_dir), FACTORS).select(F.col("insert_seq").alias("seq")), share=0.02)
+
+
 @query(f"WITH {_RAW}, c AS (SELECT seq, count(*) AS copies FROM raw GROUP BY seq) SELECT copies, count(*) AS sequences FROM c GROUP BY copies")
 def q_duplication(spark, sf_dir):
     return qc.duplication(_raw(spark, sf_dir))
