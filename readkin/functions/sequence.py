@@ -41,6 +41,12 @@ def has_signatures(seq: Column, signatures: tuple[Signature, ...]) -> Column:
     return out
 
 
+def has_any_of_each(seq: Column, signatures: Column) -> Column:
+    """``has_signatures`` of signatures that are data: ``array<array<struct<text, pos>>>``, of each of which one alternative must be found."""
+    start = lambda a: F.when(a["pos"] >= 0, a["pos"]).otherwise(F.char_length(seq) + a["pos"] - F.char_length(a["text"]) + 2)
+    return F.forall(signatures, lambda s: F.exists(s, lambda a: (start(a) >= 1) & (F.substring(seq, F.greatest(start(a), F.lit(1)), F.char_length(a["text"])) == a["text"])))
+
+
 def base_at(seq: Column, at: Column) -> Column:
     """Base at a 0-based place as a one-base slice takes it: places under -1 count from the end, -1 is empty."""
     return F.when(at >= 0, F.substring(seq, at + 1, F.lit(1))).when((at == -1) | (F.char_length(seq) + at < 0), F.lit("")).otherwise(F.substring(seq, F.greatest(F.lit(1), F.char_length(seq) + at + 1), F.lit(1)))
@@ -100,9 +106,16 @@ def _bases(s: Column, upto: Column) -> Column:
     return F.char_length(F.replace(F.substring(s, F.lit(1), upto), F.lit("-"), F.lit("")))
 
 
-def differences(t: Column, q: Column, roi: tuple[tuple[int, int], ...]) -> Column:
+#: Places of a bin of ``region_bins``.
+BIN = 64
+
+
+def differences(t: Column, q: Column, roi: tuple[tuple[int, int], ...] | Column) -> Column:
     """Columns of the alignment that differ inside the regions: ``array<struct<pos, base, alt, qidx>>``.
 
+    ``roi`` are intervals for all reads, or a column of the read's own: a map of bins of ``BIN`` places to
+    the intervals that meet them (``mutations.region_bins``).
+
     ``pos`` is the 1-based reference place (of the base before, for an insertion);
     ``qidx`` the 0-based place in the read of the base, or of the one before a deletion.
     """
@@ -110,11 +123,14 @@ def differences(t: Column, q: Column, roi: tuple[tuple[int, int], ...]) -> Colum
     return let(lambda a, b: F.when(a == b, none).otherwise(_differences(a, b, roi)), t=t, q=q)
 
 
-def _differences(t: Column, q: Column, roi: tuple[tuple[int, int], ...]) -> Column:
+def _differences(t: Column, q: Column, roi: tuple[tuple[int, int], ...] | Column) -> Column:
     at = F.filter(F.sequence(F.lit(1), F.char_length(t)), lambda i: F.substring(t, i, F.lit(1)) != F.substring(q, i, F.lit(1)))
     found = F.transform(at, lambda i: F.struct(_bases(t, i).alias("pos"), F.substring(t, i, F.lit(1)).alias("base"), F.substring(q, i, F.lit(1)).alias("alt"), (_bases(q, i) - 1).alias("qidx")))
 
     def inside(x: Column) -> Column:
+        if isinstance(roi, Column):
+            near = F.try_element_at(roi, F.floor(x["pos"] / BIN).cast("int"))
+            return F.coalesce(F.exists(near, lambda r: x["pos"].between(r["start"], r["stop"])), F.lit(False))
         out = F.lit(False)
         for a, b in roi:
             out = out | x["pos"].between(a, b)

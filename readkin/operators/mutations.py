@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequence import alleles, cigar_ops, differences, gapped, position_quality
+from ..functions.sequence import BIN, alleles, cigar_ops, differences, gapped, position_quality
 from .tables import sent_whole
 
 #: The columns that name a read family.
@@ -45,14 +45,30 @@ def filter_log(aln: DataFrame, by: tuple[str, ...] = ("title", "target")) -> Dat
     )
 
 
-def call(aln: DataFrame, refs: DataFrame, roi: tuple[tuple[int, int], ...], min_phred: int = 28, fix_insertion_quality: bool = False) -> DataFrame:
+def region_bins(regions: DataFrame) -> DataFrame:
+    """Regions as a lookup by place: a row for every value of the other columns, with ``roi``, a map of bins of ``BIN`` places to the regions that meet them.
+
+    ``regions`` has ``start`` and ``stop`` (1-based, both inside) and ``title``, ``target`` or both.  A region is in as many bins as it
+    is long, so the rows grow with the places of a reference, not with the reads; a null place or ``stop`` before ``start`` is no region.
+    """
+    by = [c for c in regions.columns if c not in ("start", "stop")]
+    bins = regions.where("start <= stop").select(*by, F.explode(F.sequence(F.floor(F.col("start") / BIN).cast("int"), F.floor(F.col("stop") / BIN).cast("int"))).alias("bin"), F.struct(F.col("start").cast("int").alias("start"), F.col("stop").cast("int").alias("stop")).alias("r"))
+    lists = bins.groupBy(*by, "bin").agg(F.collect_set("r").alias("rs"))
+    return lists.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "rs"))).alias("roi"))
+
+
+def call(aln: DataFrame, refs: DataFrame, roi: tuple[tuple[int, int], ...] | DataFrame, min_phred: int = 28, fix_insertion_quality: bool = False) -> DataFrame:
     """``aln`` with ``muts`` and ``hqpos``; ``refs(target, ref)`` is one row a target, broadcast when its rows are few.
 
-    Nothing is shuffled: gaps, differences and alleles are expressions over the read's row.
+    ``roi`` are regions for all reads, or a table of regions by ``title``, ``target`` or both, which is looked up by bins of places; a read
+    without regions has no differences.  Nothing is shuffled: gaps, differences and alleles are expressions over the read's row.
     """
+    if isinstance(roi, DataFrame):
+        by, bins = [c for c in roi.columns if c not in ("start", "stop")], region_bins(roi)
+        aln, roi = aln.join(sent_whole(bins).withColumnRenamed("roi", "__roi"), by, "left"), F.col("__roi")
     out = aln.join(sent_whole(refs), "target").withColumn("__a", gapped(cigar_ops(F.col("cigar")), F.col("ref"), F.col("seq")))
     out = out.withColumn("__d", differences(F.col("__a.t"), F.col("__a.q"), roi))
-    return out.withColumns({"muts": alleles(F.col("__d"), F.col("qual"), min_phred, fix_insertion_quality), "hqpos": position_quality(F.col("__a.t"), F.col("__a.q"), F.col("qual"), min_phred)}).drop("__a", "__d")
+    return out.withColumns({"muts": alleles(F.col("__d"), F.col("qual"), min_phred, fix_insertion_quality), "hqpos": position_quality(F.col("__a.t"), F.col("__a.q"), F.col("qual"), min_phred)}).drop("__a", "__d", "__roi")
 
 
 def with_group_size(reads: DataFrame, by: tuple[str, ...], column: str) -> DataFrame:
@@ -73,12 +89,19 @@ def read_list(called: DataFrame) -> DataFrame:
     return rows.select(*FAMILY, "bc3", "read_name", "bc5_count", F.col("m.phred").alias("quality"), part(1).cast("int").alias("pos"), part(2).alias("from"), part(3).alias("to"), F.col("m.allele").alias("allele"))
 
 
-def eligible(called: DataFrame, excluded: tuple[str, ...] = (), bc3_min_reads: int = 1) -> DataFrame:
+def excluded_by(excluded: tuple[str, ...] | str) -> Column:
+    """Whether a read has an excluded allele; ``excluded`` are alleles, or the name of a column with a list of the read's own."""
+    if isinstance(excluded, str):
+        return F.coalesce(F.arrays_overlap(F.transform("muts", lambda m: m["allele"]), F.col(excluded)), F.lit(False))
+    return F.exists("muts", lambda m: m["allele"].isin(*excluded)) if excluded else F.lit(False)
+
+
+def eligible(called: DataFrame, excluded: tuple[str, ...] | str = (), bc3_min_reads: int = 1) -> DataFrame:
     """Reads of large enough (family, secondary barcode) groups, counted first, without the excluded alleles."""
     out = called
     if bc3_min_reads > 1:
         out = with_group_size(out, (*FAMILY, "bc3"), "__n")
         out = out.where(F.when(F.col("bc3") == "X", 1).otherwise(F.col("__n")) >= bc3_min_reads).drop("__n")
     if excluded:
-        out = out.where(~F.exists("muts", lambda m: m["allele"].isin(*excluded)))
+        out = out.where(~excluded_by(excluded))
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import gene_of, has_signatures, masked
@@ -14,13 +14,17 @@ def split_barcodes(reads: DataFrame, factors: Factors, min_phred: int = 20) -> D
 
     The primary barcode is the first ``size_f`` bases, the secondary one the last ``size_r``.
     """
-    f, r = factors.size_f, factors.size_r
+    return cut_barcodes(reads, F.lit(factors.size_f), F.lit(factors.size_r), has_signatures(F.col("seq"), factors.signatures), min_phred)
+
+
+def cut_barcodes(reads: DataFrame, f: Column, r: Column, id_ok: Column, min_phred: int) -> DataFrame:
+    """``split_barcodes`` with the sizes and the verdict on signatures as columns."""
     n = F.char_length("seq")
-    left, right = (lambda c: F.substring(c, 1, f)) if f else (lambda c: F.lit("")), (lambda c: F.substring(F.col(c), n - r + 1, F.lit(r))) if r else (lambda c: F.lit(""))
-    mid = lambda c: F.substring(F.col(c), F.lit(f + 1), n - f - r)
+    left, right = lambda c: F.substring(F.col(c), F.lit(1), f), lambda c: F.substring(F.col(c), n - r + 1, r)
+    mid = lambda c: F.substring(F.col(c), f + 1, n - f - r)
     out = reads.select(
         "*", left("seq").alias("bc5_raw"), right("seq").alias("bc3_raw"), masked(left("seq"), left("qual"), min_phred).alias("bc5"), masked(right("seq"), right("qual"), min_phred).alias("bc3"),
-        mid("seq").alias("insert_seq"), mid("qual").alias("insert_qual"), has_signatures(F.col("seq"), factors.signatures).alias("id_ok"),
+        mid("seq").alias("insert_seq"), mid("qual").alias("insert_qual"), id_ok.alias("id_ok"),
     )
     return out.withColumn("new_header", F.concat(F.lit("@"), "bc5", F.lit("x"), "bc3", F.lit("_"), F.regexp_replace("header", "^@", "")))
 

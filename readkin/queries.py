@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from . import synth
 from .functions.sequence import cigar_ops, gapped
-from .operators import adapters, align, consensus, family, mates, mutations, qc, tables, trim
-from .params import full_grid
+from .operators import adapters, align, consensus, designs, family, mates, mutations, qc, tables, trim
+from .params import Factors, full_grid, parse_factors
 from .plans import families
 from .sources import readers, store, writers
 
@@ -595,3 +595,58 @@ def q_end_to_end(spark, sf_dir):
     """Raw reads to consensus rows: split, route, align, call, collate."""
     raw = _raw(spark, sf_dir).select(F.lit("S0").alias("title"), "header", "seq", "qual")
     return consensus.rendered(families.consensus_of(families.alignments_of(raw, _refs(spark), FACTORS), _refs(spark), FACTORS))
+
+
+# --- many samples at once, each under its own row of the factors table ---
+
+#: Other designs than that of ``FACTORS``: other sizes, identifiers, shares of matches and genes; the last has no secondary barcode and no identifier.
+SAMPLES: tuple[Factors, ...] = (
+    parse_factors({"sample": "S0", "size_f": "16", "size_r": "10", "limit_starts": "12,36", "limit_ends": "12,98", "seq_pos": "12", "seq_mut": "-T", "seq_action": "exclude", "read_seq": "GATTC|GACTC,AGCCA", "read_pos": "14|14,-6", "read_action": "include,include",
+                   "sort_pos": "45,46,47,48,49,50;45,46,47,48,49,50", "sort_nucl": "A,G,T,C,C,A;G,T,C,A,A,T", "sort_refs": "LOCA;LOCB", "sort_ref": "LOCA", "sort_match": "0.75"}),
+    parse_factors({"sample": "S1", "size_f": "12", "size_r": "8", "limit_starts": "40", "limit_ends": "80", "read_seq": "GAT", "read_pos": "14", "read_action": "include", "sort_pos": "49,50,52,53;49,50,52,53", "sort_nucl": "A,G,C,C;G,T,A,A", "sort_refs": "LOCA;LOCB", "sort_ref": "LOCA", "sort_match": "1"}),
+    parse_factors({"sample": "S2", "size_f": "5", "size_r": "0", "limit_starts": "1,60", "limit_ends": "20,75", "seq_pos": "62,63", "seq_mut": "A-,CT", "seq_action": "exclude,exclude", "sort_pos": "56,57,58&60,61", "sort_nucl": "A,G,T&C,A", "sort_refs": "LOCB", "sort_ref": "LOCA", "sort_match": "0.6"}),
+)
+
+
+def _titled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The made-up reads dealt to three samples."""
+    return _raw(spark, sf_dir).withColumn("title", F.concat(F.lit("S"), F.col("event_id") % 3))
+
+
+def _sample_sql(f: Factors) -> str:
+    """DuckDB SQL that splits and routes the reads of one sample: its design spelt out."""
+    checks = [" OR ".join(f"substr(seq, {p if p >= 0 else f'length(seq) + {p - len(t) + 2}'}, {len(t)}) = '{t}'" for t, p in s.alternatives) for s in f.signatures]
+    cut = f"""SELECT *, left(seq, {f.size_f}) AS b5, left(qual, {f.size_f}) AS q5, right(seq, {f.size_r}) AS b3, right(qual, {f.size_r}) AS q3, substr(seq, {f.size_f + 1}, length(seq) - {f.size_f + f.size_r}) AS insert_seq,
+      {" AND ".join(f"({c})" for c in checks) or "true"} AS id_ok FROM titled WHERE title = '{f.sample}'"""
+    at = lambda h, o: " + ".join(f"CAST(substr(insert_seq, {p + o}, 1) = '{b}' AS INTEGER)" for p, b in h)
+    first = lambda h: "CASE " + " ".join(f"WHEN {at(h, o)} >= {f.sort_match * len(h)} THEN {o}" for o in (0, -1, 1, -2, 2, -3, 3)) + " END"
+    genes = [f"CASE WHEN {' AND '.join(f'({first(h)}) IS NOT NULL' for h in g.haplotypes)} THEN {{'name': '{g.name}', 'moved': {' OR '.join(f'({first(h)}) <> 0' for h in g.haplotypes)}}} END" for g in f.genes]
+    return f"""SELECT event_id, title, {_mask("b5", "q5")} AS bc5, {_mask("b3", "q3")} AS bc3, insert_seq, CASE WHEN len(g) = 1 THEN g[1].name ELSE '{f.others}' END AS target, CASE WHEN len(g) = 1 THEN g[1].moved ELSE false END AS shifted
+      FROM (SELECT *, list_filter([{", ".join(genes)}], lambda x: x IS NOT NULL) AS g FROM ({cut}) WHERE id_ok)"""
+
+
+@query(f"WITH {_RAW}, titled AS (SELECT *, 'S' || event_id % 3 AS title FROM raw) " + " UNION ALL ".join(_sample_sql(f) for f in SAMPLES))
+def q_sample_factors(spark, sf_dir):
+    """Reads of three samples split, checked and routed in one plan, each by its sample's own design."""
+    split = designs.split_barcodes(_titled(spark, sf_dir), designs.design_table(spark, SAMPLES))
+    return designs.route(split).select("event_id", "title", "bc5", "bc3", "insert_seq", "target", "shifted")
+
+
+def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions by sample and target; nations stand in for them."""
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    target = F.when(F.col("n_regionkey") < 3, synth.LOCI[0]).otherwise(F.lit(FACTORS.others))
+    return n.select(F.concat(F.lit("S"), F.col("n_nationkey") % 2).alias("title"), target.alias("target"), (5 * F.col("n_nationkey") - 3).cast("int").alias("start"), (5 * F.col("n_nationkey") + 3 * F.col("n_regionkey")).cast("int").alias("stop"))
+
+
+_BY_TABLE = _CALLED.replace(
+    "FROM numb WHERE a <> b AND (pos = 12 OR pos BETWEEN 36 AND 98)",
+    f"FROM numb JOIN (SELECT event_id, title, target FROM ok) USING (event_id) WHERE a <> b AND EXISTS (SELECT 1 FROM nation WHERE title = 'S' || n_nationkey % 2 AND target = CASE WHEN n_regionkey < 3 THEN '{synth.LOCI[0]}' ELSE '{FACTORS.others}' END AND pos BETWEEN 5 * n_nationkey - 3 AND 5 * n_nationkey + 3 * n_regionkey)",
+)
+
+
+@query(f"WITH {_BY_TABLE} SELECT event_id, allele, pos, kind, phred FROM called")
+def q_regions_table(spark, sf_dir):
+    """Alleles inside regions that a table gives for every sample and target."""
+    called = mutations.call(mutations.usable(_aligned(spark, sf_dir)), _refs(spark), _regions(spark, sf_dir))
+    return called.select("event_id", F.explode("muts").alias("m")).select("event_id", "m.allele", "m.pos", "m.kind", "m.phred")
