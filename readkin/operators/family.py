@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.store import scratch
-from .mutations import FAMILY
+from .mutations import FAMILY, excluded_by
 
 MISSING = "BC3_missing"
 
@@ -28,7 +28,14 @@ def _placed(hits: DataFrame, barcodes: DataFrame, strict: bool) -> DataFrame:
     return rows.withColumn("left", F.when(left < 0, none).otherwise(left))
 
 
-def _support(reads: DataFrame, hits: DataFrame, barcodes: DataFrame, strict: bool) -> DataFrame:
+def _good(reads: DataFrame, hits: DataFrame) -> DataFrame:
+    """``family, pos, hq_reads``: high-quality reads at the places where a family has a substitution, at most a reference's length of places."""
+    f = list(FAMILY)
+    places = hits.where("kind = 'sub'").groupBy(*f).agg(F.collect_set("pos").alias("places"))
+    return reads.join(places, f).select(*f, "hqpos", F.explode("places").alias("pos")).groupBy(*f, "pos").agg(F.sum(F.substring("hqpos", F.col("pos"), F.lit(1)).cast("int")).alias("hq_reads"))
+
+
+def _support(hits: DataFrame, barcodes: DataFrame, good: DataFrame, strict: bool) -> DataFrame:
     f = list(FAMILY)
     known = F.col("bc3") != MISSING
     per = hits.groupBy(*f, "allele", "pos", "kind").agg(
@@ -39,9 +46,6 @@ def _support(reads: DataFrame, hits: DataFrame, barcodes: DataFrame, strict: boo
     lost = _placed(hits, barcodes, strict).groupBy(*f, "pos").agg(
         F.count_if((F.col("left") == 0) & known).alias("__lost"), F.count_if((F.col("left") == 0) & ~known).alias("__lost_missing"), F.count_if((F.col("n") > 1) & (F.col("left") <= 1)).alias("__lost_above"),
     )
-    # High-quality reads at the places where a family has an allele: at most a reference's length of places.
-    places = hits.where("kind = 'sub'").groupBy(*f).agg(F.collect_set("pos").alias("places"))
-    good = reads.join(places, f).select(*f, "hqpos", F.explode("places").alias("pos")).groupBy(*f, "pos").agg(F.sum(F.substring("hqpos", F.col("pos"), F.lit(1)).cast("int")).alias("hq_reads"))
     out = per.join(family, f).join(lost, [*f, "pos"], "left").join(good, [*f, "pos"], "left")
     hq_total = F.when(F.col("kind") == "sub", F.col("hq_reads")).otherwise(F.col("total_count"))
     return out.select(
@@ -59,7 +63,43 @@ def family_support(reads: DataFrame, strict: bool = False) -> DataFrame:
     ``above_all`` are the barcodes with two reads or more of the allele, of the wild type at its place and of all.  ``strict``
     fails where several alleles of reads at one place exceed a barcode's reads; else the rest is 0.
     """
-    return _support(*_counted(reads), strict)
+    reads, hits, barcodes = _counted(reads)
+    return _support(hits, barcodes, _good(reads, hits), strict)
+
+
+def partial_counts(called: DataFrame, excluded: tuple[str, ...] | str = ()) -> dict[str, DataFrame]:
+    """Counts of some of the reads, from which those of all are sums: ``hits`` of (family, barcode, allele), ``barcodes`` of (family, barcode) and ``lows`` of (family, barcode, place).
+
+    ``barcodes`` has all reads (``n_all``) and those without an ``excluded`` allele (``n``); the others
+    count only the latter.  ``lows`` are the reads whose base at a place is not of high quality.
+    """
+    f = [*FAMILY, "bc3"]
+    marked = called.select(*f, "muts", "hqpos", excluded_by(excluded).alias("out"))
+    kept = marked.where(~F.col("out"))
+    low = F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length("hqpos"))), lambda i: F.substring("hqpos", i, F.lit(1)) == "0")
+    return {
+        "hits": kept.select(*f, F.explode("muts").alias("m")).groupBy(*f, "m.allele", "m.pos", "m.kind").agg(F.count("*").alias("n"), F.count_if("m.hq").alias("hq")),
+        "barcodes": marked.groupBy(*f).agg(F.count("*").alias("n_all"), F.count_if(~F.col("out")).alias("n")),
+        "lows": kept.select(*f, F.explode(low).alias("pos")).groupBy(*f, "pos").agg(F.count("*").alias("low")),
+    }
+
+
+def support_of_counts(hits: DataFrame, barcodes: DataFrame, lows: DataFrame, bc3_min_reads: int = 1, strict: bool = False) -> DataFrame:
+    """``family_support`` of reads of which only ``partial_counts`` are known, of any number of parts put under each other.
+
+    Groups of a barcode with fewer than ``bc3_min_reads`` reads in all parts together go, as in ``mutations.eligible``.
+    """
+    f, g = list(FAMILY), [*FAMILY, "bc3"]
+    barcodes = barcodes.groupBy(*g).agg(F.sum("n_all").alias("n_all"), F.sum("n").alias("n"))
+    if bc3_min_reads > 1:
+        barcodes = barcodes.where(F.when(F.col("bc3") == "X", 1).otherwise(F.col("n_all")) >= bc3_min_reads)
+        hits, lows = (x.join(barcodes.select(*g), g, "left_semi") for x in (hits, lows))
+    barcodes = barcodes.where("n > 0").drop("n_all")
+    hits = scratch(hits.groupBy(*g, "allele", "pos", "kind").agg(F.sum("n").alias("n"), F.sum("hq").alias("hq")), "hits")
+    places = hits.where("kind = 'sub'").select(*f, "pos").distinct()
+    sizes, low = barcodes.groupBy(*f).agg(F.sum("n").alias("n")), lows.groupBy(*f, "pos").agg(F.sum("low").alias("low"))
+    good = places.join(sizes, f).join(low, [*f, "pos"], "left").select(*f, "pos", (F.col("n") - F.coalesce("low", F.lit(0))).alias("hq_reads"))
+    return _support(hits, barcodes, good, strict)
 
 
 def family_table(reads: DataFrame, strict: bool = False) -> DataFrame:
@@ -70,7 +110,7 @@ def family_table(reads: DataFrame, strict: bool = False) -> DataFrame:
     f = list(FAMILY)
     reads, hits, barcodes = _counted(reads)
     listed = lambda n: F.array_sort(F.collect_list(F.struct("bc3", F.col(n).alias("n"))))
-    support = _support(reads, hits, barcodes, strict)
+    support = _support(hits, barcodes, _good(reads, hits), strict)
     alleles = hits.where("hq > 0").groupBy(*f, "allele").agg(listed("hq").alias("bc3_hq"))
     all_ = barcodes.groupBy(*f).agg(listed("n").alias("bc3_all"))
     placed = _placed(hits, barcodes, strict).select(*f, "pos", "bc3", "left")

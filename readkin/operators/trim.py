@@ -53,3 +53,10 @@ def route(trimmed: DataFrame, factors: Factors, seq: str = "insert_seq") -> Data
 def route_log(routed: DataFrame) -> DataFrame:
     """Reads and shifted reads of every target."""
     return routed.groupBy("target").agg(F.count("*").alias("reads"), F.count_if("shifted").alias("with_indels"))
+
+
+def sort_all(trimmed: DataFrame, factors: Factors, seq: str = "insert_seq") -> DataFrame:
+    """``route`` that keeps the reads without the identifier, with a null target and never ``shifted``: all that is written of a run, in one table."""
+    target, shifted = gene_of(F.col(seq), factors.genes, factors.sort_match, factors.others)
+    ok = F.col("id_ok")
+    return trimmed.withColumns({"target": F.when(ok, target), "shifted": F.coalesce(ok & shifted, F.lit(False))})

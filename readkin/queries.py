@@ -11,6 +11,7 @@ from .operators import adapters, align, consensus, designs, family, mates, mutat
 from .params import Factors, full_grid, parse_factors
 from .plans import families
 from .sources import readers, store, writers
+from .streaming import ingest
 
 FACTORS = synth.FACTORS
 QUERIES: dict = {}
@@ -650,3 +651,32 @@ def q_regions_table(spark, sf_dir):
     """Alleles inside regions that a table gives for every sample and target."""
     called = mutations.call(mutations.usable(_aligned(spark, sf_dir)), _refs(spark), _regions(spark, sf_dir))
     return called.select("event_id", F.explode("muts").alias("m")).select("event_id", "m.allele", "m.pos", "m.kind", "m.phred")
+
+
+# --- one pass, and streams ---
+
+
+@query(f"""WITH {_ROUTE}, files AS (
+  SELECT 'ok' AS sink, target, '@' || bc5 || 'x' || bc3 || '_' || substr(header, 2) AS header, insert_seq AS seq FROM routed
+  UNION ALL SELECT 'withIndels', target, '@' || bc5 || 'x' || bc3 || '_' || substr(header, 2), insert_seq FROM routed WHERE shifted
+  UNION ALL SELECT 'wrongId', NULL, header, seq FROM trimmed WHERE NOT id_ok)
+SELECT files.*, (SELECT count(*) FROM trimmed) AS total, (SELECT count(*) FROM trimmed WHERE NOT id_ok) AS wrong_identifier, (SELECT count(*) FROM routed WHERE shifted) AS with_indels FROM files""")
+def q_one_pass(spark, sf_dir):
+    """All read files of a run written in one pass and read back, with the logs observed on the way."""
+    reads = _raw(spark, sf_dir).withColumn("title", F.lit("S0"))
+    path = store.new_path(spark, "sorted")
+    log = writers.write_sorted(trim.sort_all(trim.split_barcodes(reads, FACTORS), FACTORS), path)
+    target = F.nullif(F.regexp_extract("file", "target=([^/]+)/", 1), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    back = readers.read_fastq(spark, f"{path}/sink=*/title=*/target=*").select(F.regexp_extract("file", "sink=([^/]+)/", 1).alias("sink"), target.alias("target"), "header", "seq")
+    return back.select("*", *[F.lit(log[c]).cast("long").alias(c) for c in ("total", "wrong_identifier", "with_indels")])
+
+
+@query(ORACLES["q_consensus"])
+def q_stream_consensus(spark, sf_dir):
+    """Alignments that arrive as files, counted batch by batch, to one row a family."""
+    path = store.new_path(spark, "arriving")
+    alignments = _aligned(spark, sf_dir).repartition(5)
+    alignments.write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(alignments.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    ingest.count_alignments(stream, _refs(spark), FACTORS, f"{path}/counts", f"{path}/checkpoint").awaitTermination()
+    return consensus.rendered(ingest.consensus_so_far(spark, f"{path}/counts"))

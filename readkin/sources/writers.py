@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.mutations import FAMILY
@@ -15,8 +15,29 @@ def write_fastq(reads: DataFrame, path: str, by: tuple[str, ...] = ("title", "ta
     reads.select(*by, text.alias("value")).write.partitionBy(*by).text(path)
 
 
-def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
-    """A tab-separated table with a header in every file, null as NA."""
+def write_sorted(sorted_reads: DataFrame, path: str) -> dict:
+    """All read files of a run and its logs in one pass over ``sorted_reads`` (``trim.sort_all``).
+
+    FASTQ text goes to ``path/sink=../title=../target=..``: ``ok`` for every read with a right identifier, ``withIndels`` again for
+    those found at an offset, ``wrongId`` for whole reads without the identifier (with an empty target).  The logs are observed on the
+    rows as they are written, so reads are neither split nor routed again to be counted: ``total``, ``wrong_identifier``, ``percent`` (null
+    for no reads), ``with_indels``.  No shuffle stands between the observation and the write, so a task that is run again counts once.
+    """
+    log = Observation()
+    rows = sorted_reads.observe(log, F.count("*").alias("total"), F.count_if(~F.col("id_ok")).alias("wrong_identifier"), F.count_if(F.col("id_ok") & F.col("shifted")).alias("with_indels"))
+    sinks = F.when(~F.col("id_ok"), F.array(F.lit("wrongId"))).when(F.col("shifted"), F.array(F.lit("ok"), F.lit("withIndels"))).otherwise(F.array(F.lit("ok")))
+    pick = lambda good, whole: F.when(F.col("id_ok"), F.col(good)).otherwise(F.col(whole))
+    text = F.concat_ws("\n", pick("new_header", "header"), pick("insert_seq", "seq"), F.lit("+"), pick("insert_qual", "qual"))
+    out = rows.select("title", F.when(F.col("id_ok"), F.col("target")).alias("target"), text.alias("value"), F.explode(sinks).alias("sink"))
+    out.write.partitionBy("sink", "title", "target").text(path)
+    got = log.get
+    return {**got, "percent": got["wrong_identifier"] * 100.0 / got["total"] if got["total"] else None}
+
+
+def write_table(df: DataFrame, path: str, by: tuple[str, ...] = (), lazy_header: bool = False) -> None:
+    """A tab-separated table with a header in every file, null as NA; with ``lazy_header`` a table of no rows has no header either."""
+    if lazy_header and df.isEmpty():
+        return df.sparkSession.createDataFrame([], "value string").write.text(path)
     writer = df.write.option("sep", "\t").option("header", True).option("nullValue", "NA").option("emptyValue", "")
     (writer.partitionBy(*by) if by else writer).csv(path)
 
