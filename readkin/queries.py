@@ -10,7 +10,7 @@ from .functions.sequence import cigar_ops, gapped
 from .operators import adapters, align, consensus, designs, family, mates, mutations, qc, tables, trim
 from .params import Factors, full_grid, parse_factors
 from .plans import families
-from .sources import readers, store, writers
+from .sources import bam, readers, store, writers
 from .streaming import ingest
 
 FACTORS = synth.FACTORS
@@ -233,6 +233,15 @@ def q_sam_files(spark, sf_dir):
     return back.select("title", "target", "bc5", "bc3", "qname", "flag", "pos0", "mapq", "cigar", "seq", "qual")
 
 
+@query(ORACLES["q_sam_files"])
+def q_bam_files(spark, sf_dir):
+    """The same alignments written as BAM in coordinate order by sample and target and read back."""
+    path = store.new_path(spark, "bam")
+    bam.write_bam(_aligned(spark, sf_dir), path, synth.LENGTH, by=("title", "target"))
+    back = bam.read_bam(spark, f"{path}/title=*/target=*/part=*", names="title=([^/]+)/target=([^/]+)/")
+    return back.select("title", "target", "bc5", "bc3", "qname", "flag", "pos0", "mapq", "cigar", "seq", "qual")
+
+
 @query(f"WITH {_RAW}, n AS (SELECT user_id, 'S' || user_id AS sample FROM (SELECT DISTINCT user_id FROM events)) SELECT sample, CAST(user_id AS VARCHAR) AS pair, sample || '.fq' AS file FROM n")
 def q_samples_file(spark, sf_dir):
     """A samples table written with its header and read back; users stand in for samples."""
