@@ -24,14 +24,40 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_replace(F.regexp_replace(F.regexp_extract(url, _PATH, 1), "/+", "/"), "/$", ""), F.lit(""))
 
 
-def keys_of(host: Column, path: Column) -> Column:
-    """``array<struct<kind, pattern>>``: all entries that could match: every domain above the host, the host, every prefix of the path."""
-    labels, parts = F.split(host, r"\."), F.split(F.substring(path, 2, 1 << 30), "/")
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("pattern")))
-    exact = F.array(F.struct(F.lit("host").alias("kind"), host.alias("pattern")))
-    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(F.lit("prefix").alias("kind"), F.concat(host, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/")).alias("pattern")))
-    none = F.array().cast("array<struct<kind:string,pattern:string>>")
-    return F.when(host == "", none).otherwise(F.concat(domains, exact, F.when(path == "", none).otherwise(prefixes)))
+def _seed(kind: int) -> Column:
+    """What the hashes of a kind of entries begin with."""
+    return F.lit(kind).cast("long")
+
+
+def _running(first: Column, parts: Column) -> Column:
+    """Hashes of ``first`` and of every beginning of ``parts`` after it, each made from the one before."""
+    return F.aggregate(parts, F.array(first), lambda done, part: F.array_append(done, F.xxhash64(part, F.element_at(done, -1))))
+
+
+def keys_of(host: Column, path: Column, labels: int, parts: int) -> Column:
+    """``array<struct<kind, key>>``: hashes of all entries that could match: domains of up to ``labels`` labels, the host, prefixes of up to ``parts`` parts."""
+    key = lambda kind, hashes: F.transform(hashes, lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("key")))
+    domains = F.slice(_running(_seed(1), F.slice(F.reverse(F.split(host, r"\.")), 1, labels)), 2, labels + 1)
+    prefixes = F.slice(_running(F.xxhash64(host, _seed(3)), F.slice(F.split(F.substring(path, 2, 1 << 30), "/"), 1, parts)), 2, parts + 1)
+    none = F.array().cast("array<struct<kind:string,key:bigint>>")
+    return F.when(host == "", none).otherwise(F.concat(key("domain", domains), key("host", F.array(F.xxhash64(host, _seed(2)))), F.when(path == "", none).otherwise(key("prefix", prefixes))))
+
+
+def _keyed(held: DataFrame) -> DataFrame:
+    """Entries with ``key``, their hash as in ``keys_of``, and ``depth``, their labels or parts (null for a host)."""
+    labels, parts = F.split("pattern", r"\."), F.split("pattern", "/")
+    domain, prefix = F.col("kind") == "domain", F.col("kind") == "prefix"
+    rest = F.slice(parts, 2, 1 << 30)
+    key = F.when(domain, F.element_at(_running(_seed(1), F.reverse(labels)), -1)).when(prefix, F.element_at(_running(F.xxhash64(parts[0], _seed(3)), rest), -1))
+    return held.withColumn("key", F.coalesce(key, F.xxhash64("pattern", _seed(2)))).withColumn("depth", F.when(domain, F.size(labels)).when(prefix, F.size(rest)))
+
+
+def _fits(url: Column) -> Column:
+    """Whether the entry (``kind``, ``pattern``) is one of the URL's: equal hashes are looked through once more."""
+    host, path, pattern = host_of(url), path_of(url), F.col("pattern")
+    domain = (host == pattern) | F.endswith(host, F.concat(F.lit("."), pattern))
+    prefix = (F.length(pattern) > F.length(host)) & F.startswith(F.concat(host, path, F.lit("/")), F.concat(pattern, F.lit("/")))
+    return F.when(F.col("kind") == "domain", domain).when(F.col("kind") == "prefix", prefix).otherwise(host == pattern)
 
 
 def intervals(events: DataFrame) -> DataFrame:
@@ -53,7 +79,7 @@ def _salted(keyed: DataFrame, held: DataFrame, hot: int, broadcast_rows: int) ->
     entry (``com``, say) are left out here, before they are shuffled.  Keys are counted with
     partial sums.
     """
-    by = ["kind", "pattern"]
+    by = ["kind", "key"]
     many = keyed.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > hot)
     listed = held.select(*by).distinct().withColumn("listed", F.lit(True))
     crowded = scratch(many.join(listed, by, "left").select(*by, F.when(F.col("listed"), F.ceil(F.col("n") / hot)).otherwise(0).cast("int").alias("parts")), "crowded")
@@ -74,8 +100,10 @@ def judge(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "f
     before a domain, then the longer pattern, then ``allow`` before ``block``, then
     the list's name.  Without one the verdict is ``none`` and the rest is null.
 
-    The join works on different (url, time) pairs with an equi-join on the entry's
-    key and the interval as a further condition; keys of over ``hot`` captures are
+    The join works on different (url, time) pairs with an equi-join on a hash of the entry's
+    pattern; the interval and the pattern itself are further conditions.  A URL has a row for
+    each of its domains and prefixes that are no deeper than the deepest entry (one small job
+    over the entries finds that), however many parts it has; keys of over ``hot`` captures are
     dealt to parts, or dropped where no entry has them, before the shuffle.  A null or relative URL
     and a null time match nothing; repeated captures are judged alike; an
     empty list judges all ``none``; an empty table gives no row; other columns pass
@@ -85,9 +113,13 @@ def judge(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "f
     if clash := set(added) & {c.lower() for c in captures.columns}:
         raise ValueError(f"the input already has columns {sorted(clash)}")
     asked = captures.select(F.col(f"`{url}`").alias("u"), F.col(f"`{at}`").alias("t")).where("u is not null and t is not null").distinct()
-    keyed = asked.select("u", "t", F.explode(keys_of(host_of(F.col("u")), path_of(F.col("u")))).alias("k")).select("u", "t", "k.kind", "k.pattern")
-    keyed, held = _salted(keyed, intervals(events), hot, broadcast_rows)
-    hits = keyed.join(held, ["kind", "pattern", "part"]).where((F.col("t") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("t") < F.col("valid_to"))))
+    entries = scratch(_keyed(intervals(events)), "entries")
+    deepest = entries.agg(*[F.coalesce(F.max(F.when(F.col("kind") == k, F.col("depth"))), F.lit(0)).alias(k) for k in ("domain", "prefix")]).first()
+    keys = keys_of(host_of(F.col("u")), path_of(F.col("u")), deepest["domain"], deepest["prefix"])
+    keyed = asked.select("u", "t", F.explode(keys).alias("k")).select("u", "t", "k.kind", "k.key")
+    keyed, held = _salted(keyed, entries.drop("depth"), hot, broadcast_rows)
+    in_force = (F.col("t") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("t") < F.col("valid_to")))
+    hits = keyed.join(held, ["kind", "key", "part"]).where(in_force & _fits(F.col("u")))
     rank = F.struct((F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))).alias("rank"), F.length("pattern").alias("size"), (F.col("verdict") == "allow").alias("allow"), *[F.col(c) for c in ("list", "verdict", "kind", "pattern", "valid_from")])
     best = hits.groupBy("u", "t").agg(F.max(rank).alias("best"))
     out = captures.join(best, (F.col(f"`{url}`") == F.col("u")) & (F.col(f"`{at}`") == F.col("t")), "left")

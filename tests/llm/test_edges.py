@@ -85,3 +85,18 @@ def test_urls_edges(spark):
     assert urls.judge(pages.limit(0), events).collect() == []
     with pytest.raises(ValueError):
         urls.judge(pages.withColumn("kind", F.lit(1)), events)
+
+
+def test_urls_deep_and_odd(spark):
+    """URLs of thousands of parts have no more keys than the entries are deep; entries that no URL can have match nothing."""
+    deep = "http://a.b.com/" + "/".join(f"p{k}" for k in range(8000))
+    wide = "http://" + ".".join(["x"] * 4000) + ".com/q"
+    pages = spark.createDataFrame([(1, deep, 5), (2, wide, 5), (3, "http://a.b.com/p0", 5), (4, "http://c..com/", 5)], "page_id int, url string, fetched_at int")
+    url = F.col("url")
+    sizes = [r.n for r in pages.orderBy("page_id").select(F.size(urls.keys_of(urls.host_of(url), urls.path_of(url), 2, 3)).alias("n")).collect()]
+    assert sizes == [2 + 1 + 3, 2 + 1 + 1, 2 + 1 + 1, 2 + 1]
+    long = "a.b.com/" + "/".join(f"p{k}" for k in range(700))
+    entries = [("prefix", long), ("prefix", "a.b.com"), ("prefix", "a.b.com/"), ("prefix", "a.b.com/p0/"), ("prefix", ""), ("domain", ".com"), ("domain", ""), ("host", "b.com"), ("other", "a.b.com"), ("domain", "x.x.com")]
+    events = spark.createDataFrame([("l", "block", k, p, "add", 0) for k, p in entries], "list string, verdict string, kind string, pattern string, action string, at int")
+    got = {r.page_id: (r.kind, r.pattern) for r in urls.judge(pages, events).collect()}
+    assert got == {1: ("prefix", long), 2: ("domain", "x.x.com"), 3: (None, None), 4: ("domain", ".com")}
