@@ -106,6 +106,16 @@ def _bases(s: Column, upto: Column) -> Column:
     return F.char_length(F.replace(F.substring(s, F.lit(1), upto), F.lit("-"), F.lit("")))
 
 
+#: Letters of a stretch: stretches are compared first, letters only in those that differ.
+STRETCH = 32
+
+
+def _bases_before(s: Column, stretches: Column) -> Column:
+    """For each stretch the number of bases before it: by one running sum if there are gaps."""
+    plain = F.transform(stretches, lambda _, k: k * STRETCH)
+    return F.when(F.contains(s, F.lit("-")), F.aggregate(stretches, F.array(F.lit(0)), lambda n, x: F.array_append(n, F.element_at(n, -1) + _bases(x, F.lit(STRETCH))))).otherwise(plain)
+
+
 #: Places of a bin of ``region_bins``.
 BIN = 64
 
@@ -124,8 +134,18 @@ def differences(t: Column, q: Column, roi: tuple[tuple[int, int], ...] | Column)
 
 
 def _differences(t: Column, q: Column, roi: tuple[tuple[int, int], ...] | Column) -> Column:
-    at = F.filter(F.sequence(F.lit(1), F.char_length(t)), lambda i: F.substring(t, i, F.lit(1)) != F.substring(q, i, F.lit(1)))
-    found = F.transform(at, lambda i: F.struct(_bases(t, i).alias("pos"), F.substring(t, i, F.lit(1)).alias("base"), F.substring(q, i, F.lit(1)).alias("alt"), (_bases(q, i) - 1).alias("qidx")))
+    cut = lambda s: F.regexp_extract_all(s, F.lit(f".{{1,{STRETCH}}}"), F.lit(0))
+    one = F.lit(1)
+
+    def letters(x: Column) -> Column:
+        at = F.filter(F.sequence(one, F.char_length(x["a"])), lambda i: F.substring(x["a"], i, one) != F.substring(x["b"], i, one))
+        return F.transform(at, lambda i: F.struct((x["m"] + _bases(x["a"], i)).alias("pos"), F.substring(x["a"], i, one).alias("base"), F.substring(x["b"], i, one).alias("alt"), (x["n"] + _bases(x["b"], i) - 1).alias("qidx")))
+
+    def unlike(a: Column, b: Column) -> Column:
+        pieces = F.arrays_zip(a.alias("a"), F.slice(b, 1, F.size(a)).alias("b"), F.slice(_bases_before(t, a), 1, F.size(a)).alias("m"), F.slice(_bases_before(q, b), 1, F.size(a)).alias("n"))
+        return F.flatten(F.transform(F.filter(pieces, lambda x: x["a"] != x["b"]), letters))
+
+    found = let(unlike, a=cut(t), b=cut(q))
 
     def inside(x: Column) -> Column:
         if isinstance(roi, Column):
@@ -173,10 +193,25 @@ def _alleles(found: Column, qual: Column, least: int, fix_insertion_quality: boo
 def position_quality(t: Column, q: Column, qual: Column, over: int) -> Column:
     """A digit for each reference base: 1 if the read's base there scores over ``over`` or is missing."""
 
+    runs = lambda s: F.regexp_extract_all(s, F.lit("-+|[^-]+"), F.lit(0))
+
+    def spread(acc: Column, run: Column) -> Column:
+        """Digits of the read's bases, moved apart by its gaps, where nothing is missing."""
+        n, gap = F.char_length(run), F.startswith(run, F.lit("-"))
+        own = F.when(gap, F.repeat(F.lit("1"), n)).otherwise(F.rpad(F.substring(acc["left"], F.lit(1), n), n, F.lit("0")))
+        return F.struct(F.when(gap, acc["left"]).otherwise(F.substring(acc["left"], n + 1, F.lit(1 << 30))).alias("left"), F.concat(acc["out"], own).alias("out"))
+
+    def taken(acc: Column, run: Column) -> Column:
+        """Those beside the reference's bases."""
+        n = F.char_length(run)
+        own = F.when(F.startswith(run, F.lit("-")), F.lit("")).otherwise(F.substring(acc["left"], F.lit(1), n))
+        return F.struct(F.substring(acc["left"], n + 1, F.lit(1 << 30)).alias("left"), F.concat(acc["out"], own).alias("out"))
+
     def digits(t: Column, q: Column, qual: Column) -> Column:
         plain = F.translate(qual, scores, "".join("01"[ord(c) - 33 > over] for c in scores))
-        at = F.filter(F.sequence(F.lit(1), F.char_length(t)), lambda i: F.substring(t, i, F.lit(1)) != "-")
-        general = F.array_join(F.transform(at, lambda i: F.when((F.substring(q, i, F.lit(1)) == "-") | (phred(qual, _bases(q, i)) > over), F.lit("1")).otherwise(F.lit("0"))), "")
+        begin = lambda s: F.struct(s.alias("left"), F.lit("").alias("out"))
+        wide = F.aggregate(runs(q), begin(F.coalesce(plain, F.lit(""))), spread, lambda a: a["out"])
+        general = F.aggregate(runs(t), begin(wide), taken, lambda a: a["out"])
         return F.when(F.contains(t, F.lit("-")) | F.contains(q, F.lit("-")) | (F.char_length(t) != F.char_length(qual)), general).otherwise(plain)
 
     scores = "".join(map(chr, range(33, 127)))
