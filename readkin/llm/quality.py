@@ -49,14 +49,14 @@ def evidence(docs: DataFrame, labels: DataFrame, learn: Column | None = None, ru
         for batch in batches:
             x = features(utf8(batch.column(at))).astype(np.float32)
             rows = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), N_FEATURES).cast(pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *batch.columns[at + 1 :], rows], names=[*(f.name for i, f in enumerate(batch.schema) if i != at), "features"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *batch.columns[at + 1 :], rows], names=[*(f.name for i, f in enumerate(batch.schema) if i != at), "__features"])
 
     base = docs.drop("text")
-    table = scratch(docs.mapInArrow(measure, widened(base, "features array<float>")), "features")
+    table = scratch(docs.mapInArrow(measure, widened(base, "__features array<float>")), "features")
     marks = labels.where("doc_id is not null and quality is not null")
     marks = marks if learn is None else marks.where(F.coalesce(learn, F.lit(False)))
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(rules.sample)
-    known = scratch(table.select("doc_id", "features").join(F.broadcast(marks), "doc_id").select("features", F.col("quality").cast("double").alias("quality")), "labelled")
+    known = scratch(table.select("doc_id", "__features").join(F.broadcast(marks), "doc_id").select("__features", F.col("quality").cast("double").alias("quality")), "labelled")
 
     def matrix(column: pa.Array) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, N_FEATURES)
@@ -65,7 +65,7 @@ def evidence(docs: DataFrame, labels: DataFrame, learn: Column | None = None, ru
         return matrix(batch.column(0)), np.clip(batch.column(1).to_numpy(), 0, 1), np.ones(batch.num_rows)
 
     beta = fit(known, read, N_FEATURES)
-    held = table.columns.index("features")
+    held = table.columns.index("__features")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

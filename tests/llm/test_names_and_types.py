@@ -45,8 +45,17 @@ def test_lower_case_of_other_scripts(spark):
     """Both sides of the search fold letters alike, final sigmas too."""
     words = "ΟΔΥΣΣΕΥΣ ΠΟΛΥΤΡΟΠΟΣ ΑΝΗΡ ΜΑΛΑ ΠΟΛΛΑ ΠΛΑΓΧΘΗ ΕΠΕΙ ΤΡΟΙΗΣ ΙΕΡΟΝ ΠΤΟΛΙΕΘΡΟΝ ΕΠΕΡΣΕΝ ΠΟΛΛΩΝ ΑΝΘΡΩΠΩΝ ΙΔΕΝ ΑΣΤΕΑ ΚΑΙ ΝΟΟΣ"
     items = spark.createDataFrame([(1, words)], "item_id long, text string")
-    docs = spark.createDataFrame([(1, words), (2, words.replace("Σ", "σ")), (3, "nothing of note")], "doc_id long, text string")
-    assert {r.doc_id for r in decontamination.leaks(docs, items).collect()} >= {1}
+    docs = spark.createDataFrame([(1, words), (2, words.replace("Σ", "σ")), (3, "nothing of note"), (4, words.lower())], "doc_id long, text string")
+    assert {r.doc_id for r in decontamination.leaks(docs, items).collect()} == {1, 2, 4}
+    lower = spark.createDataFrame([(1, words.lower())], "item_id long, text string")
+    assert {r.doc_id for r in decontamination.leaks(docs, lower).collect()} == {1, 2, 4}
+
+
+def test_evidence_beside_a_column_of_features(spark):
+    docs = spark.createDataFrame([(k, f"some words of text {k} " * 5, "mine") for k in range(40)], "doc_id long, text string, features string")
+    labels = spark.createDataFrame([(k, float(k % 2)) for k in range(40)], "doc_id long, quality double")
+    got = quality.evidence(docs, labels)
+    assert "features" in got.columns and {r.features for r in got.collect()} == {"mine"}
 
 
 def test_many_small_indexes_find_the_same(spark):
