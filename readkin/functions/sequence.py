@@ -23,10 +23,14 @@ def phred(qual: Column, at: Column) -> Column:
 def masked(seq: Column, qual: Column, least: int) -> Column:
     """``seq`` with N where the score is under ``least``; lengths must agree."""
 
-    def mask(s: Column, q: Column) -> Column:
-        return F.array_join(F.transform(F.sequence(F.lit(1), F.char_length(s)), lambda i: F.when(phred(q, i) < least, F.lit("N")).otherwise(F.substring(s, i, F.lit(1)))), "")
-
-    return F.when(F.char_length(seq) != F.char_length(qual), F.raise_error(F.lit("sequence and quality differ in length"))).when(F.char_length(seq) == 0, F.lit("")).otherwise(let(mask, s=seq, q=qual))
+    def mask(s: Column, good: Column) -> Column:
+        """Stretches of good letters, with an N between them: a step a stretch, not a letter."""
+        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+        step = lambda a, x: F.struct((a["at"] + F.char_length(x) + 1).alias("at"), F.concat(a["out"], F.substring(s, a["at"], F.char_length(x)), F.lit("N")).alias("out"))
+        return F.aggregate(good, start, step, lambda a: F.substring(a["out"], F.lit(1), F.char_length(s)))
+
+    low = f"[\\x00-\\x{max(0, min(127, least + 32)):02x}]"
+    return F.when(F.char_length(seq) != F.char_length(qual), F.raise_error(F.lit("sequence and quality differ in length"))).when(F.char_length(seq) == 0, F.lit("")).otherwise(let(mask, s=seq, good=F.split(qual, low)))
 
 
 def has_signatures(seq: Column, signatures: tuple[Signature, ...]) -> Column:

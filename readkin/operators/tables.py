@@ -24,13 +24,28 @@ def sent_whole(df: DataFrame, most: int = FEW) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` in as many partitions as there are cores, if its files give fewer; else as it is, without a shuffle.
+#: Rows of a task where each row costs much work.
+ROWS = 50_000
 
-    For narrow rows of which each costs much work, as a file of one row group is read by one task.
+
+def spread(df: DataFrame, rows: int = ROWS) -> DataFrame:
+    """``df`` in as many partitions as there are cores, and in more if these would have over ``rows`` rows each; as it is, without a shuffle, if its files give as many.
+
+    For narrow rows of which each costs much work, as a file of one row group is read by one task and a file of
+    narrow rows by few.  The rows are counted, so a task's work does not grow with the table.  Filters stay above the shuffle (``once``).
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return once(df.repartition(parts), *df.columns) if df.rdd.getNumPartitions() < parts else df
+
+
+def once(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with ``columns`` computed where they stand, once a row.
+
+    A filter on them is not pushed below this step; else the optimizer puts their whole expressions, and those
+    they are made of, into a filter at the source, where they are computed again for every use and in as many tasks as files give.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    kept = df.withColumn("__once", F.struct(*columns)).drop(*columns)
+    return kept.select("*", F.inline(F.array("__once"))).drop("__once").select(*df.columns)
 
 
 def full_merge(x: DataFrame, y: DataFrame, key: str, fill: int = 0) -> DataFrame:

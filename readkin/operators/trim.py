@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sequence import gene_of, has_signatures, masked
 from ..params import Factors
+from .tables import once
 
 
 def split_barcodes(reads: DataFrame, factors: Factors, min_phred: int = 20) -> DataFrame:
@@ -19,13 +20,14 @@ def split_barcodes(reads: DataFrame, factors: Factors, min_phred: int = 20) -> D
 
 def cut_barcodes(reads: DataFrame, f: Column, r: Column, id_ok: Column, min_phred: int) -> DataFrame:
     """``split_barcodes`` with the sizes and the verdict on signatures as columns."""
-    n = F.char_length("seq")
+    reads, n = once(reads.withColumn("id_ok", id_ok), "id_ok"), F.char_length("seq")
     left, right = lambda c: F.substring(F.col(c), F.lit(1), f), lambda c: F.substring(F.col(c), n - r + 1, r)
     mid = lambda c: F.substring(F.col(c), f + 1, n - f - r)
     out = reads.select(
         "*", left("seq").alias("bc5_raw"), right("seq").alias("bc3_raw"), masked(left("seq"), left("qual"), min_phred).alias("bc5"), masked(right("seq"), right("qual"), min_phred).alias("bc3"),
-        mid("seq").alias("insert_seq"), mid("qual").alias("insert_qual"), id_ok.alias("id_ok"),
+        mid("seq").alias("insert_seq"), mid("qual").alias("insert_qual"),
     )
+    out = out.select(*[c for c in out.columns if c != "id_ok"], "id_ok")
     return out.withColumn("new_header", F.concat(F.lit("@"), "bc5", F.lit("x"), "bc3", F.lit("_"), F.regexp_replace("header", "^@", "")))
 
 
@@ -47,7 +49,7 @@ def with_indels(routed: DataFrame) -> DataFrame:
 def route(trimmed: DataFrame, factors: Factors, seq: str = "insert_seq") -> DataFrame:
     """Reads with a right identifier, with their ``target`` and ``shifted``."""
     target, shifted = gene_of(F.col(seq), factors.genes, factors.sort_match, factors.others)
-    return trimmed.where("id_ok").withColumns({"target": target, "shifted": shifted})
+    return once(trimmed.where("id_ok").withColumns({"target": target, "shifted": shifted}), "target", "shifted")
 
 
 def route_log(routed: DataFrame) -> DataFrame:
