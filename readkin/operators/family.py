@@ -68,19 +68,19 @@ def family_support(reads: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def partial_counts(called: DataFrame, excluded: tuple[str, ...] | str = ()) -> dict[str, DataFrame]:
-    """Counts of some of the reads, from which those of all are sums: ``hits`` of (family, barcode, allele), ``barcodes`` of (family, barcode) and ``lows`` of (family, barcode, place).
+    """Counts of some of the reads, from which those of all are sums: ``hits`` of (family, barcode, allele), ``barcodes`` of (family, barcode) and ``lows`` of (family, barcode, digits of all places).
 
     ``barcodes`` has all reads (``n_all``) and those without an ``excluded`` allele (``n``); the others
-    count only the latter.  ``lows`` are the reads whose base at a place is not of high quality.
+    count only the latter.  ``lows`` are the reads with a base that is not of high quality: at most a row a read and not one for each such base, as only few
+    places are asked for in the end.
     """
     f = [*FAMILY, "bc3"]
     marked = called.select(*f, "muts", "hqpos", excluded_by(excluded).alias("out"))
     kept = marked.where(~F.col("out"))
-    low = F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.char_length("hqpos"))), lambda i: F.substring("hqpos", i, F.lit(1)) == "0")
     return {
         "hits": kept.select(*f, F.explode("muts").alias("m")).groupBy(*f, "m.allele", "m.pos", "m.kind").agg(F.count("*").alias("n"), F.count_if("m.hq").alias("hq")),
         "barcodes": marked.groupBy(*f).agg(F.count("*").alias("n_all"), F.count_if(~F.col("out")).alias("n")),
-        "lows": kept.select(*f, F.explode(low).alias("pos")).groupBy(*f, "pos").agg(F.count("*").alias("low")),
+        "lows": kept.where(F.contains("hqpos", F.lit("0"))).groupBy(*f, "hqpos").agg(F.count("*").alias("n")),
     }
 
 
@@ -96,9 +96,11 @@ def support_of_counts(hits: DataFrame, barcodes: DataFrame, lows: DataFrame, bc3
         hits, lows = (x.join(barcodes.select(*g), g, "left_semi") for x in (hits, lows))
     barcodes = barcodes.where("n > 0").drop("n_all")
     hits = scratch(hits.groupBy(*g, "allele", "pos", "kind").agg(F.sum("n").alias("n"), F.sum("hq").alias("hq")), "hits")
-    places = hits.where("kind = 'sub'").select(*f, "pos").distinct()
-    sizes, low = barcodes.groupBy(*f).agg(F.sum("n").alias("n")), lows.groupBy(*f, "pos").agg(F.sum("low").alias("low"))
-    good = places.join(sizes, f).join(low, [*f, "pos"], "left").select(*f, "pos", (F.col("n") - F.coalesce("low", F.lit(0))).alias("hq_reads"))
+    places = hits.where("kind = 'sub'").groupBy(*f).agg(F.collect_set("pos").alias("places"))
+    sizes = barcodes.groupBy(*f).agg(F.sum("n").alias("n"))
+    at = lows.join(places, f).select(*f, "n", F.explode(F.filter("places", lambda p: F.substring("hqpos", p, F.lit(1)) == "0")).alias("pos"))
+    low = at.groupBy(*f, "pos").agg(F.sum("n").alias("low"))
+    good = places.join(sizes, f).select(*f, "n", F.explode("places").alias("pos")).join(low, [*f, "pos"], "left").select(*f, "pos", (F.col("n") - F.coalesce("low", F.lit(0))).alias("hq_reads"))
     return _support(hits, barcodes, good, strict)
 
 

@@ -684,8 +684,9 @@ def q_one_pass(spark, sf_dir):
 def q_stream_consensus(spark, sf_dir):
     """Alignments that arrive as files, counted batch by batch, to one row a family."""
     path = store.new_path(spark, "arriving")
-    alignments = _aligned(spark, sf_dir).repartition(5)
+    alignments = _aligned(spark, sf_dir)
     alignments.write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(alignments.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    batch = -(-alignments.rdd.getNumPartitions() // 3)  # three batches; files, and with them the tasks of a batch, do not grow with the table
+    stream = spark.readStream.schema(alignments.schema).option("maxFilesPerTrigger", batch).parquet(f"{path}/in")
     ingest.count_alignments(stream, _refs(spark), FACTORS, f"{path}/counts", f"{path}/checkpoint").awaitTermination()
     return consensus.rendered(ingest.consensus_so_far(spark, f"{path}/counts"))

@@ -37,7 +37,7 @@ def append_routed(reads: DataFrame, factors: Factors, out: str, checkpoint: str)
 COUNTS = {
     "hits": "title string, target string, bc5 string, bc3 string, allele string, pos int, kind string, n long, hq long, batch long",
     "barcodes": "title string, target string, bc5 string, bc3 string, n_all long, n long, batch long",
-    "lows": "title string, target string, bc5 string, bc3 string, pos int, low long, batch long",
+    "lows": "title string, target string, bc5 string, bc3 string, hqpos string, n long, batch long",
 }
 
 
