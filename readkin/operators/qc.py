@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequence import let, phred
+from ..sources.store import scratch
+from .batches import appended
+from .tables import once
 
 
 def position_stats(reads: DataFrame) -> DataFrame:
@@ -49,8 +52,8 @@ def overrepresented(reads: DataFrame, share: float = 0.001, buckets: int = 1 <<
     if its bucket is not, and at most ``1 / share`` buckets are, so these are sent to all tasks, and only reads
     in them are shuffled to be counted by sequence.  Runs a job for the number of reads.
     """
-    keyed = reads.where("seq is not null").select("seq", F.pmod(F.xxhash64("seq"), F.lit(buckets)).alias("bucket"))
-    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("n"))  # at most so many rows as buckets
+    keyed = once(reads.select("seq"), "seq").where("seq is not null").select("seq", F.pmod(F.xxhash64("seq"), F.lit(buckets)).alias("bucket"))
+    sizes = scratch(keyed.groupBy("bucket").agg(F.count("*").alias("n")), "buckets")  # at most so many rows as buckets, counted once
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
     least = share * total
     heavy = sizes.where(F.col("n") >= least).select("bucket")
@@ -75,12 +78,21 @@ def length_histogram(reads: DataFrame) -> DataFrame:
 def sliding_window_trim(reads: DataFrame, window: int = 3, mean: int = 30, least: int = 80) -> DataFrame:
     """Cut each read at the first window whose mean score is under ``mean``; reads left shorter than ``least`` go.  Reads shorter than a window are kept whole."""
 
-    def first_bad(q: Column) -> Column:
-        starts = F.when(F.char_length(q) >= window, F.sequence(F.lit(1), F.char_length(q) - (window - 1))).otherwise(F.array().cast("array<int>"))
-        return F.try_element_at(F.filter(starts, lambda i: sum((phred(q, i + k) for k in range(window)), F.lit(0)) < mean * window), F.lit(1))
-
-    cut = F.coalesce(let(first_bad, q=F.col("qual")) - 1, F.char_length("seq"))
-    out = reads.withColumn("__cut", cut).where(F.col("__cut") >= least)
+    def start():
+        def first_bad(quals: list) -> list[list]:
+            """Letters before the first bad window of each read: windows of all reads of a batch at once, as differences of running sums."""
+            size = np.fromiter((len(q or "") for q in quals), np.int64, len(quals))
+            sums = np.concatenate(([0], np.cumsum(np.frombuffer("".join(q or "" for q in quals).encode("utf-32-le"), np.uint32).astype(np.int64) - 33)))
+            bad = np.append(np.flatnonzero(sums[window:] - sums[:-window] < mean * window), len(sums) + window)  # the last is in no read
+            stop = np.cumsum(size)
+            begin = stop - size
+            first = bad[np.searchsorted(bad, begin)]
+            return [[int(k) if ok else None for k, ok in zip(first - begin, first + window <= stop)]]
+
+        return first_bad
+
+    cut = F.coalesce("__bad", F.char_length("seq"))
+    out = appended(reads, ["qual"], "__bad int", start).withColumn("__cut", cut).drop("__bad").where(F.col("__cut") >= least)
     return out.withColumns({"seq": F.left("seq", F.col("__cut")), "qual": F.left("qual", F.col("__cut"))}).drop("__cut")
 
 
