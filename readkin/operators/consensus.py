@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import digits12, let
 from ..params import Grid
+from ..sources.store import scratch
 from .mutations import FAMILY
+from .tables import once, spread
 
 #: An allele in a consensus row.
 MUT = "struct<pos:int,allele:string,freq:double,n:bigint,wt_freq:double,existing:bigint,mut_above:bigint,wt_above:bigint,above:bigint,wt_existing:bigint>"
@@ -110,10 +114,10 @@ def apply_cutoffs(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
     numbers of its unmutated reads and the barcodes of the wild type.
 
     The read-count cutoff is only a filter on ``total_count`` and is left to
-    ``at_count`` and ``haplotype_counts``, so 66 choices stand for 858.  The grid
-    has a fixed number of rows and is broadcast.
+    ``at_count`` and ``haplotype_counts``, so 66 choices stand for 858.  Alleles are chosen and written
+    once for each block of cutoffs (``_in_blocks``), whose row is then given to every cutoff of the block.
     """
-    out = cons.crossJoin(F.broadcast(grid_frame(cons.sparkSession, grid))).withColumn("picked", _selected(grid, tss))
+    out = _in_blocks(cons, grid, tss)
     status = _status(grid)
     some = F.col("mutated") & (F.size("picked") > 0)
     text = lambda g: F.array_join(F.transform("picked", g), ";")
@@ -121,23 +125,35 @@ def apply_cutoffs(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
     gone = lambda c: F.array_join(F.transform("muts", number(c)), ";")
     of = lambda c, wild, rejected: F.when(some, text(number(c))).when(F.col("mutated"), rejected).otherwise(wild)
     wt, above = F.col("wt_existing").cast("string"), F.col("above_all").cast("string")
-    return out.select(
-        *FAMILY, "min_freq", "min_bc3", "total_count", status.alias("status"), F.when(some, text(lambda x: x["allele"])).otherwise("WT").alias("consensus"),
+    rows = out.select(
+        *FAMILY, "__f", "__b", "total_count", status.alias("status"), F.when(some, text(lambda x: x["allele"])).otherwise("WT").alias("consensus"),
         F.when(some, text(lambda x: F.format_string("%.6f", x["freq"]))).otherwise(F.format_string("%.6f", "unmutated_freq")).alias("freqs"), F.when(some, text(lambda x: x["n"].cast("string"))).otherwise(F.col("unmutated").cast("string")).alias("counts"),
         F.when(some, F.size("picked")).when(F.col("mutated"), 0).otherwise(1).alias("positions"), F.when(some, text(lambda x: x["tss"])).otherwise("WT").alias("consensus_tss"),
         F.when(some, text(lambda x: F.format_string("%.6f", x["wt_freq"]))).otherwise("NA").alias("wt_freqs"), of("existing", wt, gone("wt_existing")).alias("bc3_existing"),
         of("mut_above", F.lit("NA"), gone("mut_above")).alias("bc3_mut_above1"), of("wt_above", above, gone("wt_above")).alias("bc3_wt_above1"), of("above", F.lit("NA"), F.lit("NA")).alias("bc3_above1"), of("wt_existing", wt, gone("wt_existing")).alias("bc3_all_wt_count"),
     )
+    held = lambda axis, values: F.explode(F.slice(F.array(*map(F.lit, values)), F.col(axis)["start"] + 1, F.col(axis)["stop"] - F.col(axis)["start"]))
+    filled = rows.withColumn("min_freq", held("__f", _cutoffs(grid.freqs, float))).withColumn("min_bc3", held("__b", _cutoffs(grid.bc3s, int)))
+    return filled.select(*FAMILY, "min_freq", "min_bc3", *[c for c in rows.columns if c not in (*FAMILY, "__f", "__b")])
 
 
-def outcomes(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
-    """``f_from, f_to, b_from, b_to, total_count, status, consensus``: what becomes of each family in each block of cutoffs.
+def _cutoffs(values: Iterable, kind: type) -> list:
+    return sorted({kind(x) for x in values})
+
+
+#: Families of a task that puts them under cutoffs: each is many rows there.
+FAMILIES = 2_000
+
+
+def _in_blocks(cons: DataFrame, grid: Grid, tss: int) -> DataFrame:
+    """``cons`` with a row for each block of cutoffs, ``__f`` and ``__b``, its first cutoffs ``min_freq`` and ``min_bc3``, and the alleles ``picked`` under them.
 
-    What a family becomes changes only at its own frequencies and barcode counts, so a family
-    has a row for every block between them and not for every cutoff.  Blocks are given as
-    places in the sorted cutoffs, the second one excluded; blocks without a cutoff are left out.
+    What a family becomes changes only at its own frequencies and barcode counts, so there is a row for
+    every block between them and not for every cutoff.  Blocks are places in the sorted cutoffs, ``start`` and ``stop``, the latter
+    excluded; blocks without a cutoff are left out.  Families are written first and dealt by their number: they are narrow
+    rows, which would lie in few tasks.
     """
-    freqs, bc3s = sorted(set(grid.freqs)), sorted(set(grid.bc3s))
+    freqs, bc3s = _cutoffs(grid.freqs, float), _cutoffs(grid.bc3s, int)
     big = F.lit(2147483647).cast("long")
 
     def blocks(values: Column, cutoffs: list) -> Column:
@@ -146,11 +162,20 @@ def outcomes(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
         starts = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0)), F.filter(passed, lambda k: k < len(cutoffs)))))
         return let(lambda a: F.transform(a, lambda k, i: F.struct(k.alias("start"), F.coalesce(F.try_element_at(a, i + 2), F.lit(len(cutoffs))).alias("stop"))), a=starts)
 
-    f = blocks(F.flatten(F.transform("muts", lambda m: F.array(m["freq"], m["wt_freq"]))), [float(x) for x in freqs])
-    b = blocks(F.concat(F.flatten(F.transform("muts", lambda m: F.array(m["existing"], F.coalesce(m["wt_existing"], big)))), F.when(F.col("mutated"), F.array().cast("array<bigint>")).otherwise(F.array("wt_existing"))), [int(x) for x in bc3s])
-    out = cons.withColumn("__f", F.explode(f)).withColumn("__b", F.explode(b))
+    f = blocks(F.flatten(F.transform("muts", lambda m: F.array(m["freq"], m["wt_freq"]))), freqs)
+    b = blocks(F.concat(F.flatten(F.transform("muts", lambda m: F.array(m["existing"], F.coalesce(m["wt_existing"], big)))), F.when(F.col("mutated"), F.array().cast("array<bigint>")).otherwise(F.array("wt_existing"))), bc3s)
+    out = spread(scratch(cons, "families"), FAMILIES).withColumn("__f", F.explode(f)).withColumn("__b", F.explode(b))
     at = lambda values, place, kind: F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), F.col(place) + 1)
-    out = out.withColumns({"min_freq": at(freqs, "__f.start", "double"), "min_bc3": at(bc3s, "__b.start", "int")}).withColumn("picked", _selected(grid, tss))
+    out = out.withColumns({"min_freq": at(freqs, "__f.start", "double"), "min_bc3": at(bc3s, "__b.start", "int")})
+    return once(out.withColumn("picked", _selected(grid, tss)), "picked")
+
+
+def outcomes(cons: DataFrame, grid: Grid, tss: int = 1) -> DataFrame:
+    """``f_from, f_to, b_from, b_to, total_count, status, consensus``: what becomes of each family in each block of cutoffs.
+
+    Blocks (``_in_blocks``) are given as places in the sorted cutoffs, the second one excluded.
+    """
+    out = _in_blocks(cons, grid, tss)
     some = F.col("mutated") & (F.size("picked") > 0)
     return out.select("__f.start", "__f.stop", "__b.start", "__b.stop", "total_count", _status(grid).alias("status"), F.when(some, F.array_join(F.transform("picked", lambda x: x["allele"]), ";")).otherwise("WT").alias("consensus")).toDF(
         "f_from", "f_to", "b_from", "b_to", "total_count", "status", "consensus"
