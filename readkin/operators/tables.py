@@ -32,10 +32,10 @@ def spread(df: DataFrame, rows: int = ROWS) -> DataFrame:
     """``df`` in as many partitions as there are cores, and in more if these would have over ``rows`` rows each; as it is, without a shuffle, if its files give as many.
 
     For narrow rows of which each costs much work, as a file of one row group is read by one task and a file of
-    narrow rows by few.  The rows are counted, so a task's work does not grow with the table.  Filters stay above the shuffle (``once``).
+    narrow rows by few.  The rows are counted, so a task's work does not grow with the table.
     """
     parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
-    return once(df.repartition(parts), *df.columns) if df.rdd.getNumPartitions() < parts else df
+    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
 
 
 def once(df: DataFrame, *columns: str) -> DataFrame:
