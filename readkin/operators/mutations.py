@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequence import BIN, alleles, cigar_ops, differences, gapped, position_quality
-from .tables import sent_whole
+from .tables import once, sent_whole
 
 #: The columns that name a read family.
 FAMILY = ("title", "target", "bc5")
@@ -103,5 +103,5 @@ def eligible(called: DataFrame, excluded: tuple[str, ...] | str = (), bc3_min_re
         out = with_group_size(out, (*FAMILY, "bc3"), "__n")
         out = out.where(F.when(F.col("bc3") == "X", 1).otherwise(F.col("__n")) >= bc3_min_reads).drop("__n")
     if excluded:
-        out = out.where(~excluded_by(excluded))
+        out = once(out, "muts").where(~excluded_by(excluded))  # or the alleles are called a second time, in the filter
     return out

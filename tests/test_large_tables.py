@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from readkin import queries
 from readkin.functions.sequence import masked
 from readkin.operators import qc, tables
 
@@ -63,3 +64,15 @@ def test_windows_of_a_batch(spark):
     got = qc.sliding_window_trim(spark.createDataFrame(rows, "seq string, qual string").coalesce(1), mean=28, least=2)
     want = [x for x in (plain(s, q) for s, q in rows) if len(x[0]) >= 2]
     assert [tuple(r) for r in got.collect()] == want
+
+
+def _computing(df):
+    """Filters and join conditions of a plan that make reads, or align or call them, instead of reading columns."""
+    return [x for x in plan(df).splitlines() if ("Filter " in x or "Join " in x) and ("md5(" in x or "regexp_extract_all(" in x or "raise_error(" in x)]
+
+
+@pytest.mark.parametrize("made", ["_called", "_eligible"])
+def test_alignments_are_made_once_and_above_the_shuffle(spark, made):
+    """``usable`` and the excluded alleles are filters on columns: neither is pushed to the one task of the file, nor are alleles called twice."""
+    df = getattr(queries, made)(spark, SF)
+    assert "RoundRobinPartitioning" in plan(df) and not _computing(df)
