@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import align, consensus, designs, family, mutations, trim
-from ..operators.tables import sent_whole
+from ..operators.tables import once, sent_whole
 from ..params import Factors, Grid, RunParams
 
 
@@ -24,7 +24,7 @@ def alignments_of_samples(reads: DataFrame, refs: DataFrame, table: DataFrame, p
 
 
 def _aligned(routed: DataFrame, refs: DataFrame) -> DataFrame:
-    good = routed.where(~F.col("bc5").contains("N") & ~F.col("bc3").contains("N"))
+    good = once(routed, "bc5", "bc3").where(~F.col("bc5").contains("N") & ~F.col("bc3").contains("N"))
     named = good.select("title", "target", F.when(F.col("bc5") == "", "BC5_missing").otherwise(F.col("bc5")).alias("bc5"), F.when(F.col("bc3") == "", "BC3_missing").otherwise(F.col("bc3")).alias("bc3"), F.regexp_replace("header", "^@", "").alias("qname"), F.col("insert_seq").alias("seq"), F.col("insert_qual").alias("qual"))
     return align.align(named, refs).where("mapq > 0")
 

@@ -9,6 +9,7 @@ import __spark_entry__
 from readkin import queries
 from readkin.functions.sequence import masked
 from readkin.operators import qc, tables
+from readkin.plans import families
 
 SF = "/root/testdata/sf0.001"
 
@@ -76,3 +77,9 @@ def test_alignments_are_made_once_and_above_the_shuffle(spark, made):
     """``usable`` and the excluded alleles are filters on columns: neither is pushed to the one task of the file, nor are alleles called twice."""
     df = getattr(queries, made)(spark, SF)
     assert "RoundRobinPartitioning" in plan(df) and not _computing(df)
+
+
+def test_barcodes_with_an_n_are_filtered_above_the_shuffle(spark):
+    """Before the alignment, but not by masking, making and splitting all reads in the one task of the file."""
+    raw = queries._raw(spark, SF).select(F.lit("S0").alias("title"), "header", "seq", "qual")
+    assert not _computing(families.alignments_of(raw, queries._refs(spark), queries.FACTORS))
