@@ -12,9 +12,10 @@ MISSING = "BC3_missing"
 
 
 def _counted(reads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The reads, their alleles counted by barcode, and the reads counted by barcode: rows, written once where calling or exploding would be repeated."""
+    """The reads, their alleles counted by barcode, and the reads counted by barcode: rows, written once where calling or exploding would be repeated; reads that are written already are not written again."""
     f = list(FAMILY)
-    reads = scratch(reads.select(*f, "bc3", "muts", "hqpos"), "called")
+    if "scratch_path" not in vars(reads):
+        reads = scratch(reads.select(*f, "bc3", "muts", "hqpos"), "called")
     hits = scratch(reads.select(*f, "bc3", F.explode("muts").alias("m")).groupBy(*f, "bc3", "m.allele", "m.pos", "m.kind").agg(F.count("*").alias("n"), F.count_if("m.hq").alias("hq")), "hits")
     return reads, hits, reads.groupBy(*f, "bc3").agg(F.count("*").alias("n"))
 

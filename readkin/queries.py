@@ -398,7 +398,8 @@ _MISSING = _FAMILY.replace("AND pos0 = 0", "AND pos0 = 0 AND bc3 = 'BC3_missing'
 @query(f"SELECT 'all' AS run, * FROM (WITH {_FAMILY} SELECT {_COLS} FROM tab) UNION ALL SELECT 'BC3_missing', * FROM (WITH {_MISSING} SELECT {_COLS} FROM tab)")
 def q_family_tables_union(spark, sf_dir):
     """The runs over all reads and over those without a secondary barcode, as one table."""
-    runs = [f(spark, sf_dir).select(F.lit(name).alias("run"), "*") for name, f in (("all", q_family_table), ("BC3_missing", q_family_table_bc3_missing))]
+    reads = store.scratch(_eligible(spark, sf_dir).select(*mutations.FAMILY, "bc3", "muts", "hqpos"), "called")  # called once for both runs
+    runs = [_flat(family.family_table(r)).select(F.lit(name).alias("run"), "*") for name, r in (("all", reads), (family.MISSING, reads.where(F.col("bc3") == family.MISSING)))]
     return runs[0].union(runs[1])
 
 

@@ -83,3 +83,14 @@ def test_barcodes_with_an_n_are_filtered_above_the_shuffle(spark):
     """Before the alignment, but not by masking, making and splitting all reads in the one task of the file."""
     raw = queries._raw(spark, SF).select(F.lit("S0").alias("title"), "header", "seq", "qual")
     assert not _computing(families.alignments_of(raw, queries._refs(spark), queries.FACTORS))
+
+
+def test_runs_of_a_union_share_one_call(spark, monkeypatch):
+    """Alleles are called once for both runs, whose rows are those of the runs alone."""
+    calls, call = [], queries.mutations.call
+    monkeypatch.setattr(queries.mutations, "call", lambda *a, **k: calls.append(1) or call(*a, **k))
+    got = queries.q_family_tables_union(spark, SF)
+    assert len(calls) == 1
+    alone = queries.q_family_table_bc3_missing(spark, SF)
+    missing = got.where("run = 'BC3_missing'").drop("run")
+    assert sorted(map(str, missing.collect())) == sorted(map(str, alone.collect())) and got.where("run = 'all'").count() == queries.q_family_table(spark, SF).count()
