@@ -145,7 +145,7 @@ class Encoder:
             return []
         out: list[int] = []
         for unit in self.units.findall(SPACE + text.replace(" ", SPACE)):
-            out.extend(self._known.get(unit) or self.unit_ids(unit))
+            out += self._known.get(unit) or self.unit_ids(unit)
         return out
 
 
@@ -175,6 +175,10 @@ class Decoder:
         text = "".join(parts)
         return text[1:] if text.startswith(" ") and self.text[ids[0]] is not None else text
 
+    def texts(self, rows: pa.Array) -> pa.Array:
+        """The text of each list of ids, null for null; one row's ids at a time are Python numbers, made of a plain buffer at once."""
+        return pa.array([self.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else None for x in rows], pa.string())
+
 
 def _letters(raw: bytearray) -> str:
     """UTF-8 letters of bytes; each byte that begins none is one replacement character."""
@@ -223,8 +227,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "decoded
         decoder = None
         for batch in batches:
             decoder = decoder or Decoder(vocabulary.value)
-            # One row's ids at a time are Python numbers.
-            texts = pa.array([decoder.decode(x.values.to_pylist()) if x.is_valid else None for x in batch.column(at)], pa.string())
+            texts = decoder.texts(batch.column(at))
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, into])
 
     return mapped(encoded, run, f"{into} string")

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -229,3 +230,10 @@ def test_whole_query_equals_the_library(spark, model):
         r = rows[d.doc_id]
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() and r.decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
+
+
+def test_texts_of_a_column(model, encoder):
+    """Lists of ids straight from an Arrow column, a slice with null and empty rows among them."""
+    words = ["naïve words", None, "", "日本 ,###"]
+    column = pa.array([None if w is None else encoder.encode(w) for w in ["skipped", *words]], pa.list_(pa.int32())).slice(1)
+    assert pieces.Decoder(encoder.vocabulary).texts(column).to_pylist() == [None if w is None else model.decode(model.encode(w)) for w in words]
