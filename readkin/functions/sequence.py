@@ -30,7 +30,7 @@ def masked(seq: Column, qual: Column, least: int) -> Column:
         return F.aggregate(good, start, step, lambda a: F.substring(a["out"], F.lit(1), F.char_length(s)))
 
     low = f"[\\x00-\\x{max(0, min(127, least + 32)):02x}]"
-    return F.when(F.char_length(seq) != F.char_length(qual), F.raise_error(F.lit("sequence and quality differ in length"))).when(F.char_length(seq) == 0, F.lit("")).otherwise(let(mask, s=seq, good=F.split(qual, low)))
+    return F.when(F.char_length(seq) != F.char_length(qual), F.raise_error(F.lit("sequence and quality differ in length"))).when(~F.rlike(qual, F.lit(low)), seq).otherwise(let(mask, s=seq, good=F.split(qual, low)))
 
 
 def has_signatures(seq: Column, signatures: tuple[Signature, ...]) -> Column:
@@ -67,9 +67,13 @@ def haplotype_offset(seq: Column, haplotype: tuple[tuple[int, str], ...], match:
 
 def gene_of(seq: Column, genes: tuple[Gene, ...], match: float, others: str) -> tuple[Column, Column]:
     """Target and whether it was found at an offset: the only gene of which all haplotypes match, else ``others``."""
+    return gene_at([[haplotype_offset(seq, h, match) for h in g.haplotypes] for g in genes], genes, others)
+
+
+def gene_at(offsets_of: list[list[Column]], genes: tuple[Gene, ...], others: str) -> tuple[Column, Column]:
+    """``gene_of`` with the offsets of each gene's haplotypes as columns."""
     hits, shifts = [], []
-    for g in genes:
-        offsets = [haplotype_offset(seq, h, match) for h in g.haplotypes]
+    for g, offsets in zip(genes, offsets_of):
         ok, moved = F.lit(True), F.lit(False)
         for o in offsets:
             ok, moved = ok & o.isNotNull(), moved | (F.coalesce(o, F.lit(0)) != 0)

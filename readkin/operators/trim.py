@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequence import gene_of, has_signatures, masked
+from ..functions.sequence import gene_at, has_signatures, haplotype_offset, masked
 from ..params import Factors
 from .tables import once
 
@@ -46,10 +46,24 @@ def with_indels(routed: DataFrame) -> DataFrame:
     return routed.where("shifted")
 
 
+def _sorted(reads: DataFrame, factors: Factors, seq: str) -> DataFrame:
+    """``reads`` with ``target`` and ``shifted``.
+
+    The offset of each haplotype is a column of its own, computed once a read and behind a step of its own: all of them in
+    one expression, which names each several times, make generated code that is too long to be compiled.
+    """
+    names = [[f"__at{i}_{j}" for j in range(len(g.haplotypes))] for i, g in enumerate(factors.genes)]
+    out = reads
+    for g, own in zip(factors.genes, names):
+        for h, c in zip(g.haplotypes, own):
+            out = once(out.withColumn(c, haplotype_offset(F.col(seq), h, factors.sort_match)), c)
+    target, shifted = gene_at([[F.col(c) for c in own] for own in names], factors.genes, factors.others)
+    return out.withColumns({"target": target, "shifted": shifted}).drop(*[c for own in names for c in own])
+
+
 def route(trimmed: DataFrame, factors: Factors, seq: str = "insert_seq") -> DataFrame:
     """Reads with a right identifier, with their ``target`` and ``shifted``."""
-    target, shifted = gene_of(F.col(seq), factors.genes, factors.sort_match, factors.others)
-    return once(trimmed.where("id_ok").withColumns({"target": target, "shifted": shifted}), "target", "shifted")
+    return once(_sorted(trimmed.where("id_ok"), factors, seq), "target", "shifted")
 
 
 def route_log(routed: DataFrame) -> DataFrame:
@@ -59,6 +73,5 @@ def route_log(routed: DataFrame) -> DataFrame:
 
 def sort_all(trimmed: DataFrame, factors: Factors, seq: str = "insert_seq") -> DataFrame:
     """``route`` that keeps the reads without the identifier, with a null target and never ``shifted``: all that is written of a run, in one table."""
-    target, shifted = gene_of(F.col(seq), factors.genes, factors.sort_match, factors.others)
     ok = F.col("id_ok")
-    return trimmed.withColumns({"target": F.when(ok, target), "shifted": F.coalesce(ok & shifted, F.lit(False))})
+    return _sorted(trimmed, factors, seq).withColumns({"target": F.when(ok, F.col("target")), "shifted": F.coalesce(ok & F.col("shifted"), F.lit(False))})

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from readkin import queries
-from readkin.functions.sequence import masked
-from readkin.operators import qc, tables
+from readkin.functions.sequence import gene_of, masked
+from readkin.operators import qc, tables, trim
 from readkin.plans import families
 
 SF = "/root/testdata/sf0.001"
@@ -94,3 +94,27 @@ def test_runs_of_a_union_share_one_call(spark, monkeypatch):
     alone = queries.q_family_table_bc3_missing(spark, SF)
     missing = got.where("run = 'BC3_missing'").drop("run")
     assert sorted(map(str, missing.collect())) == sorted(map(str, alone.collect())) and got.where("run = 'all'").count() == queries.q_family_table(spark, SF).count()
+
+
+def test_place_sums_equal_a_plain_loop(spark):
+    """Reads of unlike lengths, without scores, with more bases than scores and the other way round; no row is made for a letter."""
+    rows = [("ACGTN", "IIII5"), ("NNG", "4"), ("", ""), (None, "55"), ("G", "I5I"), ("ACG", None), ("CCC", "🙂!~")]
+    df = spark.createDataFrame(rows, "seq string, qual string")
+    stats = qc.position_stats(df)
+    want = {}
+    for seq, qual in rows:
+        for i, c in enumerate(qual or ""):
+            b = (seq or "")[i : i + 1]
+            want.setdefault(i + 1, []).append((ord(c) - 33, b == "N", b in ("G", "C")))
+    got = {r.pos: tuple(r)[1:] for r in stats.collect()}
+    assert got == {p: (len(x), sum(s for s, _, _ in x) / len(x), min(x)[0], max(x)[0], sum(n for _, n, _ in x), sum(g for _, _, g in x)) for p, x in want.items()}
+    assert "Generate" not in plan(stats)
+
+
+def test_each_haplotype_is_looked_for_in_a_step_of_its_own(spark):
+    """Offsets are columns behind steps of their own, so no expression holds those of all genes; results are those of ``gene_of``."""
+    reads = spark.createDataFrame([(k, "".join(random.Random(k).choice("ACGT") for _ in range(44)) + s + "ACGTACGT", True) for k in range(40) for s in ("AGTCCA", "TAGTCC", "GTCAAT", "TTTTTT")], "k int, insert_seq string, id_ok boolean")
+    routed = trim.route(reads, queries.FACTORS)
+    target, shifted = gene_of(F.col("insert_seq"), queries.FACTORS.genes, queries.FACTORS.sort_match, queries.FACTORS.others)
+    assert sorted(map(tuple, routed.collect())) == sorted(map(tuple, reads.withColumns({"target": target, "shifted": shifted}).collect()))
+    assert plan(routed).count("Generate inline(") >= 1 + len(queries.FACTORS.genes)
