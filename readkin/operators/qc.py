@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +16,41 @@ from .tables import once
 
 
 def position_stats(reads: DataFrame) -> DataFrame:
-    """``pos, reads, mean, least, most, n_bases, gc`` for each place in the reads, from map-side-combined sums."""
-    rows = reads.select("seq", F.posexplode(F.split("qual", "")).alias("at", "q"))
-    base = F.substring("seq", F.col("at") + 1, F.lit(1))
-    score = F.ascii("q") - 33
-    return rows.groupBy((F.col("at") + 1).alias("pos")).agg(F.count("*").alias("reads"), F.avg(score).alias("mean"), F.min(score).alias("least"), F.max(score).alias("most"), F.count_if(base == "N").alias("n_bases"), F.count_if(base.isin("G", "C")).alias("gc"))
+    """``pos, reads, mean, least, most, n_bases, gc`` for each place in the reads; a read without scores has none.
+
+    Sums, a row a place, are made of 1,000 reads at a time, so no row is made for a letter.
+    """
+    sums = reads.select("seq", "qual").mapInArrow(_place_sums, "pos int, reads long, total long, least int, most int, n_bases long, gc long").groupBy("pos")
+    out = sums.agg(F.sum("reads").alias("reads"), F.sum("total").alias("total"), *[f(c).alias(c) for c, f in (("least", F.min), ("most", F.max), ("n_bases", F.sum), ("gc", F.sum))])
+    return out.select("pos", "reads", (F.col("total") / F.col("reads")).alias("mean"), "least", "most", "n_bases", "gc")
+
+
+def _letters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, one behind the other, and the length of each."""
+    texts = [t or "" for t in texts]
+    return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64), np.fromiter(map(len, texts), np.int64, len(texts))
+
+
+def _place_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["pos", "reads", "total", "least", "most", "n_bases", "gc"]
+    for batch in (whole.slice(s, 1000) for whole in batches for s in range(0, whole.num_rows, 1000)):
+        (base, of_seq), (score, of_qual) = (_letters(batch.column(k).to_pylist()) for k in (0, 1))
+        if not len(score):
+            continue
+        score, row = score - 33, np.repeat(np.arange(len(of_qual)), of_qual)
+        at = np.arange(len(score)) - (np.cumsum(of_qual) - of_qual)[row]
+        has = at < of_seq[row]  # a base stands beside the score
+        own = np.zeros(len(score), np.int64)
+        own[has] = base[(np.cumsum(of_seq) - of_seq)[row[has]] + at[has]]
+        n = int(of_qual.max())
+        count = lambda which: np.bincount(at[which], minlength=n)
+        reads, total = np.bincount(at), np.zeros(n, np.int64)
+        least, most = np.full(n, 1 << 30), np.full(n, -(1 << 30))
+        np.add.at(total, at, score)
+        np.minimum.at(least, at, score)
+        np.maximum.at(most, at, score)
+        columns = [np.arange(1, n + 1, dtype=np.int32), reads, total, least.astype(np.int32), most.astype(np.int32), count(own == ord("N")), count((own == ord("G")) | (own == ord("C")))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
 def base_composition(reads: DataFrame) -> DataFrame:
