@@ -8,10 +8,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import scratch, utf8
+from .common import discard, scratch, utf8
 from .linear import summed
 
 #: The token at the end of every text; no word is empty.
@@ -21,8 +23,8 @@ END = b""
 @dataclass(frozen=True)
 class Rules:
     classes: int = 128
-    own_unit: float = 1e-5  # share of all tokens from which on a word, or an ending of other words, is a unit of clustering
-    in_task: float = 1e-6  # share of all tokens from which on a word's count is at hand in every task: at most 1 / in_task words
+    own_unit: float = 1e-5  # share of all tokens from which on a word, or an ending of other words, is a unit that moves in every round; all other words move once
+    in_task: float = 1e-6  # share of all tokens from which on a word's count and class are at hand in every task: at most 1 / in_task words; all others are rows
     sweeps: int = 3  # exchange rounds in which every unit may move
     smoothing: float = 5.0  # weight of the class frequencies in a transition
 
@@ -40,20 +42,30 @@ def ending(word: bytes) -> bytes:
 
 
 class Units:
-    """Frequent words and the endings of all others, the units that are put into classes.
+    """Frequent words and the endings of all others, which are exchanged in rounds, and further words that are at hand in every task.
 
-    Unit 0 is for words whose ending is rare, unit 1 for the end of a text.
-    There are at most ``2 / own_unit + 2`` units.
+    Unit 0 is for words whose ending is rare, unit 1 for the end of a text; ``words`` and ``middle`` give counts, ``strange`` are words that
+    are frequent only where nothing is learned.  Middle words are units of their own number, but go with their ending in the rounds.
     """
 
-    def __init__(self, words: list[bytes], endings: list[bytes]):
+    def __init__(self, ends: int, words: dict[bytes, int], endings: list[bytes], strange: list[bytes], middle: dict[bytes, int]):
         self.words = {END: 1} | {w: k for k, w in enumerate(words, 2)}
         self.endings = {e: k for k, e in enumerate(endings, 2 + len(words))}
-        self.n = 2 + len(words) + len(endings)
+        self.exchanged = 2 + len(words) + len(endings)
+        apart = [*strange, *middle]
+        self.at_hand = self.words | {w: k for k, w in enumerate(apart, self.exchanged)}
+        self.middle = self.exchanged + len(strange)  # number of the first middle word
+        #: Training count of a unit that is a word; -1 for units of many words.
+        self.count = np.array([-1, ends, *words.values(), *[-1] * len(endings), *[0] * len(strange), *middle.values()], np.int64)
+        #: The unit that stands for a unit in the rounds.
+        self.stand_in = np.concatenate((np.arange(self.exchanged), np.fromiter(map(self.of_ending, apart), np.int64, len(apart))))
 
     def of(self, word: bytes) -> int:
-        k = self.words.get(word)
-        return self.endings.get(ending(word), 0) if k is None else k
+        k = self.at_hand.get(word)
+        return self.of_ending(word) if k is None else k
+
+    def of_ending(self, word: bytes) -> int:
+        return self.endings.get(ending(word), 0)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -72,8 +84,31 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def coded(table: DataFrame, units: Units) -> DataFrame:
+    """``table`` (first column a text) as ``unit``, the units of its tokens, ``rare``, the words among them that are not at hand, and the other columns."""
+    rest = table.columns[1:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(s, 500) for whole in batches for s in range(0, whole.num_rows, 500)):
+            local: dict[bytes, int] = {}
+            ids = [np.fromiter((local.setdefault(w, len(local)) for w in tokens(t)), np.int32) for t in utf8(batch.column(0))]
+            unit = np.fromiter(map(units.of, local), np.int32, len(local))
+            starts = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
+            ids = np.concatenate(ids)
+            holes = np.flatnonzero(units.count[unit[ids]] < 0)
+            rare = pa.array(local.keys(), pa.binary()).take(pa.array(ids[holes]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(unit[ids])), pa.ListArray.from_arrays(pa.array(np.searchsorted(holes, starts), pa.int32()), rare), *batch.columns[1:]],
+                names=["unit", "rare", *rest],
+            )
+
+    schema = StructType.fromDDL("unit array<int>, rare array<binary>")
+    return table.mapInArrow(run, StructType([*schema.fields, *table.schema.fields[1:]]))
+
+
 def unit_pairs(texts: DataFrame, units: Units, flush: int = 1_000_000) -> DataFrame:
-    """``a, b, n``: how often unit b follows unit a; a text begins behind an end."""
+    """``a, b, n``: how often unit b follows unit a in the column ``unit``; a text begins behind an end."""
+    n_units, stand_in = units.exchanged, units.stand_in
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -81,23 +116,19 @@ def unit_pairs(texts: DataFrame, units: Units, flush: int = 1_000_000) -> DataFr
 
         def out():
             code, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_pydict({"a": pa.array(code // units.n, pa.int32()), "b": pa.array(code % units.n, pa.int32()), "n": pa.array(n, pa.int64())})
+            return pa.RecordBatch.from_pydict({"a": pa.array(code // n_units, pa.int32()), "b": pa.array(code % n_units, pa.int32()), "n": pa.array(n, pa.int64())})
 
         for batch in (whole.slice(s, 1000) for whole in batches for s in range(0, whole.num_rows, 1000)):
-            local: dict[bytes, int] = {}
-            ids = [np.fromiter((local.setdefault(w, len(local)) for w in tokens(t)), np.int64) for t in utf8(batch.column(0))]
-            unit = np.fromiter(map(units.of, local), np.int64, len(local))
-            if ids:
-                flat = unit[np.concatenate(ids)]
-                held.append(np.concatenate(([1], flat[:-1])) * units.n + flat)  # every text ends with unit 1
-                size += len(flat)
+            flat = stand_in[batch.column(0).flatten().to_numpy(zero_copy_only=False)]
+            held.append(np.concatenate(([1], flat[:-1])) * n_units + flat)  # every text ends with unit 1
+            size += len(flat)
             if size >= flush:
                 yield out()
                 held, size = [], 0
         if held:
             yield out()
 
-    return texts.mapInArrow(count, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return texts.select("unit").mapInArrow(count, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def _phi(x: np.ndarray) -> np.ndarray:
@@ -128,6 +159,50 @@ def best_class(left: np.ndarray, right: np.ndarray, own: float, a: int, t: np.nd
     return b, float(gain[b] - gain[a])
 
 
+class Moves:
+    """``best_class`` of many words at once, by the same sums; a word next to itself counts as a neighbour that stays."""
+
+    SMALL = 8  # counts up to which differences are looked up
+
+    def __init__(self, t: np.ndarray, cost: float = 0.0):
+        self.t, self.cost = t, max(cost, 1e-6)  # a move must raise the likelihood by more than its cost
+        steps = np.arange(1, self.SMALL + 1)[:, None]
+        self.sides = [(m, _phi(m + steps[:, :, None]) - _phi(m)) for m in (t, np.ascontiguousarray(t.T))]
+        self.sums = [(x, _phi(x + steps) - _phi(x)) for x in (t.sum(0), t.sum(1))]
+
+    def best(self, left: np.ndarray, right: np.ndarray, a: np.ndarray) -> np.ndarray:
+        """The class of every word; rows of ``left`` and ``right`` count the classes before and behind it, ``a`` is its class."""
+        if len(a) > 1024:
+            return np.concatenate([self.best(left[s : s + 1024], right[s : s + 1024], a[s : s + 1024]) for s in range(0, len(a), 1024)])
+        rows, n = np.arange(len(a)), left.sum(1)
+        gain = np.zeros(left.shape)
+        for (m, known), own, other in zip(self.sides, (left, right), (right, left)):
+            w, x = np.nonzero(own)
+            k, home = own[w, x], a[w]
+            g = np.empty((len(w), len(m)))
+            quick = (k <= self.SMALL) & (x != home)
+            q, s = np.flatnonzero(quick), np.flatnonzero(~quick)
+            g[q] = known[k[q].astype(np.int64) - 1, x[q]]
+            g[q, home[q]] = _phi(m[x[q], home[q]]) - _phi(m[x[q], home[q]] - k[q])
+            cells, near = m[x[s]], x[s] == home[s]
+            cells[near] -= other[w[s[near]]]
+            cells[np.arange(len(s)), home[s]] -= k[s]
+            g[s] = _phi(cells + k[s, None]) - _phi(cells)
+            gain += np.add.reduceat(g, np.searchsorted(w, rows), axis=0)
+        w, b = np.nonzero((left > 0) & (right > 0))
+        x, y = left[w, b], right[w, b]
+        d = self.t[b, b] - np.where(b == a[w], x + y, 0)
+        gain[w, b] += _phi(d + x + y) - _phi(d + x) - _phi(d + y) + _phi(d)
+        for total, known in self.sums:
+            q, s = np.flatnonzero(n <= self.SMALL), np.flatnonzero(n > self.SMALL)
+            gain[q] -= known[n[q].astype(np.int64) - 1]
+            gain[s] -= _phi(total + n[s, None]) - _phi(total)
+            here = total[a]
+            gain[rows, a] += _phi(here + n) - 2 * _phi(here) + _phi(here - n)
+        b = gain.argmax(1)
+        return np.where(gain[rows, b] - gain[rows, a] > self.cost, b, a)
+
+
 def exchange(pairs: DataFrame, n_units: int, rules: Rules) -> tuple[np.ndarray, np.ndarray]:
     """Class of every unit, and the counts of class pairs.
 
@@ -178,6 +253,7 @@ def exchange(pairs: DataFrame, n_units: int, rules: Rules) -> tuple[np.ndarray,
         t = matrix(cls)
         if likelihood(t) > best[0]:
             best = (likelihood(t), cls, t)
+    discard(rows)
     return best[1], best[2]
 
 
@@ -186,102 +262,308 @@ class Model:
     """What a task needs to score a text, all of bounded size."""
 
     units: Units
-    cls: np.ndarray
+    cls: np.ndarray  # class of every unit
     transition: np.ndarray  # log10 P(class | class before)
     room: np.ndarray  # log10 of a class's emission denominator
     unseen: np.ndarray  # log10 of an unseen word's numerator in a class
-    at_hand: dict[bytes, int]  # counts of frequent words
     discount: float
     n: int
     v: int
 
 
-def fit(texts: DataFrame, rules: Rules = Rules()) -> tuple[Model, DataFrame]:
-    """The model of the first column of ``texts``, and the table ``word, n`` of all its words."""
+@dataclass
+class Vocabulary:
+    """All words of the training texts."""
+
+    counts: DataFrame  # word, n
+    units: Units
+    discount: float
+    n: int
+    v: int
+
+    def model(self, cls: np.ndarray, t: np.ndarray, kinds: np.ndarray, rules: Rules) -> Model:
+        """From class pairs and the number of words of every class."""
+        size = t.sum(0)
+        share = (size + 1 / rules.classes) / (self.n + 1)
+        transition = np.log10((t + rules.smoothing * share) / (t.sum(1, keepdims=True) + rules.smoothing))
+        return Model(self.units, cls, transition, np.log10(size + 1), np.log10(self.discount * kinds + 1), self.discount, self.n, self.v)
+
+
+def vocabulary(texts: DataFrame, rules: Rules, others: DataFrame | None = None) -> Vocabulary:
+    """Words and units of the first column of ``texts``; words frequent in ``others``, which are scored only, are at hand too."""
     counts = scratch(word_counts(texts.select(texts.columns[0])), "words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).first()
-    n = total.n
-    at_hand = {bytes(r.word): r.n for r in counts.where(F.col("n") >= max(1.0, rules.in_task * n)).collect()}
-    least = max(1.0, rules.own_unit * n)
-    own = sorted(w for w, k in at_hand.items() if k >= least and w != END)
-    rest = counts.where((F.col("n") < least) & (F.length("word") > 0)).groupBy(F.substring(F.col("word").cast("string"), -2, 2).alias("e")).agg(F.sum("n").alias("n"))
+    total = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"), F.coalesce(F.max(F.when(F.length("word") == 0, F.col("n"))), F.lit(0)).alias("ends")
+    ).first()
+    share = max(rules.own_unit, rules.in_task)
+    least = max(1.0, share * total.n)
+    words = F.length("word") > 0
+    at_hand = {bytes(r.word): r.n for r in counts.where(words & (F.col("n") >= max(1.0, rules.in_task * total.n))).collect()}
+    own = {w: k for w, k in at_hand.items() if k >= least}
+    if others is not None:
+        outside = scratch(word_counts(others.select(others.columns[0])), "outside")
+        some = outside.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+        often = outside.where(words & (F.col("n") >= max(1.0, share * some)) & (F.col("n") > 100)).select("word")
+        own |= {bytes(r.word): r.n for r in often.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n")).collect()}
+        discard(outside)
+    rest = counts.where((F.col("n") < least) & words).groupBy(F.substring(F.col("word").cast("string"), -2, 2).alias("e")).agg(F.sum("n").alias("n"))
     endings = sorted(r.e.encode() for r in rest.where(F.col("n") >= least).collect())
-    units = Units(own, endings)
-    cls, t = exchange(scratch(unit_pairs(texts.select(texts.columns[0]), units), "pairs"), units.n, rules)
-
+    units = Units(total.ends, {w: own[w] for w in sorted(own) if own[w]}, endings, sorted(w for w in own if not own[w]), {w: at_hand[w] for w in sorted(at_hand) if w not in own})
+    discount = total.n1 / (total.n1 + 2 * total.n2) if total.n1 and total.n2 else 0.5
+    return Vocabulary(counts, units, discount, total.n, total.v)
+
+
+def unit_classes(texts: DataFrame, units: Units, rules: Rules) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all units and counts of class pairs, learned from the column ``unit`` of coded texts."""
+    pairs = scratch(unit_pairs(texts, units), "pairs")
+    cls, t = exchange(pairs, units.exchanged, rules)
+    discard(pairs)
+    cls = cls[units.stand_in]
+    if units.middle == len(cls):
+        return cls, t
+    cls = middle_classes(texts, cls, t, units, rules)
     c = rules.classes
 
+    def add(whole: pa.RecordBatch) -> np.ndarray:
+        out = np.zeros(c * c)
+        for s in range(0, whole.num_rows, 1000):
+            flat = cls[whole.column(0).slice(s, 1000).flatten().to_numpy(zero_copy_only=False)].astype(np.int64)
+            out += np.bincount(np.concatenate(([cls[1]], flat[:-1])) * c + flat, minlength=c * c)
+        return out
+
+    return cls, summed(texts.select("unit"), add, c * c).reshape(c, c)
+
+
+def middle_classes(texts: DataFrame, cls: np.ndarray, t: np.ndarray, units: Units, rules: Rules, flush: int = 2_000_000) -> np.ndarray:
+    """``cls`` after every middle word has moved by itself to the class that raises the likelihood most, its neighbours staying; one number a word comes to the driver."""
+    c, start = rules.classes, units.middle
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+
+        def out():
+            code, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_pydict({"u": pa.array(code // (2 * c), pa.int32()), "cell": pa.array(code % (2 * c), pa.int32()), "n": pa.array(n, pa.int32())})
+
+        for batch in (whole.slice(s, 500) for whole in batches for s in range(0, whole.num_rows, 500)):
+            unit = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            k, at = cls[unit].astype(np.int64), np.flatnonzero(unit >= start)
+            code = (unit[at] - start).astype(np.int64) * (2 * c)
+            held += [code + np.concatenate(([cls[1]], k[:-1]))[at], code + c + k[np.minimum(at + 1, len(k) - 1)]]  # an end is no middle word
+            size += 2 * len(at)
+            if size >= flush:
+                yield out()
+                held, size = [], 0
+        if size:
+            yield out()
+
+    def other_unit(batch: pa.RecordBatch, last: pa.RecordBatch | None) -> np.ndarray:
+        u = batch.column(0).to_numpy()
+        return np.concatenate(([last is None or last.column(0)[0].as_py() != u[0]], u[1:] != u[:-1]))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moves = Moves(t, float(np.log(c)))
+        for batch in _whole(batches, other_unit):
+            u, row = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            both = np.bincount(row * (2 * c) + batch.column(1).to_numpy(), batch.column(2).to_numpy(), len(u) * 2 * c).reshape(-1, 2, c)
+            now = moves.best(both[:, 0], both[:, 1], cls[u + start].astype(np.int64))
+            yield pa.RecordBatch.from_pydict({"u": pa.array(u, pa.int32()), "c": pa.array(now, pa.int32())})
+
+    out = cls.copy()
+    found = texts.select("unit").mapInArrow(cells, "u int, cell int, n int").repartition("u").sortWithinPartitions("u").mapInArrow(choose, "u int, c int")
+    for r in found.collect():  # a row a middle word
+        out[r.u + start] = r.c
+    return out
+
+
+def fit(texts: DataFrame, rules: Rules = Rules()) -> tuple[Model, DataFrame]:
+    """The model of the first column of ``texts`` in which a word that is not at hand has the class of its ending, and the table ``word, n`` of all its words.
+
+    ``score`` starts from these classes and puts every word into a class of its own choice.
+    """
+    known = vocabulary(texts, rules)
+    units = known.units
+    cls, t = unit_classes(scratch(coded(texts.select(texts.columns[0]), units), "coded"), units, rules)
+
     def types(batch: pa.RecordBatch) -> np.ndarray:
-        return np.bincount(cls[np.fromiter(map(units.of, batch.column(0).to_pylist()), np.int64, batch.num_rows)], minlength=c).astype(float)
+        return np.bincount(cls[np.fromiter(map(units.of, batch.column(0).to_pylist()), np.int64, batch.num_rows)], minlength=rules.classes).astype(float)
 
-    kinds = summed(counts, types, c)
-    discount = total.n1 / (total.n1 + 2 * total.n2) if total.n1 and total.n2 else 0.5
-    size = t.sum(0)
-    share = (size + 1 / c) / (n + 1)
-    transition = np.log10((t + rules.smoothing * share) / (t.sum(1, keepdims=True) + rules.smoothing))
-    return Model(units, cls, transition, np.log10(size + 1), np.log10(discount * kinds + 1), at_hand, discount, n, total.v), counts
+    return known.model(cls, t, summed(known.counts, types, rules.classes), rules), known.counts
+
+
+def _whole(batches: Iterator[pa.RecordBatch], begins) -> Iterator[pa.RecordBatch]:
+    """Batches that are cut only where a group begins; ``begins(batch, last)`` marks such rows, ``last`` is the row before the batch, if any."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cut = np.flatnonzero(begins(batch, held[-1].slice(held[-1].num_rows - 1) if held else None))
+        if len(cut):
+            if before := [b for b in (*held, batch.slice(0, cut[-1])) if b.num_rows]:
+                yield pa.concat_batches(before)
+            held, batch = [], batch.slice(cut[-1])
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def rare_classes(texts: DataFrame, cls: np.ndarray, t: np.ndarray, units: Units, rules: Rules) -> DataFrame:
+    """``rid, pos, value`` for every token that is not at hand: its row and place, and ``(count * classes + class) * 2``, plus 1 at one place of every training word.
+
+    ``texts`` are coded, with ``rid`` and ``learn``.  Every word, however rare, moves by itself from the class of its ending to the one
+    that raises the likelihood most, given the classes at hand of its neighbours in the training texts and all class pairs ``t``.  A word
+    that occurs in no training text keeps the class of its ending.  All places of a word are in one task, at most an ``in_task`` of the training tokens and an ``own_unit`` of the others.
+    """
+    c = rules.classes
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(s, 500) for whole in batches for s in range(0, whole.num_rows, 500)):
+            unit, length = _flat(batch.column(0))
+            holes = np.flatnonzero(units.count[unit] < 0)
+            row = np.repeat(np.arange(len(length)), length)[holes]
+            pos = holes - (np.cumsum(length) - length)[row]
+            k = cls[unit].astype(np.int64)
+            around = (k[holes] * c + np.concatenate(([cls[1]], k[:-1]))[holes]) * c + k[np.minimum(holes + 1, len(k) - 1)]  # an end is no hole
+            learn, rid = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64), batch.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(1).flatten(), pa.array(rid[row]), pa.array(pos * 2 + learn[row]), pa.array(around)], names=["word", "rid", "place", "around"])
+
+    def other_word(batch: pa.RecordBatch, last: pa.RecordBatch | None) -> np.ndarray:
+        word = batch.column(0)
+        new = pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
+        return np.concatenate(([last is None or last.column(0)[0] != word[0]], new))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moves = Moves(t, float(np.log(c)))
+        for batch in _whole(batches, other_word):
+            begins = other_word(batch, None)
+            word = np.cumsum(begins) - 1
+            rid, place, around = (batch.column(i).to_numpy() for i in (1, 2, 3))
+            own = around[begins] // (c * c)
+            at = np.flatnonzero(place & 1)  # in training texts
+            seen, first, w, n = np.unique(word[at], return_index=True, return_inverse=True, return_counts=True)
+            count, now = np.zeros(len(own), np.int64), own.copy()
+            count[seen] = n
+            if len(seen):
+                left, right = (np.bincount(w * c + x, minlength=len(seen) * c).reshape(-1, c).astype(float) for x in (around[at] // c % c, around[at] % c))
+                now[seen] = moves.best(left, right, own[seen])
+            value = ((count * c + now) * 2)[word]
+            value[at[first]] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(rid), pa.array(place >> 1), pa.array(value)], names=["rid", "pos", "value"])
+
+    found = texts.select("unit", "rare", "learn", "rid").mapInArrow(places, "word binary, rid long, place long, around long")
+    return found.repartition("word").sortWithinPartitions("word").mapInArrow(choose, "rid long, pos long, value long")
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column and the length of every row."""
+    return lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
+
+
+def _bytes(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Class numbers of a binary column and their number in every row."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), kind).astype(np.int64), np.fromiter((len(x) // kind.itemsize for x in rows), np.int64, len(rows))
+
+
+def _binary(values: np.ndarray, length: np.ndarray, kind: np.dtype) -> pa.Array:
+    data, ends = values.astype(kind).tobytes(), np.cumsum(length) * kind.itemsize
+    return pa.array([data[a:b] for a, b in zip(np.concatenate(([0], ends[:-1])), ends)], pa.binary())
+
+
+def class_texts(texts: DataFrame, cls: np.ndarray, t: np.ndarray, known: Vocabulary, rules: Rules) -> DataFrame:
+    """Coded texts as ``doc_id, learn, n_known, base, emitted`` and, as bytes, the classes of all tokens, of tokens of unseen words, and of training words at one place each."""
+    c, count, discount = rules.classes, known.units.count, known.discount
+    kind = np.min_scalar_type(c - 1)
+    doc_id = texts.schema["doc_id"].dataType.simpleString()
+    fields = f"doc_id {doc_id}, learn boolean, n_known long, base double, emitted double, cls binary, unseen binary"
+    names = ["doc_id", "learn", "n_known", "base", "emitted", "cls", "unseen"]
+
+    def sums(n: np.ndarray, row: np.ndarray, rows: int) -> list[np.ndarray]:
+        return [np.bincount(row, x, rows) for x in (n > 0, np.where(n > 0, np.log10(np.maximum(n, 0) + 1.0), 0.0), np.where(n > 0, np.log10(np.maximum(n - discount, 1e-9)), 0.0))]
+
+    def at_hand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(s, 500) for whole in batches for s in range(0, whole.num_rows, 500)):
+            unit, length = _flat(batch.column(0))
+            n, row = count[unit], np.repeat(np.arange(len(length)), length)
+            k, base, emitted = sums(n, row, len(length))
+            unseen = _binary(cls[unit][n == 0], np.bincount(row[n == 0], minlength=len(length)), kind)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), pa.array(k.astype(np.int64)), pa.array(base), pa.array(emitted), _binary(cls[unit], length, kind), unseen], names=["rid", *names])
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole(batches, lambda b, last: b.column(1).to_numpy() < 0):
+            pos = batch.column(1).to_numpy()
+            docs = batch.column(3).filter(pa.array(pos < 0))
+            doc_id, learn, n_known, base, emitted, all_, unseen = (docs.field(name) for name in names)
+            hole = pos >= 0
+            row, pos, value = (np.cumsum(~hole) - 1)[hole], pos[hole], batch.column(2).to_numpy()[hole]
+            k, n, first = (value >> 1) % c, (value >> 1) // c, value & 1 > 0
+            flat, length = _bytes(all_, kind)
+            flat[(np.cumsum(length) - length)[row] + pos] = k
+            old, old_length = _bytes(unseen, kind)
+            at = np.concatenate((np.repeat(np.arange(len(docs)), old_length), row[n == 0]))
+            unseen = _binary(np.concatenate((old, k[n == 0]))[np.argsort(at, kind="stable")], np.bincount(at, minlength=len(docs)), kind)
+            more = [pa.array(old.to_numpy() + x.astype(old.type.to_pandas_dtype())) for old, x in zip((n_known, base, emitted), sums(n, row, len(docs)))]
+            yield pa.RecordBatch.from_arrays([doc_id, learn, *more, _binary(flat, length, kind), unseen, _binary(k[first], np.bincount(row[first], minlength=len(docs)), kind)], names=[*names, "first"])
+
+    docs = texts.select("unit", "rid", "doc_id", "learn").mapInArrow(at_hand, f"rid long, {fields}").select("rid", F.lit(-1).cast("long").alias("pos"), F.lit(0).cast("long").alias("value"), F.struct(*names).alias("doc"))
+    rare = rare_classes(texts, cls, t, known.units, rules).withColumn("doc", F.lit(None).cast(docs.schema["doc"].dataType))
+    return docs.union(rare).repartition("rid").sortWithinPartitions("rid", "pos").mapInArrow(filled, f"{fields}, first binary")
 
 
 def score(docs: DataFrame, learn: Column, rules: Rules = Rules()) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, a row for each row of ``docs(doc_id, text)``.
 
     ``score`` is the log10 probability of the whole text with its end: a word is
-    emitted by its class, a class by the class before.  Words of own units have
-    the class of their unit, all others that of their ending, so every word,
-    however rare, has a class.  Emissions are discounted absolutely, and what is
+    emitted by its class, a class by the class before.  Frequent words and endings are
+    exchanged first, in rounds; then every other training word moves by itself, once,
+    if that raises the log-likelihood by more than stating its class takes, log(classes):
+    those at hand by their counts (``middle_classes``), then all others, whose places
+    are rows (``rare_classes``).  Only words of no training text have the
+    class of their ending.  Emissions are discounted absolutely, and what is
     saved in a class is the probability of its unseen words; probabilities of all
     words and one unseen word for every class sum to 1.  ``base_score`` is the
     add-one unigram model.  Both learn from rows where ``learn`` (of ``doc_id``)
     holds, or is null.
 
-    A task scores the words at hand; rarer words are joined to the table of all
-    counts by word, none of which has more than ``in_task`` of the tokens.  A
-    null or empty text is just an end; repeated rows get equal scores; with
+    Texts are coded once; words that are not at hand meet at their word, then at their
+    text.  A null or empty text is just an end; repeated rows get equal scores; with
     nothing to learn from every word is unseen; an empty table gives no row; other
     columns are not read.
     """
-    learn = F.coalesce(learn, F.lit(True))
-    table = docs.select("text", "doc_id", learn.alias("learn"))
-    model, counts = fit(table.where("learn").select("text"), rules)
-    m = model
+    table = docs.select("text", "doc_id", F.coalesce(learn, F.lit(True)).alias("learn"))
+    known = vocabulary(table.where("learn").select("text"), rules, table.where("not learn").select("text"))
+    texts = scratch(coded(table, known.units).withColumn("rid", F.monotonically_increasing_id()), "coded")
+    cls, t = unit_classes(texts.where("learn"), known.units, rules)
+    parts = scratch(class_texts(texts, cls, t, known, rules), "classes")
+    discard(texts)
+    discard(known.counts)
+
+    c, kind, end = rules.classes, np.min_scalar_type(rules.classes - 1), cls[1]
+    own = cls[known.units.count > 0]
+
+    def statistics(whole: pa.RecordBatch) -> np.ndarray:
+        out = np.zeros(c * c + c)
+        for batch in (whole.slice(s, 1000) for s in range(0, whole.num_rows, 1000)):
+            flat, _ = _bytes(batch.column(0), kind)
+            out[: c * c] += np.bincount(np.concatenate(([end], flat[:-1])) * c + flat, minlength=c * c)  # every text ends with the end
+            out[c * c :] += np.bincount(_bytes(batch.column(1), kind)[0], minlength=c)
+        return out
+
+    found = summed(parts.where("learn").select("cls", "first"), statistics, c * c + c)
+    m = known.model(cls, found[: c * c].reshape(c, c), found[c * c :] + np.bincount(own, minlength=c), rules)
+    room = float(np.log10(m.n + m.v + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for s in range(0, whole.num_rows, 500):
-                batch = whole.slice(s, 500)
-                local: dict[bytes, int] = {}
-                ids = [np.fromiter((local.setdefault(w, len(local)) for w in tokens(t)), np.int64) for t in utf8(batch.column(0))]
-                length = np.fromiter(map(len, ids), np.int64, len(ids))
-                ids, row = np.concatenate(ids), np.repeat(np.arange(len(ids)), length)
-                words = list(local)
-                known = np.fromiter((m.at_hand.get(w, 0) for w in words), np.int64, len(words))
-                cls = m.cls[np.fromiter(map(m.units.of, words), np.int64, len(words))].astype(np.int64)
-                c, k = cls[ids], known[ids]
-                before = np.concatenate(([m.cls[1]], c[:-1]))  # every text ends with the end
-                parts = m.transition[before, c] - m.room[c] + np.where(k > 0, np.log10(np.maximum(k - m.discount, 1e-9)), 0.0)
-                base = np.where(k > 0, np.log10(k + 1.0), 0.0)
-                add = lambda x: np.bincount(row, x, len(length))
-                code, tf = np.unique((row * len(words) + ids)[k == 0], return_counts=True)
-                tail = pa.StructArray.from_arrays([pa.array([words[i] for i in code % len(words)], pa.binary()), pa.array(tf, pa.int32()), pa.array(cls[code % len(words)], pa.int16())], ["word", "tf", "cls"])
-                offsets = np.searchsorted(code // len(words), np.arange(len(length) + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(1), batch.column(2), pa.array(length), pa.array(add(k > 0).astype(np.int64)), pa.array(add(parts)), pa.array(add(base)), pa.ListArray.from_arrays(pa.array(offsets), tail)],
-                    names=["doc_id", "learn", "n_tokens", "n_known", "score", "base", "tail"],
-                )
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, learn boolean, n_tokens long, n_known long, score double, base double, tail array<struct<word: binary, tf: int, cls: smallint>>"
-    parts = scratch(table.mapInArrow(run, schema).withColumn("rid", F.monotonically_increasing_id()), "scored")
-    tail = parts.select("rid", F.explode("tail").alias("t")).select("rid", "t.word", "t.tf", "t.cls").join(counts.where(F.col("n") < max(1.0, rules.in_task * m.n)), "word", "left")
-    unseen = F.element_at(F.array(*[F.lit(float(x)) for x in m.unseen]), F.col("cls").cast("int") + 1)
-    seen = F.col("n").isNotNull()
-    sums = tail.groupBy("rid").agg(
-        F.sum(F.when(seen, F.col("tf")).otherwise(0)).alias("k"), F.sum(F.col("tf") * F.when(seen, F.log10(F.col("n") - m.discount)).otherwise(unseen)).alias("s"), F.sum(F.when(seen, F.col("tf") * F.log10(F.col("n") + 1.0)).otherwise(0.0)).alias("b")
-    )
-    out = parts.drop("tail").join(sums, "rid", "left")
-    room = float(np.log10(m.n + m.v + 1))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return out.select(
-        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", (F.col("n_known") + zero("k")).cast("long").alias("n_known"), F.lit(m.n).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("b") - F.col("n_tokens") * room).alias("base_score"), (F.col("score") + zero("s")).alias("score"),
-    )
+        for batch in (whole.slice(s, 1000) for whole in batches for s in range(0, whole.num_rows, 1000)):
+            (flat, length), (new, some) = _bytes(batch.column(5), kind), _bytes(batch.column(6), kind)
+            rows = np.arange(batch.num_rows)
+            total = np.bincount(np.repeat(rows, length), m.transition[np.concatenate(([end], flat[:-1])), flat] - m.room[flat], len(rows))
+            total += batch.column(4).to_numpy() + np.bincount(np.repeat(rows, some), m.unseen[new], len(rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pc.invert(batch.column(1)), pa.array(length), batch.column(2), pa.array(np.full(len(rows), m.n)), pa.array(batch.column(3).to_numpy() - length * room), pa.array(total)],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
+
+    doc_id = docs.schema["doc_id"].dataType.simpleString()
+    return parts.mapInArrow(run, f"doc_id {doc_id}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
