@@ -23,10 +23,12 @@ _FIXED = "<iiiBBHHHiiii"  # size, reference, place, length of name, mapq, bin, o
 _SIZE = struct.calcsize(_FIXED)
 _WIDTHS = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
 _BINS = ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1))
+_SHORT, _MANY = 256, 4096  # longest CIGAR, in letters or bytes, that a task remembers, and how many of them
+_CODES, _CIGARS = {}, {}
 _BLOCK = 65280  # bytes of a block before compression
 
 _FROM_HEX = str.maketrans("0123456789abcdef", _LETTERS)
-_TO_CODE = {c: k for k, c in enumerate(_LETTERS)}
+_TO_HEX = bytes(b"0123456789abcdef"[_LETTERS.find(chr(k)) % 16] for k in range(256))  # any other letter is the last one, N
 _UP, _DOWN = bytes((k + 33) % 256 for k in range(256)), bytes((k - 33) % 256 for k in range(256))
 
 #: Records that must follow each other from a place on before it is taken for the first record of a split.
@@ -144,7 +146,7 @@ def _header(data: bytearray, file: str) -> tuple[list[str], int] | None:
     return (names, at) if at <= len(data) else None
 
 
-def _tags(data: bytes | bytearray, at: int, end: int) -> tuple[str | None, tuple[int, ...] | None]:
+def _tags(data: bytes | bytearray, at: int, end: int) -> tuple[str | None, bytes | None]:
     """Text of the tag XB and operations of the tag CG (alignments of very many of them), null where there is none."""
     bc3 = ops = None
     while at < end:
@@ -157,7 +159,7 @@ def _tags(data: bytes | bytearray, at: int, end: int) -> tuple[str | None, tuple
         elif kind == "B":
             width, n = _WIDTHS[chr(data[at])], int.from_bytes(data[at + 1 : at + 5], "little")
             if tag == b"CG":
-                ops = struct.unpack_from(f"<{n}I", data, at + 5)
+                ops = bytes(data[at + 5 : at + 5 + 4 * n])
             at += 5 + width * n
         else:
             at += _WIDTHS[kind]
@@ -169,12 +171,12 @@ def _decoded(data: bytes | bytearray, at: int, end: int) -> tuple:
     _, ref, pos, name, mapq, _, n, flag, letters, *_ = struct.unpack_from(_FIXED, data, at)
     at += _SIZE
     qname, at = data[at : at + name - 1].decode(), at + name
-    ops, at = struct.unpack_from(f"<{n}I", data, at), at + 4 * n
+    ops, at = bytes(data[at : at + 4 * n]), at + 4 * n
     half = (letters + 1) // 2
     seq, at = data[at : at + half].hex().translate(_FROM_HEX)[:letters], at + half
     scores, at = data[at : at + letters], at + letters
     bc3, more = _tags(data, at, end)
-    cigar = "".join(f"{o >> 4}{_OPS[o & 15]}" for o in (more or ops))
+    cigar = _kept(_CIGARS, _cigar, more or ops)
     qual = "*" if not scores or scores[0] == 255 else scores.translate(_UP).decode("ascii")
     return qname, flag, ref, pos, mapq, cigar or "*", seq or "*", qual, bc3
 
@@ -277,18 +279,37 @@ def _deflated(data: bytes) -> bytes:
     return _MAGIC + struct.pack("<H", len(_MAGIC) + len(body) + 9) + body + struct.pack("<II", zlib.crc32(data), len(data))
 
 
+def _kept(memory: dict, work, key):
+    """``work(key)``, remembered for short keys."""
+    out = memory.get(key)
+    if out is None:
+        out = work(key)
+        if len(key) <= _SHORT and len(memory) < _MANY:
+            memory[key] = out
+    return out
+
+
+def _operations(cigar: str) -> tuple[list[int], int]:
+    """Codes of a CIGAR and the letters of the reference under it, 1 at least."""
+    ops = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", "" if cigar == "*" else cigar)]
+    return [n << 4 | _OPS.index(o) for n, o in ops], sum(n for n, o in ops if o in "MDN=X") or 1
+
+
+def _cigar(ops: bytes) -> str:
+    """The text of the operations of a record."""
+    return "".join(f"{o >> 4}{_OPS[o & 15]}" for o in struct.unpack(f"<{len(ops) // 4}I", ops))
+
+
 def _encoded(ref: int, pos: int, qname: str, flag: int, mapq: int, cigar: str, seq: str, qual: str, bc3: str | None) -> bytes:
     """One record."""
-    ops = [(int(n), o) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", "" if cigar == "*" else cigar)]
+    codes, span = _kept(_CODES, _operations, cigar)
     tags = b"" if bc3 is None else b"XBZ" + bc3.encode() + b"\0"
-    codes = [n << 4 | _OPS.index(o) for n, o in ops]
-    span = sum(n for n, o in ops if o in "MDN=X") or 1
     if len(codes) > 65535:
         tags += b"CGBI" + struct.pack(f"<I{len(codes)}I", len(codes), *codes)
         codes = [len(seq) << 4 | _OPS.index("S"), span << 4 | _OPS.index("N")]
     seq, name = "" if seq == "*" else seq, qname.encode() + b"\0"
-    nibbles = [_TO_CODE.get(c, 15) for c in seq.upper()] + [0] * (len(seq) % 2)
-    letters = bytes(a << 4 | b for a, b in zip(nibbles[::2], nibbles[1::2]))
+    digits = seq.upper().encode("latin-1", "replace").translate(_TO_HEX).decode()
+    letters = bytes.fromhex(digits + "0" * (len(digits) % 2))
     scores = b"\xff" * len(seq) if qual == "*" else qual.encode("ascii").translate(_DOWN)
     if len(scores) != len(seq):
         raise ValueError(f"{qname}: {len(scores)} scores for {len(seq)} letters")

@@ -115,3 +115,14 @@ def test_header_over_the_first_split(spark, tmp_path, small_splits):
     small_splits(40_000)
     with pytest.raises(Exception, match="the header does not end in the first split"):
         bam.read_bam(spark, f"{tmp_path}/o/part=*").collect()
+
+
+def test_letters_and_cigars_remembered():
+    """Letters of any kind are packed as they were one by one; CIGARs are remembered within bounds."""
+    seq = "=ACMGRSVTWYHKDBNacgtn.-é中x"
+    data = bam._encoded(0, 3, "r", 0, 1, "5M", seq, "*", None)
+    assert bam._decoded(data, 0, len(data))[6] == "".join(c if c in bam._LETTERS else "N" for c in seq.upper())
+    for k in range(bam._MANY + 50):
+        data = bam._encoded(0, 3, "r", 0, 1, f"{k + 1}M2D", "ACG", "*", None)
+        assert bam._decoded(data, 0, len(data))[5] == f"{k + 1}M2D"
+    assert 0 < len(bam._CODES) <= bam._MANY and 0 < len(bam._CIGARS) <= bam._MANY
